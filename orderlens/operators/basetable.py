@@ -75,7 +75,7 @@ def clean_orders(orders: DataFrame, weekend_days: Sequence[int] = derive.WEEKEND
 
 
 def item_rollup(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Money and product-shape rollups of an order's items in ONE aggregation, plus the
+    """Money and product-shape rollups of an order's items in one two-level aggregation, plus the
     order's representative item (lowest ``order_item_id``, then ``product_id``).
 
     Items are left-joined to the cleaned products so that money totals cover every item, as in
@@ -83,18 +83,12 @@ def item_rollup(items: DataFrame, products: DataFrame) -> DataFrame:
     the items whose product is known. Orders with no known product are dropped, as the
     source's inner join dropped them. The product side is a dimension table: the join is a
     broadcast when its size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and a
-    shuffle join otherwise (AQE splits a skewed ``product_id``). The representative item is a
-    ``min`` of a struct, so a huge order is reduced map-side like any other aggregate.
+    shuffle join otherwise (AQE splits a skewed ``product_id``). See
+    ``rollup.order_item_rollup`` for the two aggregation levels.
     """
     prod = clean_products(products).withColumn("_known", F.lit(1))
     joined = items.join(prod, "product_id", "left")
-    rep = F.struct("order_item_id", "product_id", "weight_kg", "product_category_name")
-    agg = joined.groupBy(KEY).agg(
-        *rollup.money_aggs(),
-        *rollup.shape_aggs(),
-        F.count("_known").alias("_n_known"),
-        F.min(F.when(F.col("_known") == 1, rep)).alias("_rep"),
-    )
+    agg = rollup.order_item_rollup(joined)
     return agg.where(F.col("_n_known") > 0).select(
         KEY,
         F.col("_rep.product_id").alias("product_id"),
@@ -110,7 +104,7 @@ def payment_features(payments: DataFrame, payment_types: Sequence[str]) -> DataF
     p = quality.drop_sentinel(payments, "payment_type", PAYMENT_TYPE_SENTINEL)
     sums = [
         F.coalesce(
-            F.sum(F.when(F.col("payment_type") == F.lit(t), F.col("payment_value").cast(rollup.MONEY))).cast("double"),
+            rollup.from_cents(F.sum(F.when(F.col("payment_type") == F.lit(t), rollup.cents(F.col("payment_value"))))),
             F.lit(0.0),
         ).alias(str(t))
         for t in payment_types

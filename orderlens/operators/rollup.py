@@ -15,7 +15,16 @@ from pyspark.sql import functions as F
 from orderlens.functions.derive import safe_ratio
 
 KEY = "order_id"
-MONEY = "decimal(18,2)"
+
+
+def cents(c: Column) -> Column:
+    """A two-decimal value as whole hundredths (exact for values with at most 2 decimals)."""
+    return F.rint(c * 100).cast("long")
+
+
+def from_cents(total: Column) -> Column:
+    """A sum of hundredths back to a double: the nearest double to the exact total."""
+    return total / 100
 
 # Output names of the money and shape rollups, spelled as the source spells them.
 MONEY_COLUMNS = (
@@ -48,57 +57,117 @@ def _c(name: str) -> Column:
 
 def money_sum(c: str) -> Column:
     """Exact sum of a 2-decimal money column, as double."""
-    return F.sum(_c(c).cast(MONEY)).cast("double")
+    return from_cents(F.sum(cents(_c(c))))
 
 
 def money_aggs(price: str = "price", shipping: str = "shipping_cost") -> list[Column]:
     """Order money rollup: totals, shipping share, highest item number, distinct products."""
-    p = F.sum(_c(price).cast(MONEY))
-    s = F.sum(_c(shipping).cast(MONEY))
+    p = F.sum(cents(_c(price)))
+    s = F.sum(cents(_c(shipping)))
     return [
-        p.cast("double").alias("total_price"),
-        s.cast("double").alias("total_shipping_cost"),
-        (p + s).cast("double").alias("total_cost"),
-        safe_ratio(s.cast("double"), (p + s).cast("double")).alias("shipping_cost%"),
+        from_cents(p).alias("total_price"),
+        from_cents(s).alias("total_shipping_cost"),
+        from_cents(p + s).alias("total_cost"),
+        safe_ratio(from_cents(s), from_cents(p + s)).alias("shipping_cost%"),
         F.max("order_item_id").alias("max_order_item_id"),
         F.countDistinct("product_id").alias("num_unique_products_per_id"),
     ]
 
 
-def shape_aggs(repeat: Column | None = None) -> list[Column]:
+def shape_aggs(repeat: Column | None = None, count: Column | None = None) -> list[Column]:
     """Order product-shape rollup over item rows carrying cleaned product columns.
 
-    Sums of metres and kilograms are exact decimal sums; ratios are ratios of sums, rounded
-    except ``weight_volume``. ``repeat`` (a per-row count) makes every sum count its row that
-    many times, which reproduces a rollup over a fanned-out join without building it.
+    Sums of metres and kilograms are exact sums of hundredths; ratios are ratios of sums,
+    rounded except ``weight_volume``. ``repeat`` (a per-row count) makes every sum count its
+    row that many times, which reproduces a rollup over a fanned-out join without building it.
+    ``count`` says how many item rows each input row stands for (pre-aggregated rows): sums
+    and means are weighted by it.
     """
+    mult = [m for m in (repeat, count) if m is not None]
 
     def rep(e: Column) -> Column:
-        return e if repeat is None else e * repeat
-
-    w = F.sum(rep(_c("weight_kg").cast(MONEY)))
-    v = F.sum(rep(_c("Prod_volume_m3").cast(MONEY)))
-    length = F.sum(rep(_c("product_length").cast(MONEY)))
-    height = F.sum(rep(_c("product_height").cast(MONEY)))
-    width = F.sum(rep(_c("product_width").cast(MONEY)))
+        for m in mult:
+            e = e * m
+        return e
+
+    def mean(c: str) -> Column:
+        if count is None:
+            return F.avg(c)
+        return F.try_divide(F.sum(_c(c) * count), F.sum(F.when(_c(c).isNotNull(), count)))
+
+    w = from_cents(F.sum(rep(cents(_c("weight_kg")))))
+    v = from_cents(F.sum(rep(cents(_c("Prod_volume_m3")))))
+    length = from_cents(F.sum(rep(cents(_c("product_length")))))
+    height = from_cents(F.sum(rep(cents(_c("product_height")))))
+    width = from_cents(F.sum(rep(cents(_c("product_width")))))
     photos = F.sum(rep(_c("product_photos_qty")))
     desc = F.sum(rep(_c("product_description_lenght")))
     return [
-        w.cast("double").alias("ttl_weight"),
+        w.alias("ttl_weight"),
         F.sum(rep(_c("product_name_lenght"))).alias("ttl_name"),
-        v.cast("double").alias("ttl_volume"),
+        v.alias("ttl_volume"),
         photos.alias("ttl_photo"),
         desc.alias("ttl_description"),
-        F.avg("product_name_lenght").alias("mean_name"),
-        F.avg("product_photos_qty").alias("mean_photo"),
-        F.avg("product_description_lenght").alias("mean_description"),
-        safe_ratio(w.cast("double"), v.cast("double"), None).alias("weight_volume"),
-        safe_ratio(length.cast("double"), width.cast("double")).alias("aspect_ratio_length_width"),
-        safe_ratio(height.cast("double"), width.cast("double")).alias("aspect_ratio_height_width"),
+        mean("product_name_lenght").alias("mean_name"),
+        mean("product_photos_qty").alias("mean_photo"),
+        mean("product_description_lenght").alias("mean_description"),
+        safe_ratio(w, v, None).alias("weight_volume"),
+        safe_ratio(length, width).alias("aspect_ratio_length_width"),
+        safe_ratio(height, width).alias("aspect_ratio_height_width"),
         safe_ratio(photos, desc).alias("photo_description_ratio"),
     ]
 
 
+PRODUCT_ATTRIBUTES = (
+    "weight_kg",
+    "Prod_volume_m3",
+    "product_name_lenght",
+    "product_photos_qty",
+    "product_description_lenght",
+    "product_length",
+    "product_height",
+    "product_width",
+    "product_category_name",
+)
+
+
+def order_item_rollup(rows: DataFrame, key: str = KEY, known: str = "_known") -> DataFrame:
+    """Money rollup of all item rows, shape rollup of the rows whose product is ``known``, and
+    the order's representative item (lowest ``order_item_id``, then ``product_id``), from
+    item rows left-joined to cleaned products.
+
+    Two aggregation levels, the same shape Spark gives a distinct count but with explicit
+    partial states: level 1 reduces items to one row per (order, product) with a hash
+    aggregate (numeric buffers only; product attributes are grouping keys since they depend
+    on the product); level 2 reduces those to one row per order. Both levels aggregate
+    map-side before their shuffle, so an order holding a third of all rows is spread over
+    the (order, product) shuffle and pre-reduced in every task before the order shuffle.
+    """
+    level1 = rows.groupBy(key, "product_id", known, *PRODUCT_ATTRIBUTES).agg(
+        F.sum(cents(_c("price"))).alias("_price"),
+        F.sum(cents(_c("shipping_cost"))).alias("_ship"),
+        F.count(F.lit(1)).alias("_n"),
+        F.max("order_item_id").alias("_max_item"),
+        F.min("order_item_id").alias("_min_item"),
+    )
+    p, s = F.sum("_price"), F.sum("_ship")
+    is_known = F.col(known) == 1
+    rep = F.struct(
+        F.col("_min_item").alias("order_item_id"), "product_id", "weight_kg", "product_category_name"
+    )
+    return level1.groupBy(key).agg(
+        from_cents(p).alias("total_price"),
+        from_cents(s).alias("total_shipping_cost"),
+        from_cents(p + s).alias("total_cost"),
+        safe_ratio(from_cents(s), from_cents(p + s)).alias("shipping_cost%"),
+        F.max("_max_item").alias("max_order_item_id"),
+        F.count("product_id").alias("num_unique_products_per_id"),
+        *shape_aggs(count=F.col("_n")),
+        F.sum(F.when(is_known, F.col("_n"))).alias("_n_known"),
+        F.min(F.when(is_known, rep)).alias("_rep"),
+    )
+
+
 def order_money_rollup(items: DataFrame, key: str = KEY) -> DataFrame:
     return items.groupBy(key).agg(*money_aggs())
 
@@ -144,8 +213,8 @@ def pivot_sum(df: DataFrame, key: str, by: str, value: str, values: Sequence, mo
     """
     aggs = []
     for v in values:
-        x = F.when(_c(by) == F.lit(v), _c(value).cast(MONEY) if money else _c(value))
-        s = F.sum(x).cast("double") if money else F.sum(x)
+        x = F.when(_c(by) == F.lit(v), cents(_c(value)) if money else _c(value))
+        s = from_cents(F.sum(x)) if money else F.sum(x)
         aggs.append(F.coalesce(s, F.lit(0)).alias(str(v)))
     return df.groupBy(key).agg(*aggs)
 

@@ -30,21 +30,26 @@ class Prepared:
     fit: DataFrame  # 70% of training orders
     valid: DataFrame  # the other 30%
     holdout: DataFrame  # unlabelled side, transformed by the training pipeline
+    screen_fallback: bool = False  # True when no candidate passed the screen
 
 
-def prepare_inputs(spark: SparkSession, sf_dir: str, label: str = "Target") -> Prepared:
+def prepare_inputs(spark: SparkSession, sf_dir: str, label: str = "Target", features=None) -> Prepared:
     """Base tables -> lineage cut (reliable checkpoint in the shared folder) -> one-pass screen
-    -> selected features -> pipeline fitted on training -> hash split 70/30."""
+    -> selected features (or the given frozen list) -> pipeline fitted on training -> hash
+    split 70/30. When no candidate passes the screen, all candidates are used
+    (``Prepared.screen_fallback``)."""
     spec, train, holdout = basetables(spark, sf_dir)
     train = cut_lineage(train)
     cands = screen.candidate_features(train, label)
     scr = screen.pearson_screen(train, cands, label)
-    chosen = screen.selected_names(scr)
-    if not chosen:
-        raise ValueError("no feature passed the screen")
+    chosen = screen.selected_names(scr) if features is None else list(features)
+    fallback = not chosen
+    if fallback:
+        # A model needs at least one input: with no significant feature, keep every candidate.
+        chosen = cands
     pipe = prepare.fit_prepare(train, chosen)
     fit, valid = prepare.hash_split(pipe.transform(train))
-    return Prepared(spec, chosen, scr, pipe, fit, valid, pipe.transform(holdout))
+    return Prepared(spec, chosen, scr, pipe, fit, valid, pipe.transform(holdout), fallback)
 
 
 def fit_and_score(p: Prepared, kind: str, label: str = "Target", grid: dict | None = None, folds: int = models.FOLDS):
