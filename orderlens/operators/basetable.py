@@ -78,17 +78,12 @@ def item_rollup(items: DataFrame, products: DataFrame) -> DataFrame:
     """Money and product-shape rollups of an order's items in one two-level aggregation, plus the
     order's representative item (lowest ``order_item_id``, then ``product_id``).
 
-    Items are left-joined to the cleaned products so that money totals cover every item, as in
-    the source (its money rollup ran before the product join), while shape statistics cover
-    the items whose product is known. Orders with no known product are dropped, as the
-    source's inner join dropped them. The product side is a dimension table: the join is a
-    broadcast when its size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and a
-    shuffle join otherwise (AQE splits a skewed ``product_id``). See
-    ``rollup.order_item_rollup`` for the two aggregation levels.
+    Products are left-joined so that money totals cover every item, as in the source (its
+    money rollup ran before the product join), while shape statistics cover the items whose
+    product is known. Orders with no known product are dropped, as the source's inner join
+    dropped them. See ``rollup.order_item_rollup`` for the plan.
     """
-    prod = clean_products(products).withColumn("_known", F.lit(1))
-    joined = items.join(prod, "product_id", "left")
-    agg = rollup.order_item_rollup(joined)
+    agg = rollup.order_item_rollup(items, clean_products(products))
     return agg.where(F.col("_n_known") > 0).select(
         KEY,
         F.col("_rep.product_id").alias("product_id"),

@@ -131,31 +131,34 @@ PRODUCT_ATTRIBUTES = (
 )
 
 
-def order_item_rollup(rows: DataFrame, key: str = KEY, known: str = "_known") -> DataFrame:
-    """Money rollup of all item rows, shape rollup of the rows whose product is ``known``, and
-    the order's representative item (lowest ``order_item_id``, then ``product_id``), from
-    item rows left-joined to cleaned products.
-
-    Two aggregation levels, the same shape Spark gives a distinct count but with explicit
-    partial states: level 1 reduces items to one row per (order, product) with a hash
-    aggregate (numeric buffers only; product attributes are grouping keys since they depend
-    on the product); level 2 reduces those to one row per order. Both levels aggregate
-    map-side before their shuffle, so an order holding a third of all rows is spread over
-    the (order, product) shuffle and pre-reduced in every task before the order shuffle.
+def order_item_rollup(items: DataFrame, products: DataFrame, key: str = KEY) -> DataFrame:
+    """Money rollup of all item rows, shape rollup of the items whose product is known, and
+    the order's representative item (lowest ``order_item_id``, then ``product_id``).
+
+    Three steps, each skew-safe:
+    1. items -> one row per (order, product): a hash aggregate, partial on the map side, with
+       a shuffle on both keys (an order holding a third of all rows spreads over it);
+    2. left join with the cleaned products on ``product_id`` (broadcast when the products'
+       size estimate is under the threshold; otherwise a shuffle join whose hot products AQE
+       can split, because step 3 shuffles anyway);
+    3. one row per order: partial aggregate on the map side, then a shuffle on ``order_id``.
+    The product attributes are counted once per item row (weights = item counts of step 1).
     """
-    level1 = rows.groupBy(key, "product_id", known, *PRODUCT_ATTRIBUTES).agg(
+    level1 = items.groupBy(key, "product_id").agg(
         F.sum(cents(_c("price"))).alias("_price"),
         F.sum(cents(_c("shipping_cost"))).alias("_ship"),
         F.count(F.lit(1)).alias("_n"),
         F.max("order_item_id").alias("_max_item"),
         F.min("order_item_id").alias("_min_item"),
     )
+    prod = products.select("product_id", *PRODUCT_ATTRIBUTES).withColumn("_known", F.lit(1))
+    joined = level1.join(prod, "product_id", "left")
     p, s = F.sum("_price"), F.sum("_ship")
-    is_known = F.col(known) == 1
+    is_known = F.col("_known") == 1
     rep = F.struct(
         F.col("_min_item").alias("order_item_id"), "product_id", "weight_kg", "product_category_name"
     )
-    return level1.groupBy(key).agg(
+    return joined.groupBy(key).agg(
         from_cents(p).alias("total_price"),
         from_cents(s).alias("total_shipping_cost"),
         from_cents(p + s).alias("total_cost"),

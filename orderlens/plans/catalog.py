@@ -48,7 +48,7 @@ def csv_roundtrip(spark, sf_dir):
     items = _view(spark, sf_dir, "order_items")
     path = scratch_path(spark, "csv-roundtrip")
     tables.write_csv(items, path)
-    return tables.read_table(spark, path, items.schema)
+    return tables.read_table(spark, path, items.schema, null_value=tables.CSV_NULL)
 
 
 @query
@@ -56,7 +56,7 @@ def csv_multiline(spark, sf_dir):
     docs = fixtures.raw(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     path = scratch_path(spark, "csv-multiline")
     tables.write_csv(docs, path)
-    return tables.read_table(spark, path, docs.schema, multiline=True)
+    return tables.read_table(spark, path, docs.schema, multiline=True, null_value=tables.CSV_NULL)
 
 
 @query

@@ -15,11 +15,13 @@ def read_table(
     schema: T.StructType,
     multiline: bool = False,
     quote_escape: str = '"',
+    null_value: str | None = None,
 ) -> DataFrame:
     """Header CSV with a declared schema; ``"`` escapes a quote inside a quoted field.
 
     ``multiline`` allows newlines inside quoted fields. Such files cannot be split, so one
-    task reads each file: use it only for the tables that need it.
+    task reads each file: use it only for the tables that need it. ``null_value`` is the text
+    that means null (default: an empty field, as in the source files).
     """
     reader = (
         spark.read.schema(schema)
@@ -28,6 +30,8 @@ def read_table(
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
     )
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
     return reader.csv(path)
 
 
@@ -44,13 +48,18 @@ def parse_timestamps(df: DataFrame, cols, fmt: str = schemas.TIMESTAMP_FORMAT) -
     return df.withColumns({c: F.try_to_timestamp(F.col(c), F.lit(fmt)) for c in cols})
 
 
+# Fixed value: the null marker of CSV files written here, so that an empty text stays "".
+CSV_NULL = "\\N"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header CSV that ``read_table`` reads back unchanged (whitespace kept, quotes doubled)."""
+    """Header CSV that ``read_table(..., null_value=CSV_NULL)`` reads back unchanged: whitespace
+    kept, quotes doubled, empty text quoted, null written as ``\\N``."""
     (
         df.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
-        .option("quoteAll", False)
+        .option("nullValue", CSV_NULL)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
