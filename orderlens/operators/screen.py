@@ -1,8 +1,8 @@
 """Feature screening: Pearson r and its p-value for every candidate column in ONE pass.
 
-The whole screen is a single global aggregation (partial per task, one small merge), so it
-costs one scan of the table however many columns are screened, and nothing but a handful of
-scalars per column leaves the executors. The p-values are computed by an Arrow-batched pandas
+The whole screen is one scan of the table however many columns are screened (partial
+aggregates per task, one small merge), and nothing but a handful of scalars per column leaves
+the executors. The p-values are computed by an Arrow-batched pandas
 UDF over the (feature, n, r) rows.
 """
 
@@ -40,27 +40,31 @@ def candidate_features(df: DataFrame, label: str, exclude: Sequence[str] = ()) -
 
 
 def pearson_screen(df: DataFrame, features: Sequence[str], label: str, scale: int | None = None) -> DataFrame:
-    """(feature, n, r, p_value) per feature, from one aggregation over ``df``.
+    """(feature, n, r, p_value) per feature, in ``features`` order, from one scan of ``df``.
 
     r = covar_samp / (stddev_samp(x) * stddev_samp(y)) over the rows where both are present;
     a constant column (zero deviation) gets r = null and p = null instead of failing.
+
+    Plan: each row is turned into (feature index, x, y) pairs by ``inline`` and aggregated per
+    feature index with a map-side partial step in the same stage, so the pairs are never
+    shuffled: only (tasks x features) partial states are. Four small aggregate functions keep
+    the generated code compact; one aggregate with four functions per feature would not
+    (hundreds of functions make a method too large for the JIT, several times slower).
     """
     y = _c(label).cast("double")
-    aggs = []
-    for i, f in enumerate(features):
-        x = _c(f).cast("double")
-        xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        sd = F.stddev_samp(xs) * F.stddev_samp(ys)
-        r = F.try_divide(F.covar_samp(xs, ys), F.when(sd != 0, sd))
-        aggs += [F.count(xs).alias(f"n{i}"), r.alias(f"r{i}")]
-    wide = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(F.lit(f).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"r{i}").alias("r"))
-            for i, f in enumerate(features)
-        ]
+    pairs = F.array(
+        *[F.struct(F.lit(i).alias("_i"), _c(f).cast("double").alias("_x")) for i, f in enumerate(features)]
+    )
+    long = df.select(y.alias("_y"), F.inline(pairs))
+    both = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    xs, ys = F.when(both, F.col("_x")), F.when(both, F.col("_y"))
+    sd = F.stddev_samp(xs) * F.stddev_samp(ys)
+    stats = long.groupBy("_i").agg(
+        F.count(xs).alias("n"),
+        F.try_divide(F.covar_samp(xs, ys), F.when(sd != 0, sd)).alias("r"),
     )
-    out = wide.select(F.inline(rows))
+    names = F.array(*[F.lit(f) for f in features])
+    out = stats.orderBy("_i").select(F.element_at(names, F.col("_i") + 1).alias("feature"), "n", "r")
     out = out.withColumn("p_value", F.when(F.col("r").isNotNull(), _pvalue_udf("r", "n")))
     if scale is not None:
         out = out.withColumn("r", F.round("r", scale))
