@@ -445,5 +445,4 @@ def score_output(spark, sf_dir):
     """Final model (random forest chosen by CV) applied to the hold-out, written and read back."""
     p = workflow.prepare_inputs(spark, sf_dir)
     model, _ = workflow.fit_and_score(p, "rf")
-    scored = model.transform(p.holdout)
-    return tables.save_predictions(scored, scratch_path(spark, "predictions"))
+    return workflow.predict_holdout(p, model, scratch_path(spark, "predictions"))

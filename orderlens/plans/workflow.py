@@ -1,44 +1,72 @@
-"""End-to-end flows: tables -> base tables -> screen -> prepared inputs -> models -> scores."""
+"""End-to-end flows: tables -> base tables -> screen -> prepared inputs -> models -> scores.
+
+Two ways in: the source CSV files (``read_sources``: five training tables and four hold-out
+twins) or the fixture views over the driver's Parquet tables (``basetables``). Both go through
+the same functions afterwards.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.functions import derive
 from orderlens.operators import basetable, screen
 from orderlens.plans import models, prepare
-from orderlens.session import cut_lineage
-from orderlens.sources import fixtures
+from orderlens.session import configure, cut_lineage
+from orderlens.sources import fixtures, tables
+
+TABLE_NAMES = ("products", "orders", "order_items", "order_payments", "order_reviews")
+
+
+def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """The order tables from CSV files, keyed by table name (``products``, ``orders``,
+    ``order_items``, ``order_payments`` and, on the training side, ``order_reviews``)."""
+    configure(spark)
+    return {name: tables.read_source(spark, name, path) for name, path in paths.items()}
+
+
+def basetables_from(
+    train: dict[str, DataFrame],
+    holdout: dict[str, DataFrame] | None = None,
+    weekend_days: Sequence[int] = derive.WEEKEND_DAYS,
+) -> tuple[basetable.BaseTableSpec, DataFrame, DataFrame | None]:
+    """Base tables of both sides; pivot value lists learned on the training side."""
+    spec = basetable.fit_spec(train, weekend_days)
+    hold = basetable.build_basetable(holdout, spec) if holdout is not None else None
+    return spec, basetable.build_basetable(train, spec), hold
 
 
 def basetables(spark: SparkSession, sf_dir: str) -> tuple[basetable.BaseTableSpec, DataFrame, DataFrame]:
-    """Training and hold-out base tables of the fixture data; value lists from training."""
-    train = fixtures.tables(spark, sf_dir, "train")
-    holdout = fixtures.tables(spark, sf_dir, "holdout")
-    spec = basetable.fit_spec(train)
-    return spec, basetable.build_basetable(train, spec), basetable.build_basetable(holdout, spec)
+    """Training and hold-out base tables of the fixture data."""
+    return basetables_from(fixtures.tables(spark, sf_dir, "train"), fixtures.tables(spark, sf_dir, "holdout"))
 
 
 @dataclass
 class Prepared:
-    spec: basetable.BaseTableSpec
+    spec: basetable.BaseTableSpec | None
     features: list
     screen: DataFrame
     pipeline: PipelineModel
     fit: DataFrame  # 70% of training orders
     valid: DataFrame  # the other 30%
-    holdout: DataFrame  # unlabelled side, transformed by the training pipeline
+    holdout: DataFrame | None  # unlabelled side, transformed by the training pipeline
     screen_fallback: bool = False  # True when no candidate passed the screen
 
 
-def prepare_inputs(spark: SparkSession, sf_dir: str, label: str = "Target", features=None) -> Prepared:
-    """Base tables -> lineage cut (reliable checkpoint in the shared folder) -> one-pass screen
-    -> selected features (or the given frozen list) -> pipeline fitted on training -> hash
-    split 70/30. When no candidate passes the screen, all candidates are used
-    (``Prepared.screen_fallback``)."""
-    spec, train, holdout = basetables(spark, sf_dir)
+def prepare_base(
+    train: DataFrame,
+    holdout: DataFrame | None = None,
+    label: str = "Target",
+    features: Sequence[str] | None = None,
+    spec: basetable.BaseTableSpec | None = None,
+) -> Prepared:
+    """Lineage cut (reliable checkpoint in the shared folder) -> one-pass screen -> selected
+    features (or the given frozen list) -> pipeline fitted on training only -> hash split
+    70/30. When no candidate passes the screen, all candidates are used (``screen_fallback``)."""
     train = cut_lineage(train)
     cands = screen.candidate_features(train, label)
     scr = screen.pearson_screen(train, cands, label)
@@ -49,7 +77,14 @@ def prepare_inputs(spark: SparkSession, sf_dir: str, label: str = "Target", feat
         chosen = cands
     pipe = prepare.fit_prepare(train, chosen)
     fit, valid = prepare.hash_split(pipe.transform(train))
-    return Prepared(spec, chosen, scr, pipe, fit, valid, pipe.transform(holdout), fallback)
+    hold = pipe.transform(holdout) if holdout is not None else None
+    return Prepared(spec, chosen, scr, pipe, fit, valid, hold, fallback)
+
+
+def prepare_inputs(spark: SparkSession, sf_dir: str, label: str = "Target", features=None) -> Prepared:
+    """``prepare_base`` over the fixture base tables."""
+    spec, train, holdout = basetables(spark, sf_dir)
+    return prepare_base(train, holdout, label, features, spec)
 
 
 def fit_and_score(p: Prepared, kind: str, label: str = "Target", grid: dict | None = None, folds: int = models.FOLDS):
@@ -59,3 +94,10 @@ def fit_and_score(p: Prepared, kind: str, label: str = "Target", grid: dict | No
     else:
         model = models.fit_cv(kind, p.fit, label, grid=grid, folds=folds)
     return model, models.score(model, p.valid, keep=("order_id", label))
+
+
+def predict_holdout(p: Prepared, model, path: str) -> DataFrame:
+    """Score the hold-out with a fitted model; write (order_id, pred_review_score) to ``path``."""
+    if p.holdout is None:
+        raise ValueError("no hold-out side was prepared")
+    return tables.save_predictions(model.transform(p.holdout), path)
