@@ -27,8 +27,8 @@ def _plus_minutes(ts: Column, minutes: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"), F.lit(0))
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = raw(spark, sf_dir, "part")
+def products(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    p = raw(spark, sf_dir, "part") if src is None else src
     return p.select(
         F.col("p_partkey").alias("product_id"),
         (F.col("p_partkey") % 70).cast("int").alias("product_name_lenght"),
@@ -42,8 +42,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = raw(spark, sf_dir, "orders")
+def orders(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    o = raw(spark, sf_dir, "orders") if src is None else src
     k = F.col("o_orderkey")
     purchase = _plus_minutes(F.col("o_orderdate"), k % MINUTES_PER_DAY)
     approved = _plus_minutes(purchase, k * 7 % 2880)
@@ -62,8 +62,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = raw(spark, sf_dir, "lineitem")
+def order_items(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    li = raw(spark, sf_dir, "lineitem") if src is None else src
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
@@ -73,8 +73,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = raw(spark, sf_dir, "lineitem")
+def order_payments(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    li = raw(spark, sf_dir, "lineitem") if src is None else src
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
@@ -84,8 +84,8 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = raw(spark, sf_dir, "orders")
+def order_reviews(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    o = raw(spark, sf_dir, "orders") if src is None else src
     return o.select(
         F.col("o_orderkey").alias("review_id"),
         F.col("o_orderkey").alias("order_id"),
@@ -100,6 +100,13 @@ VIEWS = {
     "order_payments": order_payments,
     "order_reviews": order_reviews,
 }
+SOURCES = {
+    "products": "part",
+    "orders": "orders",
+    "order_items": "lineitem",
+    "order_payments": "lineitem",
+    "order_reviews": "orders",
+}
 
 
 def is_holdout(order_id: Column) -> Column:
@@ -117,7 +124,8 @@ def side(df: DataFrame, which: str) -> DataFrame:
 def tables(spark: SparkSession, sf_dir: str, which: str = "train") -> dict[str, DataFrame]:
     """The five tables for one side; products are shared by both sides."""
     configure(spark)
-    out = {name: build(spark, sf_dir) for name, build in VIEWS.items()}
+    scans = {t: raw(spark, sf_dir, t) for t in set(SOURCES.values())}  # each file listed once
+    out = {name: build(spark, sf_dir, scans[SOURCES[name]]) for name, build in VIEWS.items()}
     for name in ("orders", "order_items", "order_payments", "order_reviews"):
         out[name] = side(out[name], which)
     if which == "holdout":

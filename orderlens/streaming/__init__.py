@@ -1 +1,7 @@
+"""Streaming: nothing to build.
 
+The reference works on batch tables only: no stream source or sink, watermark, window,
+state or late-data handling appears in it, so this package stays empty on purpose. Every
+operator in ``orderlens`` is a plain DataFrame or MLlib function and can be applied
+unchanged to each micro-batch inside ``foreachBatch`` if a user streams order tables.
+"""
