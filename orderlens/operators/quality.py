@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,38 +23,49 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, scale: int = 6) ->
     """One row per column: type, non-null count, mean, sample stddev, min and max.
 
     Numeric min/max are doubles (``min``/``max``), other types' min/max are text
-    (``min_text``/``max_text``). All statistics come from a single aggregation; the wide
-    result row is then turned into rows with ``inline``.
+    (``min_text``/``max_text``). One scan: every row becomes (column index, number, text)
+    triples via ``inline``, aggregated per column index with a map-side partial step in the
+    same stage (the triples are never shuffled, and seven aggregate functions keep the
+    generated code compact however wide the table is).
     """
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
-    aggs: list[Column] = []
-    rows: list[Column] = []
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        num = _numeric(f.dataType)
-        aggs += [
-            F.count(c).alias(f"n{i}"),
-            (F.round(F.avg(c), scale) if num else F.lit(None).cast("double")).alias(f"mean{i}"),
-            (F.round(F.stddev_samp(c), scale) if num else F.lit(None).cast("double")).alias(f"sd{i}"),
-            (F.min(c).cast("double") if num else F.lit(None).cast("double")).alias(f"min{i}"),
-            (F.max(c).cast("double") if num else F.lit(None).cast("double")).alias(f"max{i}"),
-            (F.lit(None).cast("string") if num else F.min(c).cast("string")).alias(f"mint{i}"),
-            (F.lit(None).cast("string") if num else F.max(c).cast("string")).alias(f"maxt{i}"),
-        ]
-        rows.append(
+    triples = F.array(
+        *[
             F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col(f"n{i}").alias("count"),
-                F.col(f"mean{i}").alias("mean"),
-                F.col(f"sd{i}").alias("stddev"),
-                F.col(f"min{i}").alias("min"),
-                F.col(f"max{i}").alias("max"),
-                F.col(f"mint{i}").alias("min_text"),
-                F.col(f"maxt{i}").alias("max_text"),
+                F.lit(i).alias("_i"),
+                (F.col(f"`{f.name}`").cast("double") if _numeric(f.dataType) else F.lit(None).cast("double")).alias("_x"),
+                (F.lit(None).cast("string") if _numeric(f.dataType) else F.col(f"`{f.name}`").cast("string")).alias("_t"),
             )
+            for i, f in enumerate(fields)
+        ]
+    )
+    stats = (
+        df.select(F.inline(triples))
+        .groupBy("_i")
+        .agg(
+            (F.count("_x") + F.count("_t")).alias("count"),
+            F.round(F.avg("_x"), scale).alias("mean"),
+            F.round(F.stddev_samp("_x"), scale).alias("stddev"),
+            F.min("_x").alias("min"),
+            F.max("_x").alias("max"),
+            F.min("_t").alias("min_text"),
+            F.max("_t").alias("max_text"),
         )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    )
+    names = F.array(*[F.lit(f.name) for f in fields])
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
+    pos = F.col("_i") + 1
+    return stats.orderBy("_i").select(
+        F.element_at(names, pos).alias("column_name"),
+        F.element_at(types, pos).alias("data_type"),
+        "count",
+        "mean",
+        "stddev",
+        "min",
+        "max",
+        "min_text",
+        "max_text",
+    )
 
 
 def null_counts(df: DataFrame, nan: bool = False) -> DataFrame:
