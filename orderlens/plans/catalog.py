@@ -386,24 +386,22 @@ def train_valid_split(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ I. evaluation
+def _rounded(spark, values: dict, scale: int = 9) -> DataFrame:
+    """One row of metric values, rounded by Spark's own rule (half-up on the decimal text)."""
+    row = spark.createDataFrame([tuple(float(v) for v in values.values())], ", ".join(f"{k} double" for k in values))
+    return row.select(*[F.round(k, scale).alias(k) for k in values])
+
+
 @query
 def metric_auc(spark, sf_dir):
-    scored = _labelled_docs(spark, sf_dir)
-    value = metrics.auc(scored)
-    return spark.createDataFrame([(round(value, 9),)], "auc double")
+    return _rounded(spark, {"auc": metrics.auc(_labelled_docs(spark, sf_dir))})
 
 
 @query
 def metric_classification(spark, sf_dir):
-    scored = _labelled_docs(spark, sf_dir)
-    m = metrics.evaluate(scored, kind="multiclass")
-    row = (
-        round(m["weightedPrecision"], 9),
-        round(m["weightedRecall"], 9),
-        round(m["f1"], 9),
-        round(m["accuracy"], 9),
-    )
-    return spark.createDataFrame([row], "weighted_precision double, weighted_recall double, f1 double, accuracy double")
+    m = metrics.evaluate(_labelled_docs(spark, sf_dir), kind="multiclass")
+    names = {"weighted_precision": "weightedPrecision", "weighted_recall": "weightedRecall", "f1": "f1", "accuracy": "accuracy"}
+    return _rounded(spark, {k: m[v] for k, v in names.items()})
 
 
 # ------------------------------------------------------------------ H. models
