@@ -134,8 +134,36 @@ def fit_spec(train: dict[str, DataFrame], weekend_days: Sequence[int] = derive.W
     )
 
 
-def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec) -> DataFrame:
+KEYED_TABLES = {"products": "product_id", "orders": KEY}
+ROW_TABLES = ("order_items", "order_payments")
+
+
+def dedupe_inputs(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Duplicates removed from every input (the source meant to, but discarded the result).
+
+    Products and orders keep one row per key (the smallest by their other columns, so the
+    choice is deterministic); the result is already partitioned on the key the next join
+    uses, so this costs no extra shuffle. Items and payments have no reliable key and lose
+    exact duplicate rows only (one more shuffle each). Reviews are reduced to one per order by
+    ``review_features``. Every dedupe aggregates map-side first, so a heavily copied row is
+    reduced inside each task before anything is shuffled.
+    """
+    out = {}
+    for name, df in t.items():
+        if name in KEYED_TABLES:
+            key = KEYED_TABLES[name]
+            out[name] = quality.dedupe_by_key(df, key, [c for c in df.columns if c != key])
+        elif name in ROW_TABLES:
+            out[name] = quality.dedupe_rows(df)
+        else:
+            out[name] = df
+    return out
+
+
+def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = True) -> DataFrame:
     """All per-order pieces joined 1:1 on ``order_id`` (reviews only when given)."""
+    if dedupe:
+        t = dedupe_inputs(t)
     items = item_rollup(t["order_items"], t["products"])
     pays = payment_features(t["order_payments"], spec.payment_types)
     orders = clean_orders(t["orders"], spec.weekend_days)
@@ -159,14 +187,16 @@ def feature_columns(spec: BaseTableSpec) -> list[str]:
     )
 
 
-def build_basetable(t: dict[str, DataFrame], spec: BaseTableSpec) -> DataFrame:
+def build_basetable(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = True) -> DataFrame:
     """One row per order: ids, label (if reviews are given), features, bins and category dummies.
 
+    Inputs are first cleared of exact duplicate rows (``dedupe``: one more shuffle per table,
+    with a map-side partial step, so even a heavily repeated row is reduced in its task).
     Incomplete orders (a null anywhere, e.g. undelivered orders or zero weights) are dropped,
     then the three bins and the dummies of the representative item's category are added as
     projections (the table already has one row per order, so no further shuffle).
     """
-    base = quality.drop_incomplete(joined_orders(t, spec))
+    base = quality.drop_incomplete(joined_orders(t, spec, dedupe))
     base = derive.add_bins(base)
     base = rollup.indicator_columns(base, "product_category_name", spec.categories)
     ids = [KEY, "product_id", "customer_id"]

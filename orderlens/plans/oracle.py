@@ -91,7 +91,8 @@ F_REVIEWS = """f_reviews AS (
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS review_score
   FROM orders)"""
 
-C_PRODUCTS = f"""c_products AS (
+def c_products(name: str = "c_products", src: str = "f_products") -> str:
+    return f"""{name} AS (
   SELECT product_id, product_name_lenght, product_description_lenght, product_photos_qty,
          product_category_name,
          {sround("CAST(product_length_cm * product_height_cm * product_width_cm AS DOUBLE) / 1e6", 2)} AS Prod_volume_m3,
@@ -99,7 +100,10 @@ C_PRODUCTS = f"""c_products AS (
          CAST(product_length_cm AS DOUBLE) / 100 AS product_length,
          CAST(product_height_cm AS DOUBLE) / 100 AS product_height,
          CAST(product_width_cm AS DOUBLE) / 100 AS product_width
-  FROM f_products)"""
+  FROM {src})"""
+
+
+C_PRODUCTS = c_products()
 
 FIXTURES = [F_PRODUCTS, F_ORDERS, F_ITEMS, F_PAYMENTS, F_REVIEWS, C_PRODUCTS]
 
@@ -108,7 +112,7 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(list(FIXTURES) + list(ctes)) + "\n"
 
 
-def c_orders(days=TRUE_WEEKEND, where: str = "TRUE") -> str:
+def c_orders(days=TRUE_WEEKEND, where: str = "TRUE", src: str = "f_orders") -> str:
     return f"""c_orders AS (
   SELECT order_id, customer_id,
          CAST({weekend('order_delivered_customer_date', days)} AS DOUBLE) AS weekend_delivered,
@@ -117,7 +121,7 @@ def c_orders(days=TRUE_WEEKEND, where: str = "TRUE") -> str:
          {hours('order_delivered_customer_date', 'order_delivered_carrier_date')} AS delivery_efficiency,
          {hours('order_estimated_delivery_date', 'order_delivered_customer_date')} AS on_time,
          {hours('order_delivered_customer_date', 'order_purchase_timestamp')} AS total_delivery_time
-  FROM f_orders WHERE order_id IS NOT NULL AND {where})"""
+  FROM {src} WHERE order_id IS NOT NULL AND {where})"""
 
 
 def money_select() -> str:
@@ -208,6 +212,23 @@ def feature_cols() -> list[str]:
     )
 
 
+def _one_per_key(name: str, src: str, key: str, cols: list[str]) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+    return f"""{name} AS (
+  SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)"""
+
+
+# Inputs of the base table cleared of duplicates, as ``basetable.dedupe_inputs`` does it.
+D_ORDERS = _one_per_key("d_orders", "f_orders", "order_id", [
+    "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+    "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+])
+D_PRODUCTS = _one_per_key("d_products", "f_products", "product_id", [
+    "product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g",
+    "product_length_cm", "product_height_cm", "product_width_cm", "product_category_name",
+])
+
+
 def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND) -> list[str]:
     """CTEs ending in ``base``: the base table of one side, as ``build_basetable`` makes it."""
     pay_cols = ",\n         ".join(
@@ -215,14 +236,18 @@ def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND) -> list[str]:
         for t in PAYMENT_TYPES
     )
     ctes = [
-        c_orders(days, side),
+        D_ORDERS,
+        D_PRODUCTS,
+        c_products("dc_products", "d_products"),
+        c_orders(days, side, "d_orders"),
         f"""j_items AS (
   SELECT i.order_id, i.order_item_id, i.product_id, i.price, i.shipping_cost,
          p.product_name_lenght, p.product_description_lenght, p.product_photos_qty,
          p.product_category_name, p.Prod_volume_m3, p.weight_kg,
          p.product_length, p.product_height, p.product_width,
          p.product_id IS NOT NULL AS known
-  FROM (SELECT * FROM f_items WHERE {side}) i LEFT JOIN c_products p ON i.product_id = p.product_id)""",
+  FROM (SELECT DISTINCT * FROM f_items WHERE {side}) i
+       LEFT JOIN dc_products p ON i.product_id = p.product_id)""",
         f"""r_items AS (
   SELECT order_id, {money_select()},
          {shape_select()},
@@ -234,7 +259,7 @@ def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND) -> list[str]:
         f"""r_pay AS (
   SELECT order_id, {pay_cols},
          max(CAST(payment_installments > 1 AS DOUBLE)) AS pay_with_installment
-  FROM f_payments WHERE payment_type <> 'not_defined' AND {side} GROUP BY order_id)""",
+  FROM (SELECT DISTINCT * FROM f_payments) WHERE payment_type <> 'not_defined' AND {side} GROUP BY order_id)""",
     ]
     if labelled:
         ctes.append(
