@@ -15,8 +15,15 @@ BINARY_METRICS = ("areaUnderROC", "weightedPrecision", "weightedRecall", "f1")
 MULTICLASS_METRICS = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
 
 
+# The ROC curve is not down-sampled (numBins=0): the default of 1000 bins makes the area an
+# approximation as soon as there are more distinct scores. The exact curve is still computed
+# on the executors (sorted RDD, per-partition prefix counts); only the area reaches the driver.
+EXACT_BINS = 0
+
+
 def auc(pred: DataFrame, label: str = "label", raw: str = "rawPrediction") -> float:
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC").evaluate(pred)
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=EXACT_BINS)
+    return ev.evaluate(pred)
 
 
 def classification(pred: DataFrame, metric: str, label: str = "label", prediction: str = "prediction") -> float:

@@ -61,7 +61,7 @@ def evaluator(kind: str, label: str):
     """Binary learners are chosen by area under ROC, multiclass ones by weighted F1."""
     if kind in MULTICLASS:
         return MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
 
 
 def param_grid(est, grid: dict) -> list:

@@ -33,9 +33,11 @@ def basetables_from(
     train: dict[str, DataFrame],
     holdout: dict[str, DataFrame] | None = None,
     weekend_days: Sequence[int] = derive.WEEKEND_DAYS,
+    spec: basetable.BaseTableSpec | None = None,
 ) -> tuple[basetable.BaseTableSpec, DataFrame, DataFrame | None]:
-    """Base tables of both sides; pivot value lists learned on the training side."""
-    spec = basetable.fit_spec(train, weekend_days)
+    """Base tables of both sides; pivot value lists learned on the training side unless a
+    ``spec`` from an earlier run is given (which skips the two value-list scans)."""
+    spec = spec or basetable.fit_spec(train, weekend_days)
     hold = basetable.build_basetable(holdout, spec) if holdout is not None else None
     return spec, basetable.build_basetable(train, spec), hold
 
