@@ -44,7 +44,10 @@ def basetables_from(
 
 def basetables(spark: SparkSession, sf_dir: str) -> tuple[basetable.BaseTableSpec, DataFrame, DataFrame]:
     """Training and hold-out base tables of the fixture data."""
-    return basetables_from(fixtures.tables(spark, sf_dir, "train"), fixtures.tables(spark, sf_dir, "holdout"))
+    shared = fixtures.scans(spark, sf_dir)
+    return basetables_from(
+        fixtures.tables(spark, sf_dir, "train", shared), fixtures.tables(spark, sf_dir, "holdout", shared)
+    )
 
 
 @dataclass

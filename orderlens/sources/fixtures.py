@@ -121,11 +121,16 @@ def side(df: DataFrame, which: str) -> DataFrame:
     return df.where(flag if which == "holdout" else ~flag)
 
 
-def tables(spark: SparkSession, sf_dir: str, which: str = "train") -> dict[str, DataFrame]:
-    """The five tables for one side; products are shared by both sides."""
+def scans(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """One scan per raw file, shared by every view (each file is listed and its footer read once)."""
     configure(spark)
-    scans = {t: raw(spark, sf_dir, t) for t in set(SOURCES.values())}  # each file listed once
-    out = {name: build(spark, sf_dir, scans[SOURCES[name]]) for name, build in VIEWS.items()}
+    return {t: raw(spark, sf_dir, t) for t in sorted(set(SOURCES.values()))}
+
+
+def tables(spark: SparkSession, sf_dir: str, which: str = "train", shared: dict | None = None) -> dict[str, DataFrame]:
+    """The five tables for one side; products are shared by both sides."""
+    src = shared if shared is not None else scans(spark, sf_dir)
+    out = {name: build(spark, sf_dir, src[SOURCES[name]]) for name, build in VIEWS.items()}
     for name in ("orders", "order_items", "order_payments", "order_reviews"):
         out[name] = side(out[name], which)
     if which == "holdout":
