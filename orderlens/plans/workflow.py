@@ -106,3 +106,53 @@ def predict_holdout(p: Prepared, model, path: str) -> DataFrame:
     if p.holdout is None:
         raise ValueError("no hold-out side was prepared")
     return tables.save_predictions(model.transform(p.holdout), path)
+
+
+BINARY_KINDS = ("gbt", "lr", "rf", "svm", "dt")
+MULTICLASS_KINDS = ("mlr", "mrf")
+
+
+@dataclass
+class FlowResult:
+    spec: basetable.BaseTableSpec
+    binary: Prepared
+    multiclass: Prepared
+    models: dict  # learner kind -> fitted model (CV models for all but GBT)
+    comparison: DataFrame  # (model, metric, value) on the 30% validation orders
+    predictions: DataFrame  # (order_id, pred_review_score) of the hold-out, as written
+    prediction_counts: DataFrame  # (pred_review_score, count)
+
+
+def run_flow(
+    spark: SparkSession,
+    train: dict[str, DataFrame],
+    holdout: dict[str, DataFrame],
+    output: str,
+    binary_kinds: Sequence[str] = BINARY_KINDS,
+    multiclass_kinds: Sequence[str] = MULTICLASS_KINDS,
+    final: str = "rf",
+    grids: dict | None = None,
+    folds: int = models.FOLDS,
+) -> FlowResult:
+    """The whole source flow in one call: base tables of both sides, the binary and the 1-5
+    screens, every learner (CV over the source's grids unless ``grids`` overrides them),
+    their validation metrics, and the ``final`` learner's hold-out predictions written to
+    ``output`` with their class counts."""
+    from orderlens.operators.rollup import value_counts
+    from orderlens.plans import metrics
+
+    spec, train_base, hold_base = basetables_from(train, holdout)
+    grids = grids or {}
+    binary = prepare_base(train_base, hold_base, "Target", spec=spec)
+    multi = prepare_base(train_base, None, "review_score", spec=spec)
+    fitted, results = {}, {}
+    for kind in binary_kinds:
+        fitted[kind], scored = fit_and_score(binary, kind, "Target", grids.get(kind), folds)
+        results[kind] = metrics.evaluate(scored, label="Target")
+    for kind in multiclass_kinds:
+        fitted[kind], scored = fit_and_score(multi, kind, "review_score", grids.get(kind), folds)
+        results[kind] = metrics.evaluate(scored, label="review_score", kind="multiclass")
+    preds = predict_holdout(binary, fitted[final], output)
+    return FlowResult(
+        spec, binary, multi, fitted, metrics.compare_models(spark, results), preds, value_counts(preds, "pred_review_score")
+    )

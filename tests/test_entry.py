@@ -27,3 +27,26 @@ def test_rows_only_queries_run_small(spark):
     assert sel and all(r.selected in (True, False) for r in sel)
     scored = q["model_gbt"](spark, SF001)
     assert scored.columns == ["order_id", "Target", "prediction"] and scored.count() > 0
+
+
+def test_whole_flow_small_grids(spark):
+    from orderlens.plans import workflow
+    from orderlens.session import scratch_path
+    from orderlens.sources import fixtures
+
+    shared = fixtures.scans(spark, SF001)
+    train = fixtures.tables(spark, SF001, "train", shared)
+    hold = fixtures.tables(spark, SF001, "holdout", shared)
+    hold.pop("order_reviews", None)
+    small = {
+        "lr": {"regParam": [0.1], "maxIter": [10]},
+        "dt": {"maxDepth": [3]},
+        "mlr": {"regParam": [0.1], "maxIter": [10]},
+    }
+    out = workflow.run_flow(
+        spark, train, hold, scratch_path(spark, "flow"), ("lr", "dt"), ("mlr",), final="dt", grids=small, folds=2
+    )
+    comp = out.comparison.collect()
+    assert {r.model for r in comp} == {"lr", "dt", "mlr"} and len(comp) == 12
+    n_pred = out.predictions.count()
+    assert n_pred > 0 and sum(r["count"] for r in out.prediction_counts.collect()) == n_pred
