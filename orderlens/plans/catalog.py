@@ -61,7 +61,7 @@ def csv_multiline(spark, sf_dir):
 
 @query
 def basetable_roundtrip(spark, sf_dir):
-    _, train, _ = workflow.basetables(spark, sf_dir)
+    train = _train_base(spark, sf_dir)
     path = scratch_path(spark, "basetable")
     tables.save_table(train, path)
     return tables.load_table(spark, path)
@@ -300,7 +300,7 @@ def join_back_dummies(spark, sf_dir):
 
 @query
 def basetable_train(spark, sf_dir):
-    return workflow.basetables(spark, sf_dir)[1]
+    return _train_base(spark, sf_dir)
 
 
 @query
@@ -310,7 +310,7 @@ def basetable_holdout(spark, sf_dir):
 
 # ------------------------------------------------------------------ F. screening
 def _train_base(spark, sf_dir):
-    return workflow.basetables(spark, sf_dir)[1]
+    return workflow.basetables(spark, sf_dir, holdout=False)[1]
 
 
 @query

@@ -42,12 +42,13 @@ def basetables_from(
     return spec, basetable.build_basetable(train, spec), hold
 
 
-def basetables(spark: SparkSession, sf_dir: str) -> tuple[basetable.BaseTableSpec, DataFrame, DataFrame]:
-    """Training and hold-out base tables of the fixture data."""
+def basetables(
+    spark: SparkSession, sf_dir: str, holdout: bool = True
+) -> tuple[basetable.BaseTableSpec, DataFrame, DataFrame | None]:
+    """Training and (unless ``holdout=False``) hold-out base tables of the fixture data."""
     shared = fixtures.scans(spark, sf_dir)
-    return basetables_from(
-        fixtures.tables(spark, sf_dir, "train", shared), fixtures.tables(spark, sf_dir, "holdout", shared)
-    )
+    hold = fixtures.tables(spark, sf_dir, "holdout", shared) if holdout else None
+    return basetables_from(fixtures.tables(spark, sf_dir, "train", shared), hold)
 
 
 @dataclass
