@@ -16,7 +16,7 @@ from orderlens.functions import derive
 from orderlens.operators import basetable, quality, rollup, screen
 from orderlens.plans import metrics, models, prepare, workflow
 from orderlens.session import configure, scratch_path
-from orderlens.sources import fixtures, tables
+from orderlens.sources import fixtures, schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -59,6 +59,26 @@ def csv_multiline(spark, sf_dir):
     return tables.read_table(spark, path, docs.schema, multiline=True, null_value=tables.CSV_NULL)
 
 
+@query
+def csv_basetable(spark, sf_dir):
+    """The source's own input path on whole tables: the training-side tables are written as
+    CSV the way the source files hold them (text ids and timestamps, empty = null), read back
+    with the declared schemas (orders and reviews as multiline text) and turned into the
+    base table."""
+    views = fixtures.tables(spark, sf_dir, "train")
+    root = scratch_path(spark, "csv-sources")
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    views["orders"] = views["orders"].withColumns({c: F.date_format(c, stamp) for c in schemas.ORDER_TIMESTAMPS})
+    views["order_reviews"] = views["order_reviews"].withColumns(
+        {"review_creation_date": F.lit(None).cast("string"), "review_answer_timestamp": F.lit(None).cast("string")}
+    )
+    paths = {}
+    for name, df in views.items():
+        paths[name] = f"{root}/{name}"
+        tables.write_csv(df, paths[name], null_value="")
+    return workflow.basetables_from(workflow.read_sources(spark, paths))[1]
+
+
 @query
 def basetable_roundtrip(spark, sf_dir):
     train = _train_base(spark, sf_dir)

@@ -219,25 +219,38 @@ def _one_per_key(name: str, src: str, key: str, cols: list[str]) -> str:
 
 
 # Inputs of the base table cleared of duplicates, as ``basetable.dedupe_inputs`` does it.
-D_ORDERS = _one_per_key("d_orders", "f_orders", "order_id", [
-    "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
-    "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
-])
-D_PRODUCTS = _one_per_key("d_products", "f_products", "product_id", [
-    "product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g",
-    "product_length_cm", "product_height_cm", "product_width_cm", "product_category_name",
-])
+def d_orders(src: str = "f_orders") -> str:
+    return _one_per_key("d_orders", src, "order_id", [
+        "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+        "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+    ])
+
+
+def d_products(src: str = "f_products") -> str:
+    return _one_per_key("d_products", src, "product_id", [
+        "product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g",
+        "product_length_cm", "product_height_cm", "product_width_cm", "product_category_name",
+    ])
+
+
+FIXTURE_SOURCES = {
+    "products": "f_products",
+    "orders": "f_orders",
+    "items": "f_items",
+    "payments": "f_payments",
+    "reviews": "f_reviews",
+}
 
 
-def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND) -> list[str]:
+def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND, src: dict = FIXTURE_SOURCES) -> list[str]:
     """CTEs ending in ``base``: the base table of one side, as ``build_basetable`` makes it."""
     pay_cols = ",\n         ".join(
         f"COALESCE(CAST({money('payment_value')} FILTER (WHERE payment_type = '{t}') AS DOUBLE), 0.0) AS {q(t)}"
         for t in PAYMENT_TYPES
     )
     ctes = [
-        D_ORDERS,
-        D_PRODUCTS,
+        d_orders(src["orders"]),
+        d_products(src["products"]),
         c_products("dc_products", "d_products"),
         c_orders(days, side, "d_orders"),
         f"""j_items AS (
@@ -246,7 +259,7 @@ def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND) -> list[str]:
          p.product_category_name, p.Prod_volume_m3, p.weight_kg,
          p.product_length, p.product_height, p.product_width,
          p.product_id IS NOT NULL AS known
-  FROM (SELECT DISTINCT * FROM f_items WHERE {side}) i
+  FROM (SELECT DISTINCT * FROM {src["items"]} WHERE {side}) i
        LEFT JOIN dc_products p ON i.product_id = p.product_id)""",
         f"""r_items AS (
   SELECT order_id, {money_select()},
@@ -259,14 +272,15 @@ def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND) -> list[str]:
         f"""r_pay AS (
   SELECT order_id, {pay_cols},
          max(CAST(payment_installments > 1 AS DOUBLE)) AS pay_with_installment
-  FROM (SELECT DISTINCT * FROM f_payments) WHERE payment_type <> 'not_defined' AND {side} GROUP BY order_id)""",
+  FROM (SELECT DISTINCT * FROM {src["payments"]}) WHERE payment_type <> 'not_defined' AND {side}
+  GROUP BY order_id)""",
     ]
     if labelled:
         ctes.append(
             f"""r_rev AS (
   SELECT order_id, review_id, CAST(review_score AS DOUBLE) AS review_score,
          CAST(CASE WHEN review_score >= 4 THEN 1 ELSE 0 END AS DOUBLE) AS Target
-  FROM f_reviews WHERE {side}
+  FROM {src["reviews"]} WHERE {side}
   QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY review_id DESC) = 1)"""
         )
     label_sel = "v.review_id, v.review_score, v.Target," if labelled else ""
@@ -319,6 +333,25 @@ def basetable_ctes(side: str, labelled: bool, days=TRUE_WEEKEND) -> list[str]:
     return ctes
 
 
+TEXT_SOURCES = {
+    "products": "t_products",
+    "orders": "t_orders",
+    "items": "t_items",
+    "payments": "t_payments",
+    "reviews": "t_reviews",
+}
+TEXT_CTES = [
+    """t_products AS (SELECT * REPLACE (CAST(product_id AS VARCHAR) AS product_id) FROM f_products)""",
+    f"""t_orders AS (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id)
+  FROM f_orders WHERE {TRAIN})""",
+    f"""t_items AS (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(product_id AS VARCHAR) AS product_id)
+  FROM f_items WHERE {TRAIN})""",
+    f"""t_payments AS (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id) FROM f_payments WHERE {TRAIN})""",
+    f"""t_reviews AS (SELECT * REPLACE (CAST(review_id AS VARCHAR) AS review_id, CAST(order_id AS VARCHAR) AS order_id)
+  FROM f_reviews WHERE {TRAIN})""",
+]
+
+
 def basetable_sql(side: str = TRAIN, labelled: bool = True, select: str = "SELECT * FROM base") -> str:
     return with_(*basetable_ctes(side, labelled)) + select
 
@@ -570,6 +603,7 @@ FROM f_items i JOIN (SELECT order_id, {money_select()} FROM f_items GROUP BY ord
         ),
         "basetable_train": basetable_sql(),
         "basetable_holdout": with_(*basetable_ctes(HOLDOUT, False)) + "SELECT * FROM base",
+        "csv_basetable": with_(*TEXT_CTES, *basetable_ctes("TRUE", True, src=TEXT_SOURCES)) + "SELECT * FROM base",
         "pearson_screen": _pearson("Target", screen_features("Target")),
         "pearson_screen_constant": _pearson(
             "review_score", screen_features("review_score"), ", 1.0 AS constant", ["constant"]

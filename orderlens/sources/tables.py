@@ -52,14 +52,15 @@ def parse_timestamps(df: DataFrame, cols, fmt: str = schemas.TIMESTAMP_FORMAT) -
 CSV_NULL = "\\N"
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL) -> None:
     """Header CSV that ``read_table(..., null_value=CSV_NULL)`` reads back unchanged: whitespace
-    kept, quotes doubled, empty text quoted, null written as ``\\N``."""
+    kept, quotes doubled, empty text quoted, null written as ``\\N``. ``null_value=""`` writes
+    the source files' convention instead (an empty field is null)."""
     (
         df.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
-        .option("nullValue", CSV_NULL)
+        .option("nullValue", null_value)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
