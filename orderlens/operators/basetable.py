@@ -127,9 +127,12 @@ def fit_spec(train: dict[str, DataFrame], weekend_days: Sequence[int] = derive.W
     """Pivot value lists from the training side: payment types from the training payments
     (``not_defined`` excluded), categories from the training product catalogue."""
     pays = quality.drop_sentinel(train["order_payments"], "payment_type", PAYMENT_TYPE_SENTINEL)
+    lists = rollup.distinct_value_lists(
+        {"payment_type": (pays, "payment_type"), "category": (train["products"], "product_category_name")}
+    )
     return BaseTableSpec(
-        payment_types=tuple(rollup.distinct_values(pays, "payment_type")),
-        categories=tuple(rollup.distinct_values(train["products"], "product_category_name")),
+        payment_types=tuple(lists["payment_type"]),
+        categories=tuple(lists["category"]),
         weekend_days=tuple(weekend_days),
     )
 

@@ -210,6 +210,31 @@ def distinct_values(df: DataFrame, col: str, max_values: int = 1000) -> list:
     return [r.v for r in vals]
 
 
+def distinct_value_lists(columns: dict[str, tuple[DataFrame, str]], max_values: int = 1000) -> dict[str, list]:
+    """Several value lists in ONE distributed job: ``{name: (frame, column)}`` -> sorted values.
+
+    At most ``len(columns) * (max_values + 1)`` rows reach the driver. If every list has at
+    most ``max_values`` values, that bound cannot cut any of them; if it is reached, some list
+    is too long, which is an error rather than a silent cut.
+    """
+    parts = [
+        df.select(F.lit(name).alias("k"), _c(col).cast("string").alias("v")).where(F.col("v").isNotNull())
+        for name, (df, col) in columns.items()
+    ]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    cap = len(parts) * (max_values + 1)
+    rows = union.distinct().orderBy("k", "v").limit(cap).collect()
+    out: dict[str, list] = {name: [] for name in columns}
+    for r in rows:
+        out[r.k].append(r.v)
+    too_long = [k for k, v in out.items() if len(v) > max_values]
+    if too_long or len(rows) >= cap:
+        raise ValueError(f"more than {max_values} distinct values in {too_long or list(columns)}; not pivot columns")
+    return out
+
+
 def pivot_sum(df: DataFrame, key: str, by: str, value: str, values: Sequence, money: bool = True) -> DataFrame:
     """One column per listed value of ``by`` with the sum of ``value``; absent -> 0.
 

@@ -124,6 +124,15 @@ def test_distinct_values_refuses_high_cardinality(spark):
         rollup.distinct_values(df, "c", max_values=10)
 
 
+def test_value_lists_in_one_job(spark):
+    a = spark.createDataFrame([("x",), ("y",), ("x",), (None,)], "c string")
+    b = spark.range(3).withColumn("c", F.col("id").cast("string"))
+    got = rollup.distinct_value_lists({"a": (a, "c"), "b": (b, "c")}, max_values=3)
+    assert got == {"a": ["x", "y"], "b": ["0", "1", "2"]}
+    with pytest.raises(ValueError):
+        rollup.distinct_value_lists({"a": (a, "c"), "b": (b, "c")}, max_values=2)
+
+
 def test_money_sums_are_exact(spark):
     # 0.1 + 0.2 in doubles is 0.30000000000000004; summed as cents it is 0.3.
     df = spark.createDataFrame([(1, 0.1, 0.2, 1, "p")] * 1 + [(1, 0.2, 0.1, 2, "q")], "order_id int, price double, shipping_cost double, order_item_id int, product_id string")
