@@ -164,7 +164,8 @@ def dedupe_inputs(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = True) -> DataFrame:
-    """All per-order pieces joined 1:1 on ``order_id`` (reviews only when given)."""
+    """All per-order pieces joined 1:1 on ``order_id`` (reviews only when given), with the
+    representative item's ``shipping_cost/kg``."""
     if dedupe:
         t = dedupe_inputs(t)
     items = item_rollup(t["order_items"], t["products"])
@@ -173,9 +174,9 @@ def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = T
     base = items.join(pays, KEY).join(orders, KEY)
     if "order_reviews" in t:
         base = base.join(review_features(t["order_reviews"]), KEY)
-    return base.withColumn("shipping_cost/kg", derive.safe_ratio("total_shipping_cost", "_rep_weight_kg")).drop(
-        "_rep_weight_kg"
-    )
+    keep = [F.col(f"`{c}`") for c in base.columns if c != "_rep_weight_kg"]
+    ratio = derive.safe_ratio("total_shipping_cost", "_rep_weight_kg").alias("shipping_cost/kg")
+    return base.select(*keep, ratio)
 
 
 def feature_columns(spec: BaseTableSpec) -> list[str]:
@@ -193,23 +194,19 @@ def feature_columns(spec: BaseTableSpec) -> list[str]:
 def build_basetable(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = True) -> DataFrame:
     """One row per order: ids, label (if reviews are given), features, bins and category dummies.
 
-    Inputs are first cleared of exact duplicate rows (``dedupe``: one more shuffle per table,
-    with a map-side partial step, so even a heavily repeated row is reduced in its task).
-    Incomplete orders (a null anywhere, e.g. undelivered orders or zero weights) are dropped,
-    then the three bins and the dummies of the representative item's category are added as
-    projections (the table already has one row per order, so no further shuffle).
+    Inputs are first cleared of duplicates (``dedupe``, see ``dedupe_inputs``). Incomplete
+    orders (a null anywhere, e.g. undelivered orders or zero weights) are dropped; then one
+    projection adds the three bins and the dummies of the representative item's category and
+    casts the features to double (the table already has one row per order, so no shuffle; one
+    projection rather than several keeps the driver from re-analysing the plan per step).
     """
     base = quality.drop_incomplete(joined_orders(t, spec, dedupe))
-    base = derive.add_bins(base)
-    base = rollup.indicator_columns(base, "product_category_name", spec.categories)
     ids = [KEY, "product_id", "customer_id"]
     label = ["review_id", "review_score", "Target"] if "order_reviews" in t else []
-    feats = feature_columns(spec)
-    out = base.select(
-        *ids,
-        *label,
-        *[F.col(f"`{c}`").cast("double").alias(c) for c in feats],
-        "product_category_name",
-        *derive.BINS.keys(),
-    )
-    return out
+    cats = [str(c) for c in spec.categories]
+    dummies = {c: F.when(F.col("product_category_name") == F.lit(c), 1.0).otherwise(0.0) for c in cats}
+    feats = [
+        dummies[c].alias(c) if c in dummies else F.col(f"`{c}`").cast("double").alias(c) for c in feature_columns(spec)
+    ]
+    bins = [derive.bin3(src, lo, hi, labels).alias(name) for name, (src, lo, hi, labels) in derive.BINS.items()]
+    return base.select(*ids, *label, *feats, "product_category_name", *bins)

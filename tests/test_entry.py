@@ -50,3 +50,15 @@ def test_whole_flow_small_grids(spark):
     assert {r.model for r in comp} == {"lr", "dt", "mlr"} and len(comp) == 12
     n_pred = out.predictions.count()
     assert n_pred > 0 and sum(r["count"] for r in out.prediction_counts.collect()) == n_pred
+
+
+def test_base_table_independent_of_partitioning(spark):
+    from orderlens.operators import basetable
+    from orderlens.sources import fixtures
+
+    t = fixtures.tables(spark, SF001, "train")
+    spec = basetable.fit_spec(t)
+    want = sorted(tuple(r) for r in basetable.build_basetable(t, spec).collect())
+    shuffled = {name: df.repartition(7) for name, df in t.items()}
+    got = sorted(tuple(r) for r in basetable.build_basetable(shuffled, spec).collect())
+    assert got == want and len(want) > 0
