@@ -163,9 +163,7 @@ def dedupe_inputs(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = True) -> DataFrame:
-    """All per-order pieces joined 1:1 on ``order_id`` (reviews only when given), with the
-    representative item's ``shipping_cost/kg``."""
+def _joins(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool) -> DataFrame:
     if dedupe:
         t = dedupe_inputs(t)
     items = item_rollup(t["order_items"], t["products"])
@@ -174,9 +172,19 @@ def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = T
     base = items.join(pays, KEY).join(orders, KEY)
     if "order_reviews" in t:
         base = base.join(review_features(t["order_reviews"]), KEY)
+    return base
+
+
+def _shipping_per_kg():
+    return derive.safe_ratio("total_shipping_cost", "_rep_weight_kg")
+
+
+def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = True) -> DataFrame:
+    """All per-order pieces joined 1:1 on ``order_id`` (reviews only when given), with the
+    representative item's ``shipping_cost/kg``."""
+    base = _joins(t, spec, dedupe)
     keep = [F.col(f"`{c}`") for c in base.columns if c != "_rep_weight_kg"]
-    ratio = derive.safe_ratio("total_shipping_cost", "_rep_weight_kg").alias("shipping_cost/kg")
-    return base.select(*keep, ratio)
+    return base.select(*keep, _shipping_per_kg().alias("shipping_cost/kg"))
 
 
 def feature_columns(spec: BaseTableSpec) -> list[str]:
@@ -194,19 +202,22 @@ def feature_columns(spec: BaseTableSpec) -> list[str]:
 def build_basetable(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = True) -> DataFrame:
     """One row per order: ids, label (if reviews are given), features, bins and category dummies.
 
-    Inputs are first cleared of duplicates (``dedupe``, see ``dedupe_inputs``). Incomplete
-    orders (a null anywhere, e.g. undelivered orders or zero weights) are dropped; then one
-    projection adds the three bins and the dummies of the representative item's category and
-    casts the features to double (the table already has one row per order, so no shuffle; one
-    projection rather than several keeps the driver from re-analysing the plan per step).
+    Inputs are first cleared of duplicates (``dedupe``, see ``dedupe_inputs``). One projection
+    over the joined pieces computes ``shipping_cost/kg``, casts the features to double and adds
+    the three bins and the dummies of the representative item's category (the table already
+    has one row per order, so no shuffle). Incomplete orders (a null or NaN anywhere, e.g.
+    undelivered orders or zero weights) are then dropped; bins and dummies are never null, so
+    this drops exactly the orders incomplete before them. Few DataFrame steps on the large
+    joined plan also keep the driver from re-analysing it again and again.
     """
-    base = quality.drop_incomplete(joined_orders(t, spec, dedupe))
+    base = _joins(t, spec, dedupe)
     ids = [KEY, "product_id", "customer_id"]
     label = ["review_id", "review_score", "Target"] if "order_reviews" in t else []
-    cats = [str(c) for c in spec.categories]
-    dummies = {c: F.when(F.col("product_category_name") == F.lit(c), 1.0).otherwise(0.0) for c in cats}
+    dummies = {str(c): F.when(F.col("product_category_name") == F.lit(c), 1.0).otherwise(0.0) for c in spec.categories}
+    computed = {"shipping_cost/kg": _shipping_per_kg(), **dummies}
     feats = [
-        dummies[c].alias(c) if c in dummies else F.col(f"`{c}`").cast("double").alias(c) for c in feature_columns(spec)
+        (computed[c] if c in computed else F.col(f"`{c}`").cast("double")).alias(c) for c in feature_columns(spec)
     ]
     bins = [derive.bin3(src, lo, hi, labels).alias(name) for name, (src, lo, hi, labels) in derive.BINS.items()]
-    return base.select(*ids, *label, *feats, "product_category_name", *bins)
+    out = base.select(*ids, *label, *feats, "product_category_name", *bins)
+    return quality.drop_incomplete(out)
