@@ -1,9 +1,10 @@
 """Near-duplicate vectors: iterative quantisation, multi-index Hamming tables, exact rerank.
 
 Fit. On a bounded sample (the ``sample_rows`` vectors with the smallest id hash, default 8192) the
-centre and principal axes are taken and a rotation is learned that brings the projections near
-the corners of a cube (iterative quantisation), so that every bit is balanced. Centre and
-rotation are a few 10 KB.
+principal axes are taken and a rotation is learned that brings the projections near the corners
+of a cube (iterative quantisation), so that the bits share the spread evenly. The origin stays
+the centre, as cosines are measured from it: centred on the mean, the codes of one large group
+of near copies would be noise. The rotation is a few 10 KB.
 
 Index. Every distinct vector gets its ``BITS``-bit code. The code is cut into ``TABLES`` blocks;
 a vector enters each table under its label, length and block. Codes that differ in fewer bits
@@ -49,7 +50,6 @@ ROUNDS = 40
 
 @dataclass
 class Quantiser:
-    centre: np.ndarray
     axes: np.ndarray  # (dim, bits)
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
@@ -59,7 +59,7 @@ class Quantiser:
             fitted = np.zeros((len(vectors), dim))
             fitted[:, : vectors.shape[1]] = vectors[:, :dim]
             vectors = fitted
-        sign = (vectors - self.centre) @ self.axes > 0
+        sign = vectors @ self.axes > 0
         return (sign.astype(np.uint64) << np.arange(bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
 
@@ -67,16 +67,14 @@ def learn_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, s
     """Principal axes and the rotation that makes their signs the best code of the sample."""
     dim = sample.shape[1]
     bits = min(bits, dim)
-    centre = sample.mean(0)
-    spread = np.cov((sample - centre).T) if len(sample) > 1 else np.eye(dim)
-    axes = np.linalg.eigh(np.atleast_2d(spread))[1][:, ::-1][:, :bits]
-    low = (sample - centre) @ axes
+    axes = np.linalg.eigh(sample.T @ sample)[1][:, ::-1][:, :bits]
+    low = sample @ axes
     turn = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits, bits)))[0]
     for _ in range(rounds):
         corners = np.where(low @ turn > 0, 1.0, -1.0)
         left, _, right = np.linalg.svd(corners.T @ low)
         turn = (left @ right).T
-    return Quantiser(centre, axes @ turn)
+    return Quantiser(axes @ turn)
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
@@ -131,6 +129,7 @@ def _pairs(group: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np
     at = np.arange(len(group))
     for step in range(1, int(sizes[small].max(initial=1))):
         i = at[at + step < room]
+        i = i[(side[i] == 2) | (side[i] != side[i + step])]
         yield i, i + step
     for s, n in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
         if side[s] == 2:
