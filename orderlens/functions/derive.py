@@ -34,10 +34,11 @@ def to_metres(df: DataFrame, cols: Iterable[str], suffix: str = "_cm") -> DataFr
 def volume_m3(length_cm: ColumnOrName, height_cm: ColumnOrName, width_cm: ColumnOrName, scale: int = 2) -> Column:
     """Volume in m^3 from centimetres, rounded half-up.
 
-    The product is taken in cm^3 (exact for integer sizes) and divided once, so values that sit
-    exactly on a rounding boundary round the same way on every engine.
+    The product is taken in cm^3 as doubles (exact for integer sizes up to 2^53, no integer
+    overflow) and divided once, so values that sit exactly on a rounding boundary round the same
+    way on every engine.
     """
-    cm3 = _col(length_cm) * _col(height_cm) * _col(width_cm)
+    cm3 = _col(length_cm).cast("double") * _col(height_cm) * _col(width_cm)
     return F.round(cm3 / 1_000_000, scale)
 
 
@@ -79,11 +80,6 @@ def bin3(c: ColumnOrName, lo: float, hi: float, labels: Sequence[str]) -> Column
     return F.when(x <= lo, low).when(x <= hi, mid).otherwise(high)
 
 
-def as_double(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Model inputs to double (``try_cast``: unparsable text becomes null instead of failing)."""
-    return df.withColumns({c: F.col(c).try_cast("double") for c in cols})
-
-
 # The three bin definitions (input mean, edges, labels).
 PHOTO_BINS = ("mean_photo", 5, 15, ("Minimal", "Moderate", "Abundant"))
 NAME_BINS = ("mean_name", 20, 50, ("Short name", "Medium name", "Long name"))
@@ -94,7 +90,3 @@ DESCRIPTION_BINS = (
     ("Short description", "Medium description", "Long description"),
 )
 BINS = {"nbr_photo": PHOTO_BINS, "name_length": NAME_BINS, "description_length": DESCRIPTION_BINS}
-
-
-def add_bins(df: DataFrame, bins: dict = BINS) -> DataFrame:
-    return df.withColumns({name: bin3(src, lo, hi, labels) for name, (src, lo, hi, labels) in bins.items()})

@@ -17,9 +17,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.functions import derive
 from orderlens.operators import quality, rollup
+from orderlens.sources import tables
 
 KEY = "order_id"
 
@@ -36,6 +38,16 @@ ORDER_FEATURES = (
     "total_delivery_time",
 )
 
+# Every column of the base table whose name does not come from the data.
+FIXED_COLUMNS = (
+    (KEY, "product_id", "customer_id", "review_id", "review_score", "Target", "product_category_name")
+    + rollup.MONEY_COLUMNS
+    + rollup.SHAPE_COLUMNS
+    + ORDER_FEATURES
+    + ("pay_with_installment", "shipping_cost/kg", "_rep_weight_kg")
+    + tuple(derive.BINS)
+)
+
 
 @dataclass(frozen=True)
 class BaseTableSpec:
@@ -45,6 +57,25 @@ class BaseTableSpec:
     categories: tuple = ()
     weekend_days: tuple = derive.WEEKEND_DAYS
 
+    def payment_columns(self) -> list[str]:
+        """Column of each payment type: its name, prefixed if a fixed column has that name."""
+        return _named(self.payment_types, "payment", set(FIXED_COLUMNS))
+
+    def category_columns(self) -> list[str]:
+        """Column of each category: its name, prefixed if a fixed or payment column has that name."""
+        return _named(self.categories, "category", set(FIXED_COLUMNS) | set(self.payment_columns()))
+
+
+def _named(values: Sequence[str], prefix: str, taken: set[str]) -> list[str]:
+    taken, out = {t.lower() for t in taken}, []
+    for v in values:
+        name = str(v)
+        while name.lower() in taken:
+            name = f"{prefix}:{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
 
 def clean_products(products: DataFrame) -> DataFrame:
     """Sizes to metres, volume in m^3 and weight in kg (both rounded to 2 decimals)."""
@@ -92,16 +123,14 @@ def item_rollup(items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def payment_features(payments: DataFrame, payment_types: Sequence[str]) -> DataFrame:
+def payment_features(payments: DataFrame, spec: BaseTableSpec) -> DataFrame:
     """Per order: paid amount per payment type (0 when absent) and whether any payment used
     instalments; ``not_defined`` payments are removed on both sides. One aggregation."""
     p = quality.drop_sentinel(payments, "payment_type", PAYMENT_TYPE_SENTINEL)
+    paid = lambda t: F.when(F.col("payment_type").cast("string") == F.lit(t), F.col("payment_value"))
     sums = [
-        F.coalesce(
-            rollup.from_cents(F.sum(F.when(F.col("payment_type") == F.lit(t), rollup.cents(F.col("payment_value"))))),
-            F.lit(0.0),
-        ).alias(str(t))
-        for t in payment_types
+        F.coalesce(rollup.exact_sum(paid(t)), F.lit(0.0)).alias(name)
+        for t, name in zip(spec.payment_types, spec.payment_columns(), strict=True)
     ]
     flag = F.max(derive.threshold_flag("payment_installments")).alias("pay_with_installment")
     return p.groupBy(KEY).agg(*sums, flag)
@@ -109,9 +138,12 @@ def payment_features(payments: DataFrame, payment_types: Sequence[str]) -> DataF
 
 def review_features(reviews: DataFrame) -> DataFrame:
     """Per order: the latest review (by answer time when present, then review id), its score
-    and the binary target (score >= 4)."""
+    and the binary target (score >= 4). An answer time that is no time (such as ``NA``) is
+    earlier than any other."""
     order_by = [c for c in ("review_answer_timestamp", "review_id") if c in reviews.columns]
     r = reviews.select(KEY, *order_by, "review_score")
+    if "review_answer_timestamp" in order_by and isinstance(r.schema["review_answer_timestamp"].dataType, T.StringType):
+        r = tables.parse_timestamps(r, ["review_answer_timestamp"])
     if "review_id" not in order_by:
         r = r.withColumn("review_id", F.lit(None).cast("string"))
     latest = quality.dedupe_by_key(r, KEY, order_by, keep="last")
@@ -144,8 +176,8 @@ ROW_TABLES = ("order_items", "order_payments")
 def dedupe_inputs(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Duplicates removed from every input (the source meant to, but discarded the result).
 
-    Products and orders keep one row per key (the smallest by their other columns, so the
-    choice is deterministic); the result is already partitioned on the key the next join
+    Products and orders keep one row per key (the most complete, then the smallest by their
+    other columns, so the choice is deterministic); the result is already partitioned on the key the next join
     uses, so this costs no extra shuffle. Items and payments have no reliable key and lose
     exact duplicate rows only (one more shuffle each). Reviews are reduced to one per order by
     ``review_features``. Every dedupe aggregates map-side first, so a heavily copied row is
@@ -169,7 +201,7 @@ def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = T
     if dedupe:
         t = dedupe_inputs(t)
     items = item_rollup(t["order_items"], t["products"])
-    pays = payment_features(t["order_payments"], spec.payment_types)
+    pays = payment_features(t["order_payments"], spec)
     orders = clean_orders(t["orders"], spec.weekend_days)
     base = items.join(pays, KEY).join(orders, KEY)
     if "order_reviews" in t:
@@ -182,12 +214,12 @@ def joined_orders(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool = T
 def feature_columns(spec: BaseTableSpec) -> list[str]:
     return (
         list(rollup.MONEY_COLUMNS)
-        + [str(t) for t in spec.payment_types]
+        + spec.payment_columns()
         + ["pay_with_installment"]
         + list(ORDER_FEATURES)
         + ["shipping_cost/kg"]
         + list(rollup.SHAPE_COLUMNS)
-        + [str(c) for c in spec.categories]
+        + spec.category_columns()
     )
 
 
@@ -203,8 +235,11 @@ def build_basetable(t: dict[str, DataFrame], spec: BaseTableSpec, dedupe: bool =
     base = quality.drop_incomplete(joined_orders(t, spec, dedupe))
     ids = [KEY, "product_id", "customer_id"]
     label = ["review_id", "review_score", "Target"] if "order_reviews" in t else []
-    cats = [str(c) for c in spec.categories]
-    dummies = {c: F.when(F.col("product_category_name") == F.lit(c), 1.0).otherwise(0.0) for c in cats}
+    category = F.col("product_category_name").cast("string")
+    dummies = {
+        name: F.when(category == F.lit(c), 1.0).otherwise(0.0)
+        for c, name in zip(spec.categories, spec.category_columns(), strict=True)
+    }
     feats = [
         dummies[c].alias(c) if c in dummies else F.col(f"`{c}`").cast("double").alias(c) for c in feature_columns(spec)
     ]

@@ -22,25 +22,27 @@ def _numeric(dt: T.DataType) -> bool:
 def profile(df: DataFrame, cols: Sequence[str] | None = None, scale: int = 6) -> DataFrame:
     """One row per column: type, non-null count, mean, sample stddev, min and max.
 
-    Numeric min/max are doubles (``min``/``max``), other types' min/max are text
-    (``min_text``/``max_text``). One scan: every row becomes (column index, number, text)
-    triples via ``inline``, aggregated per column index with a map-side partial step in the
-    same stage (the triples are never shuffled, and seven aggregate functions keep the
+    Numeric min/max are doubles (``min``/``max``), those of whole numbers also exact
+    (``min_int``/``max_int``, as ids may lie beyond 2^53), other types' min/max are text
+    (``min_text``/``max_text``). One scan: every row becomes (column index, number, integer, text)
+    rows via ``inline``, aggregated per column index with a map-side partial step in the
+    same stage (the rows are never shuffled, and nine aggregate functions keep the
     generated code compact however wide the table is).
     """
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
-    triples = F.array(
+    cells = F.array(
         *[
             F.struct(
                 F.lit(i).alias("_i"),
                 (F.col(f"`{f.name}`").cast("double") if _numeric(f.dataType) else F.lit(None).cast("double")).alias("_x"),
+                (F.col(f"`{f.name}`") if isinstance(f.dataType, T.IntegralType) else F.lit(None)).cast("long").alias("_n"),
                 (F.lit(None).cast("string") if _numeric(f.dataType) else F.col(f"`{f.name}`").cast("string")).alias("_t"),
             )
             for i, f in enumerate(fields)
         ]
     )
     stats = (
-        df.select(F.inline(triples))
+        df.select(F.inline(cells))
         .groupBy("_i")
         .agg(
             (F.count("_x") + F.count("_t")).alias("count"),
@@ -48,6 +50,8 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, scale: int = 6) ->
             F.round(F.stddev_samp("_x"), scale).alias("stddev"),
             F.min("_x").alias("min"),
             F.max("_x").alias("max"),
+            F.min("_n").alias("min_int"),
+            F.max("_n").alias("max_int"),
             F.min("_t").alias("min_text"),
             F.max("_t").alias("max_text"),
         )
@@ -63,6 +67,8 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, scale: int = 6) ->
         "stddev",
         "min",
         "max",
+        "min_int",
+        "max_int",
         "min_text",
         "max_text",
     )
@@ -100,18 +106,21 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
 
 
 def dedupe_by_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str], keep: str = "first") -> DataFrame:
-    """One row per key: the smallest (``first``) or largest (``last``) by ``order_by``.
+    """One row per key: the smallest (``first``) or largest (``last``) by ``order_by``. ``first``
+    prefers the copy with the fewest nulls, so that a complete copy survives an incomplete one.
 
     Written as ``min``/``max`` of a struct whose leading fields are the ordering columns, so it
     is an ordinary aggregation with a map-side partial step: a key holding a third of all rows
     is reduced in every map task before the shuffle, and no task ever holds a whole group.
     Ties beyond ``order_by`` are broken by the remaining columns, so the survivor is always the
-    same row whatever the partitioning. Nulls sort first.
+    same row whatever the partitioning. Among equally complete copies nulls sort first.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     fields = list(order_by) + rest
-    packed = F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(fields)])
+    missing = sum((F.col(f"`{c}`").isNull().cast("int") for c in fields), F.lit(0))
+    lead = [missing.alias("missing")] if keep == "first" else []
+    packed = F.struct(*lead, *[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(fields)])
     pick = F.min(packed) if keep == "first" else F.max(packed)
     out = df.groupBy(*keys).agg(pick.alias("_row"))
     return out.select(*keys, *[F.col(f"_row.f{i}").alias(c) for i, c in enumerate(fields)]).select(

@@ -1,10 +1,11 @@
 """Per-order aggregations: money, payment mix, product shape, pivots and value counts.
 
 Every rollup is a ``groupBy`` with a map-side partial step, so a hot order is reduced before
-the shuffle. Two-decimal quantities (money, metres, kilograms, m^3) are summed as whole
-hundredths in a ``long``: exact, independent of summation order and partitioning, and kept in
-the fast hash aggregate (a ``decimal(18,2)`` sum needs a 28-digit buffer, several times
-slower). The exact total becomes a double once, at the end.
+the shuffle. Money, metres, kilograms and m^3 are summed as whole millionths in a ``long``: exact
+to six decimals, independent of summation order and partitioning, and small fixed-width buffers.
+The exact total becomes a double once, at the end. A value that has no millionths (NaN,
+infinite, beyond 9 * 10^12) makes its total NaN, as it would in a sum of doubles; a total beyond
+the long range is an error, never a wrong number.
 """
 
 from __future__ import annotations
@@ -19,14 +20,28 @@ from orderlens.functions.derive import safe_ratio
 KEY = "order_id"
 
 
-def cents(c: Column) -> Column:
-    """A two-decimal value as whole hundredths (exact for values with at most 2 decimals)."""
-    return F.rint(c * 100).cast("long")
+UNITS = 1_000_000
 
 
-def from_cents(total: Column) -> Column:
-    """A sum of hundredths back to a double: the nearest double to the exact total."""
-    return total / 100
+def units(c: Column) -> Column:
+    """A value as whole millionths; null if it has none (null, NaN, infinite, too large)."""
+    return F.rint(c.cast("double") * UNITS).try_cast("long")
+
+
+def unfit(c: Column) -> Column:
+    """1 for a value that ``units`` can't hold."""
+    return (c.isNotNull() & units(c).isNull()).cast("int")
+
+
+def from_units(total: Column, spoilt: Column) -> Column:
+    """A sum of millionths as the nearest double; NaN if a value was unfit."""
+    return F.when(spoilt > 0, F.lit(float("nan"))).otherwise(total / UNITS)
+
+
+def exact_sum(c: Column, times: Column | None = None) -> Column:
+    """Exact sum of a column (each row counted ``times``), as double."""
+    u = units(c)
+    return from_units(F.sum(u if times is None else u * times), F.max(unfit(c)))
 
 
 # Output names of the money and shape rollups, spelled as the source spells them.
@@ -58,20 +73,21 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def money_sum(c: str) -> Column:
-    """Exact sum of a 2-decimal money column, as double."""
-    return from_cents(F.sum(cents(_c(c))))
+def _money_totals(p: Column, s: Column, p_spoilt: Column, s_spoilt: Column) -> list[Column]:
+    """Totals and shipping share from sums of millionths and the marks of unfit values."""
+    shipping, both = from_units(s, s_spoilt), from_units(p + s, F.greatest(p_spoilt, s_spoilt))
+    return [
+        from_units(p, p_spoilt).alias("total_price"),
+        shipping.alias("total_shipping_cost"),
+        both.alias("total_cost"),
+        safe_ratio(shipping, both).alias("shipping_cost%"),
+    ]
 
 
 def money_aggs(price: str = "price", shipping: str = "shipping_cost") -> list[Column]:
     """Order money rollup: totals, shipping share, highest item number, distinct products."""
-    p = F.sum(cents(_c(price)))
-    s = F.sum(cents(_c(shipping)))
     return [
-        from_cents(p).alias("total_price"),
-        from_cents(s).alias("total_shipping_cost"),
-        from_cents(p + s).alias("total_cost"),
-        safe_ratio(from_cents(s), from_cents(p + s)).alias("shipping_cost%"),
+        *_money_totals(F.sum(units(_c(price))), F.sum(units(_c(shipping))), F.max(unfit(_c(price))), F.max(unfit(_c(shipping)))),
         F.max("order_item_id").alias("max_order_item_id"),
         F.countDistinct("product_id").alias("num_unique_products_per_id"),
     ]
@@ -80,7 +96,7 @@ def money_aggs(price: str = "price", shipping: str = "shipping_cost") -> list[Co
 def shape_aggs(repeat: Column | None = None, count: Column | None = None) -> list[Column]:
     """Order product-shape rollup over item rows carrying cleaned product columns.
 
-    Sums of metres and kilograms are exact sums of hundredths; ratios are ratios of sums,
+    Sums of metres and kilograms are exact (see ``exact_sum``); ratios are ratios of sums,
     rounded except ``weight_volume``. ``repeat`` (a per-row count) makes every sum count its
     row that many times, which reproduces a rollup over a fanned-out join without building it.
     ``count`` says how many item rows each input row stands for (pre-aggregated rows): sums
@@ -98,11 +114,12 @@ def shape_aggs(repeat: Column | None = None, count: Column | None = None) -> lis
             return F.avg(c)
         return F.try_divide(F.sum(_c(c) * count), F.sum(F.when(_c(c).isNotNull(), count)))
 
-    w = from_cents(F.sum(rep(cents(_c("weight_kg")))))
-    v = from_cents(F.sum(rep(cents(_c("Prod_volume_m3")))))
-    length = from_cents(F.sum(rep(cents(_c("product_length")))))
-    height = from_cents(F.sum(rep(cents(_c("product_height")))))
-    width = from_cents(F.sum(rep(cents(_c("product_width")))))
+    times = None
+    for m in mult:
+        times = m if times is None else times * m
+    w, v, length, height, width = (
+        exact_sum(_c(c), times) for c in ("weight_kg", "Prod_volume_m3", "product_length", "product_height", "product_width")
+    )
     photos = F.sum(rep(_c("product_photos_qty")))
     desc = F.sum(rep(_c("product_description_lenght")))
     return [
@@ -148,24 +165,22 @@ def order_item_rollup(items: DataFrame, products: DataFrame, key: str = KEY) ->
     The product attributes are counted once per item row (weights = item counts of step 1).
     """
     level1 = items.groupBy(key, "product_id").agg(
-        F.sum(cents(_c("price"))).alias("_price"),
-        F.sum(cents(_c("shipping_cost"))).alias("_ship"),
+        F.sum(units(_c("price"))).alias("_price"),
+        F.sum(units(_c("shipping_cost"))).alias("_ship"),
+        F.max(unfit(_c("price"))).alias("_price_spoilt"),
+        F.max(unfit(_c("shipping_cost"))).alias("_ship_spoilt"),
         F.count(F.lit(1)).alias("_n"),
         F.max("order_item_id").alias("_max_item"),
         F.min("order_item_id").alias("_min_item"),
     )
     prod = products.select("product_id", *PRODUCT_ATTRIBUTES).withColumn("_known", F.lit(1))
     joined = level1.join(prod, "product_id", "left")
-    p, s = F.sum("_price"), F.sum("_ship")
     is_known = F.col("_known") == 1
     rep = F.struct(
         F.col("_min_item").alias("order_item_id"), "product_id", "weight_kg", "product_category_name"
     )
     return joined.groupBy(key).agg(
-        from_cents(p).alias("total_price"),
-        from_cents(s).alias("total_shipping_cost"),
-        from_cents(p + s).alias("total_cost"),
-        safe_ratio(from_cents(s), from_cents(p + s)).alias("shipping_cost%"),
+        *_money_totals(F.sum("_price"), F.sum("_ship"), F.max("_price_spoilt"), F.max("_ship_spoilt")),
         F.max("_max_item").alias("max_order_item_id"),
         F.count("product_id").alias("num_unique_products_per_id"),
         *shape_aggs(count=F.col("_n")),
@@ -188,34 +203,38 @@ def order_shape_rollup(rows: DataFrame, key: str = KEY, repeats: DataFrame | Non
     return rows.join(repeats, key).groupBy(key).agg(*shape_aggs(F.col("_repeat")))
 
 
-def payment_counts(payments: DataFrame, key: str = KEY) -> DataFrame:
-    return payments.groupBy(key).agg(F.count(F.lit(1)).alias("_repeat"))
+def repeat_counts(tables: Sequence[DataFrame], key: str = KEY) -> DataFrame:
+    """(key, ``_repeat``): how often a join of ``tables`` on ``key`` repeats a row of that key."""
+    counts = [df.groupBy(key).agg(F.count(F.lit(1)).alias(f"_n{i}")) for i, df in enumerate(tables)]
+    joined = counts[0]
+    for c in counts[1:]:
+        joined = joined.join(c, key)
+    times = F.col("_n0")
+    for i in range(1, len(counts)):
+        times = times * F.col(f"_n{i}")
+    return joined.select(key, times.alias("_repeat"))
 
 
 def payment_by_type(payments: DataFrame, key: str = KEY) -> DataFrame:
-    return payments.groupBy(key, "payment_type").agg(money_sum("payment_value").alias("total_payment_value"))
+    return payments.groupBy(key, "payment_type").agg(exact_sum(_c("payment_value")).alias("total_payment_value"))
 
 
-def distinct_values(df: DataFrame, col: str, max_values: int = 1000) -> list:
-    """Sorted distinct non-null values of a low-cardinality column (pivot value lists).
+def _pivot_limit(df: DataFrame) -> int:
+    """Spark's own bound on pivot columns (``spark.sql.pivotMaxValues``)."""
+    return int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
 
-    Runs as a distributed distinct; at most ``max_values + 1`` values reach the driver, and more
-    than ``max_values`` is an error rather than a silent cut.
-    """
-    vals = (
-        df.select(_c(col).alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v").limit(max_values + 1).collect()
-    )
-    if len(vals) > max_values:
-        raise ValueError(f"{col} has more than {max_values} distinct values; not a pivot column")
-    return [r.v for r in vals]
+
+def distinct_values(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct non-null values of a column as text (a pivot value list)."""
+    return distinct_value_lists({col: (df, col)})[col]
 
 
-def distinct_value_lists(columns: dict[str, tuple[DataFrame, str]], max_values: int = 1000) -> dict[str, list]:
-    """Several value lists in ONE distributed job: ``{name: (frame, column)}`` -> sorted values.
+def distinct_value_lists(columns: dict[str, tuple[DataFrame, str]]) -> dict[str, list[str]]:
+    """Several value lists in ONE distributed job: ``{name: (frame, column)}`` -> sorted values as text.
 
-    At most ``len(columns) * (max_values + 1)`` rows reach the driver. If every list has at
-    most ``max_values`` values, that bound cannot cut any of them; if it is reached, some list
-    is too long, which is an error rather than a silent cut.
+    As in Spark's pivot, more than ``spark.sql.pivotMaxValues`` values of a column are an error,
+    never a silent cut: at most ``len(columns) * (limit + 1)`` rows reach the driver, and if every
+    list is within the limit that bound cannot cut any of them.
     """
     parts = [
         df.select(F.lit(name).alias("k"), _c(col).cast("string").alias("v")).where(F.col("v").isNotNull())
@@ -224,40 +243,45 @@ def distinct_value_lists(columns: dict[str, tuple[DataFrame, str]], max_values:
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    cap = len(parts) * (max_values + 1)
+    limit = _pivot_limit(union)
+    cap = len(parts) * (limit + 1)
     rows = union.distinct().orderBy("k", "v").limit(cap).collect()
-    out: dict[str, list] = {name: [] for name in columns}
+    out: dict[str, list[str]] = {name: [] for name in columns}
     for r in rows:
         out[r.k].append(r.v)
-    too_long = [k for k, v in out.items() if len(v) > max_values]
+    too_long = [k for k, v in out.items() if len(v) > limit]
     if too_long or len(rows) >= cap:
-        raise ValueError(f"more than {max_values} distinct values in {too_long or list(columns)}; not pivot columns")
+        raise ValueError(f"more than spark.sql.pivotMaxValues = {limit} distinct values in {too_long or list(columns)}")
     return out
 
 
-def pivot_sum(df: DataFrame, key: str, by: str, value: str, values: Sequence, money: bool = True) -> DataFrame:
-    """One column per listed value of ``by`` with the sum of ``value``; absent -> 0.
+def pivot_sum(df: DataFrame, key: str, by: str, value: str, values: Sequence, names: Sequence[str] | None = None) -> DataFrame:
+    """One column per listed value of ``by`` (as text) with the exact sum of ``value``; absent -> 0.
 
     The value list is explicit (taken from training data), so train and hold-out get the same
-    columns. Written as conditional sums in a single aggregation: one shuffle on ``key``, and
-    the result stays partitioned on it for the joins that follow.
+    columns. Two steps: one row per (key, value), with a map-side partial step, then the row's
+    cells gathered per key, so the work follows the rows and not rows times columns.
     """
-    aggs = []
-    for v in values:
-        x = F.when(_c(by) == F.lit(v), cents(_c(value)) if money else _c(value))
-        s = from_cents(F.sum(x)) if money else F.sum(x)
-        aggs.append(F.coalesce(s, F.lit(0)).alias(str(v)))
-    return df.groupBy(key).agg(*aggs)
+    cells = df.groupBy(key, _c(by).cast("string").alias("_by")).agg(exact_sum(_c(value)).alias("_sum"))
+    return _spread(cells, key, values, names, 0.0)
 
 
-def pivot_count(df: DataFrame, key: str, by: str, values: Sequence) -> DataFrame:
-    """One column per listed value of ``by`` with the number of rows having it; absent -> 0."""
-    return df.groupBy(key).agg(*[F.count_if(_c(by) == F.lit(v)).alias(str(v)) for v in values])
+def pivot_count(df: DataFrame, key: str, by: str, values: Sequence, names: Sequence[str] | None = None) -> DataFrame:
+    """One column per listed value of ``by`` (as text) with the number of rows having it; absent -> 0."""
+    cells = df.groupBy(key, _c(by).cast("string").alias("_by")).agg(F.count(F.lit(1)).alias("_sum"))
+    return _spread(cells, key, values, names, 0)
 
 
-def indicator_columns(df: DataFrame, by: str, values: Sequence) -> DataFrame:
-    """The same dummies for a frame that already has one row per key: a projection, no shuffle."""
-    return df.withColumns({str(v): F.when(_c(by) == F.lit(v), 1).otherwise(0).cast("long") for v in values})
+def _spread(cells: DataFrame, key: str, values: Sequence, names: Sequence[str] | None, absent) -> DataFrame:
+    """(key, _by, _sum) cells as one row per key with a column per value."""
+    names = [str(v) for v in values] if names is None else list(names)
+    wide = cells.groupBy(key).pivot("_by", [str(v) for v in values]).agg(F.first("_sum"))
+    if not values:
+        return wide
+    kind = cells.schema["_sum"].dataType
+    return wide.toDF(key, *[f"_{i}" for i in range(len(names))]).select(
+        key, *[F.coalesce(F.col(f"_{i}"), F.lit(absent).cast(kind)).alias(n) for i, n in enumerate(names)]
+    )
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

@@ -22,28 +22,6 @@ ALPHA = 0.001
 ID_COLUMNS = ("order_id", "product_id", "review_id", "customer_id")
 LABEL_COLUMNS = ("Target", "review_score")
 
-# The source's hand-frozen selections on its own data (binary sentiment and the
-# 1-5 score). Pass one as ``features=`` to reuse it instead of screening.
-SOURCE_FEATURES_BINARY = (
-    "total_price", "total_shipping_cost", "total_cost", "shipping_cost%", "max_order_item_id",
-    "num_unique_products_per_id", "credit_card", "mobile", "pay_with_installment",
-    "approve_efficiency", "package_efficiency", "delivery_efficiency", "on_time",
-    "total_delivery_time", "shipping_cost/kg", "ttl_weight", "ttl_name", "ttl_volume", "ttl_photo",
-    "ttl_description", "mean_name", "mean_description", "audio", "bed_bath_table",
-    "books_general_interest", "cool_stuff", "furniture_decor", "luggage_accessories",
-    "office_furniture", "sports_leisure", "stationery", "toys",
-)
-SOURCE_FEATURES_MULTI = (
-    "total_price", "total_shipping_cost", "total_cost", "shipping_cost%", "max_order_item_id",
-    "num_unique_products_per_id", "credit_card", "mobile", "pay_with_installment",
-    "approve_efficiency", "package_efficiency", "delivery_efficiency", "on_time",
-    "total_delivery_time", "shipping_cost/kg", "ttl_weight", "ttl_name", "ttl_volume", "ttl_photo",
-    "ttl_description", "mean_name", "aspect_ratio_length_width", "bed_bath_table",
-    "books_general_interest", "computers_accessories", "cool_stuff", "fashion_male_clothing",
-    "furniture_decor", "health_beauty", "luggage_accessories", "office_furniture", "perfumery",
-    "sports_leisure", "toys",
-)
-
 
 def _c(name: str):
     return F.col(f"`{name}`")

@@ -7,6 +7,7 @@ Column names and types match the SQL twins in ``orderlens.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import derive
 from orderlens.operators import basetable, quality, rollup, screen
 from orderlens.plans import metrics, models, prepare, workflow
-from orderlens.session import configure, scratch_path
+from orderlens.session import configure, cut_lineage, scratch_path
 from orderlens.sources import fixtures, schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,32 +60,55 @@ def csv_multiline(spark, sf_dir):
     return tables.read_table(spark, path, docs.schema, multiline=True, null_value=tables.CSV_NULL)
 
 
+def _as_source_files(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The views as the source files hold them: text timestamps, numbers with a fraction,
+    columns in another order, rows with the sentinels."""
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    out = dict(views)
+    o = out["orders"].withColumns({c: F.date_format(c, stamp) for c in schemas.ORDER_TIMESTAMPS})
+    o = o.withColumn("order_id", F.col("order_id").cast("string"))
+    out["orders"] = o.unionByName(o.where("order_id like '%01'").withColumn("order_id", F.lit(basetable.ORDER_ID_SENTINEL)))
+    p = out["order_payments"]
+    none = p.where("order_id % 100 = 1").withColumns({"payment_type": F.lit(basetable.PAYMENT_TYPE_SENTINEL), "payment_value": F.lit(7.5)})
+    out["order_payments"] = p.unionByName(none)
+    if "order_reviews" in out:
+        answered = {"review_creation_date": F.lit(None).cast("string"), "review_answer_timestamp": F.lit("NA")}
+        out["order_reviews"] = out["order_reviews"].withColumns(answered)
+    for name, df in out.items():
+        numbers = {f.name: F.col(f.name).cast("double") for f in schemas.SCHEMAS[name] if f.dataType.typeName() == "double"}
+        out[name] = df.withColumns(numbers).select(*reversed(df.columns))
+    return out
+
+
+def _both_sides(train: DataFrame, holdout: DataFrame) -> DataFrame:
+    """Labelled and unlabelled rows in one frame; ``side`` tells them apart."""
+    marked = train.withColumn("side", F.lit("train")), holdout.withColumn("side", F.lit("holdout"))
+    return marked[0].unionByName(marked[1], allowMissingColumns=True)
+
+
 @query
 def csv_basetable(spark, sf_dir):
-    """The source's own input path on whole tables: the training-side tables are written as
-    CSV the way the source files hold them (text ids and timestamps, empty = null), read back
-    with the declared schemas (orders and reviews as multiline text) and turned into the
-    base table."""
-    views = fixtures.tables(spark, sf_dir, "train")
+    """The source's own input path on whole tables, both sides: the tables are written as CSV the
+    way the source files hold them, read back by header name with the declared schemas and
+    turned into the base tables."""
     root = scratch_path(spark, "csv-sources")
-    stamp = "yyyy-MM-dd HH:mm:ss"
-    views["orders"] = views["orders"].withColumns({c: F.date_format(c, stamp) for c in schemas.ORDER_TIMESTAMPS})
-    views["order_reviews"] = views["order_reviews"].withColumns(
-        {"review_creation_date": F.lit(None).cast("string"), "review_answer_timestamp": F.lit(None).cast("string")}
-    )
-    paths = {}
-    for name, df in views.items():
-        paths[name] = f"{root}/{name}"
-        tables.write_csv(df, paths[name], null_value="")
-    return workflow.basetables_from(workflow.read_sources(spark, paths))[1]
+    sides = {}
+    for side in ("train", "holdout"):
+        paths = {name: f"{root}/{side}/{name}" for name in fixtures.tables(spark, sf_dir, side)}
+        for name, df in _as_source_files(fixtures.tables(spark, sf_dir, side)).items():
+            tables.write_csv(df, paths[name], null_value="")
+        sides[side] = workflow.read_sources(spark, paths)
+    _, train, holdout = workflow.basetables_from(sides["train"], sides["holdout"])
+    return _both_sides(train, holdout)
 
 
 @query
 def basetable_roundtrip(spark, sf_dir):
-    train = _train_base(spark, sf_dir)
-    path = scratch_path(spark, "basetable")
-    tables.save_table(train, path)
-    return tables.load_table(spark, path)
+    _, train, holdout = workflow.basetables(spark, sf_dir)
+    root = scratch_path(spark, "basetable")
+    tables.save_table(train, f"{root}/train")
+    tables.save_table(holdout, f"{root}/holdout")
+    return _both_sides(tables.load_table(spark, f"{root}/train"), tables.load_table(spark, f"{root}/holdout"))
 
 
 # ------------------------------------------------------------------ B. data quality
@@ -168,14 +192,16 @@ def product_weight(spark, sf_dir):
 
 @query
 def shipping_per_kg(spark, sf_dir):
-    rows = _items_products(spark, sf_dir)
+    """The order's total shipping cost over the item's weight, on every item row."""
+    totals = rollup.order_money_rollup(_view(spark, sf_dir, "order_items")).select("order_id", "total_shipping_cost")
+    rows = _items_products(spark, sf_dir).join(totals, "order_id")
     return rows.select(
         "order_id",
         "order_item_id",
         "product_id",
-        "shipping_cost",
+        "total_shipping_cost",
         "weight_kg",
-        derive.safe_ratio("shipping_cost", "weight_kg").alias("shipping_cost/kg"),
+        derive.safe_ratio("total_shipping_cost", "weight_kg").alias("shipping_cost/kg"),
     )
 
 
@@ -255,10 +281,10 @@ def order_shape_rollup(spark, sf_dir):
 
 @query
 def order_shape_rollup_joined(spark, sf_dir):
-    """The source's numbers (rollup over items x payments of each order) without building the
-    pairs: sums scaled by the order's payment count, means and ratios unchanged."""
-    pays = rollup.payment_counts(_view(spark, sf_dir, "order_payments"))
-    return rollup.order_shape_rollup(_items_products(spark, sf_dir), repeats=pays)
+    """The source's numbers (rollup over items x payments x reviews of each order) without
+    building the rows: sums scaled by the order's payments times reviews."""
+    repeats = rollup.repeat_counts([_view(spark, sf_dir, "order_payments"), _view(spark, sf_dir, "order_reviews")])
+    return rollup.order_shape_rollup(_items_products(spark, sf_dir), repeats=repeats)
 
 
 @query
@@ -311,11 +337,17 @@ def join_back_payments(spark, sf_dir):
 
 @query
 def join_back_dummies(spark, sf_dir):
-    train = fixtures.tables(spark, sf_dir, "train")
+    """Category dummies pivoted per order and joined back, on both sides."""
+    train, holdout = (fixtures.tables(spark, sf_dir, side) for side in ("train", "holdout"))
     spec = basetable.fit_spec(train)
-    pre = quality.drop_incomplete(basetable.joined_orders(train, spec))
-    dummies = rollup.pivot_count(pre, "order_id", "product_category_name", spec.categories)
-    return pre.select("order_id", "product_category_name").join(dummies, "order_id")
+
+    def dummies(t):
+        pre = quality.drop_incomplete(basetable.joined_orders(t, spec)).select("order_id", "product_category_name")
+        pre = cut_lineage(pre)  # the pivot and the join read two columns, not the joins again
+        wide = rollup.pivot_count(pre, "order_id", "product_category_name", spec.categories, spec.category_columns())
+        return pre.join(wide, "order_id")
+
+    return _both_sides(dummies(train), dummies(holdout))
 
 
 @query
@@ -347,11 +379,33 @@ def pearson_screen_constant(spark, sf_dir):
     return out.select("feature", "n", "r")
 
 
+def _selection(base: DataFrame) -> DataFrame:
+    scr = screen.pearson_screen(base, screen.candidate_features(base, "Target"), "Target")
+    out = screen.select_features(scr)
+    return out.select("feature", "n", F.round("r", 9).alias("r"), F.round("p_value", 6).alias("p_value"), "selected")
+
+
 @query
 def select_features(spark, sf_dir):
-    base = _train_base(spark, sf_dir)
-    scr = screen.pearson_screen(base, screen.candidate_features(base, "Target"), "Target")
-    return screen.select_features(scr)
+    return _selection(_train_base(spark, sf_dir))
+
+
+def _by_weekend(base: DataFrame) -> DataFrame:
+    """A label that a feature explains: the binary target is the weekend flag."""
+    return base.withColumn("Target", F.col("weekend_delivered"))
+
+
+def _by_category(base: DataFrame) -> DataFrame:
+    """A 1-5 label that features explain: the score follows the product category."""
+    categories = fixtures.CATEGORIES
+    score = F.coalesce(*[F.when(F.col("product_category_name") == c, float(i % 5 + 1)) for i, c in enumerate(categories)])
+    return base.withColumn("review_score", score)
+
+
+@query
+def signal_select_features(spark, sf_dir):
+    """The selection on a label that one feature explains: selected and unselected rows."""
+    return _selection(_by_weekend(_train_base(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ G. model inputs
@@ -369,12 +423,12 @@ def string_index(spark, sf_dir):
 
 @query
 def one_hot(spark, sf_dir):
+    """The active slots of each product's vector (its zeros are not written out)."""
     prods, model = _category_indexer(spark, sf_dir)
     enc = prepare.one_hot(["category_index"], ["category_vec"])
     indexed = model.transform(prods)
-    vec = enc.fit(indexed).transform(indexed)
-    arr = vec.select("product_id", vector_to_array("category_vec").alias("v"))
-    return arr.select("product_id", F.posexplode("v").alias("slot", "value"))
+    vec = enc.fit(indexed).transform(indexed).select("product_id", F.unwrap_udt("category_vec").alias("v"))
+    return vec.select("product_id", F.inline(F.arrays_zip(F.col("v.indices").alias("slot"), F.col("v.values").alias("value"))))
 
 
 @query
@@ -426,8 +480,10 @@ def metric_classification(spark, sf_dir):
 
 # ------------------------------------------------------------------ H. models
 def _model_query(kind: str, label: str = "Target") -> Query:
+    """On the fixtures' own labels, which no feature explains: every candidate is used."""
+
     def run(spark, sf_dir):
-        p = workflow.prepare_inputs(spark, sf_dir, label)
+        p = workflow.prepare_inputs(spark, sf_dir, label, on_empty="all")
         _, scored = workflow.fit_and_score(p, kind, label)
         return scored.select("order_id", label, "prediction")
 
@@ -435,32 +491,92 @@ def _model_query(kind: str, label: str = "Target") -> Query:
     return run
 
 
-for _kind in ("gbt", "lr", "rf", "svm", "dt"):
-    REGISTRY[f"model_{_kind}"] = _model_query(_kind)
-for _kind in ("mlr", "mrf"):
-    REGISTRY[f"model_{_kind}"] = _model_query(_kind, "review_score")
+def _signal_inputs(spark, sf_dir, label: str = "Target", holdout: bool = False) -> workflow.Prepared:
+    """Inputs screened on a label that features explain."""
+    relabel = _by_weekend if label == "Target" else _by_category
+    return workflow.prepare_inputs(spark, sf_dir, label, holdout=holdout, relabel=relabel)
+
+
+def _signal_query(kind: str, label: str = "Target") -> Query:
+    """The learner on such a label: it must predict every validation order."""
+
+    def run(spark, sf_dir):
+        _, scored = workflow.fit_and_score(_signal_inputs(spark, sf_dir, label), kind, label)
+        return scored.select("order_id", label, "prediction")
+
+    run.__name__ = f"signal_{kind}"
+    return run
+
+
+for _kinds, _label in ((workflow.BINARY_KINDS, "Target"), (workflow.MULTICLASS_KINDS, "review_score")):
+    for _kind in _kinds:
+        REGISTRY[f"model_{_kind}"] = _model_query(_kind, _label)
+        REGISTRY[f"signal_{_kind}"] = _signal_query(_kind, _label)
 
 
 @query
 def cv_results(spark, sf_dir):
-    p = workflow.prepare_inputs(spark, sf_dir)
+    p = workflow.prepare_inputs(spark, sf_dir, on_empty="all")
     model = models.fit_cv("lr", p.fit)
     return models.cv_results(spark, model)
 
 
+def _comparison(inputs: dict[str, workflow.Prepared], spark) -> tuple[DataFrame, DataFrame]:
+    """All learners on their inputs: (model, metric, value), and every search's grid points."""
+    results, searches = {}, []
+    for kinds, label in ((workflow.BINARY_KINDS, "Target"), (workflow.MULTICLASS_KINDS, "review_score")):
+        for kind in kinds:
+            model, scored = workflow.fit_and_score(inputs[label], kind, label)
+            results[kind] = metrics.evaluate(scored, label=label, kind="binary" if label == "Target" else "multiclass")
+            if kind != "gbt":
+                searches.append(models.cv_results(spark, model).withColumn("model", F.lit(kind)))
+    return metrics.compare_models(spark, results), reduce(DataFrame.unionByName, searches)
+
+
 @query
 def model_comparison(spark, sf_dir):
-    p = workflow.prepare_inputs(spark, sf_dir)
-    results = {}
-    for kind in ("gbt", "lr", "dt"):
-        _, scored = workflow.fit_and_score(p, kind)
-        results[kind] = metrics.evaluate(scored, label="Target")
-    return metrics.compare_models(spark, results)
+    """All seven learners on the fixtures' own labels; one base table for both labels."""
+    spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
+    train = workflow.materialize(train)
+    inputs = {y: workflow.prepare_base(train, None, y, spec=spec, on_empty="all") for y in ("Target", "review_score")}
+    return _comparison(inputs, spark)[0]
+
+
+@query
+def signal_model_comparison(spark, sf_dir):
+    """All seven learners and the six searches on labels that features explain: every metric,
+    and every search's best mean metric with its grid size."""
+    spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
+    train = _by_category(_by_weekend(workflow.materialize(train)))
+    inputs = {y: workflow.prepare_base(train, None, y, spec=spec) for y in ("Target", "review_score")}
+    compared, searches = _comparison(inputs, spark)
+    points = F.count(F.lit(1)).cast("double").alias("grid points")
+    best = F.max(F.when(F.col("best"), F.col("mean_metric"))).alias("best mean")
+    per = searches.groupBy("model").agg(points, best).unpivot("model", ["grid points", "best mean"], "metric", "value")
+    return compared.unionByName(per).withColumn("value", F.round("value", 9))
 
 
 @query
 def score_output(spark, sf_dir):
     """Final model (random forest chosen by CV) applied to the hold-out, written and read back."""
-    p = workflow.prepare_inputs(spark, sf_dir)
+    p = workflow.prepare_inputs(spark, sf_dir, holdout=True, on_empty="all")
     model, _ = workflow.fit_and_score(p, "rf")
     return workflow.predict_holdout(p, model, scratch_path(spark, "predictions"))
+
+
+@query
+def signal_score_output(spark, sf_dir):
+    """The same on a label that a feature explains."""
+    p = _signal_inputs(spark, sf_dir, holdout=True)
+    model, _ = workflow.fit_and_score(p, "rf")
+    return workflow.predict_holdout(p, model, scratch_path(spark, "predictions"))
+
+
+@query
+def signal_score_reloaded(spark, sf_dir):
+    """The same, by a flow that was saved and loaded again."""
+    p = _signal_inputs(spark, sf_dir)
+    path = scratch_path(spark, "flow")
+    workflow.save_flow(p, workflow.fit_and_score(p, "dt")[0], path)
+    flow = workflow.load_flow(spark, path)
+    return flow.predict(fixtures.tables(spark, sf_dir, "holdout"), scratch_path(spark, "predictions"))

@@ -8,7 +8,8 @@ Engine differences handled here (checked on both engines):
   binary value. ``sround`` reproduces Spark's rule through the text form.
 - DuckDB ``dayofweek`` is Sun=0..Sat=6, Spark's Sun=1..Sat=7.
 - DuckDB integer sums are HUGEINT; they are cast to BIGINT like Spark's.
-- Money is summed as DECIMAL(18,2) on both sides, then turned into DOUBLE.
+- Money is summed as DECIMAL(18,2) here and as whole millionths in Spark, then turned into DOUBLE; both are
+  exact for the two-decimal values of the tables.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ def c_products(name: str = "c_products", src: str = "f_products") -> str:
     return f"""{name} AS (
   SELECT product_id, product_name_lenght, product_description_lenght, product_photos_qty,
          product_category_name,
-         {sround("CAST(product_length_cm * product_height_cm * product_width_cm AS DOUBLE) / 1e6", 2)} AS Prod_volume_m3,
+         {sround("CAST(product_length_cm AS DOUBLE) * product_height_cm * product_width_cm / 1e6", 2)} AS Prod_volume_m3,
          {sround("CAST(product_weight_g AS DOUBLE) / 1000", 2)} AS weight_kg,
          CAST(product_length_cm AS DOUBLE) / 100 AS product_length,
          CAST(product_height_cm AS DOUBLE) / 100 AS product_height,
@@ -213,7 +214,8 @@ def feature_cols() -> list[str]:
 
 
 def _one_per_key(name: str, src: str, key: str, cols: list[str]) -> str:
-    order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+    missing = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in cols)
+    order = ", ".join([missing, *(f"{c} NULLS FIRST" for c in cols)])
     return f"""{name} AS (
   SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)"""
 
@@ -343,15 +345,22 @@ TEXT_SOURCES = {
 TEXT_CTES = [
     """t_products AS (SELECT * REPLACE (CAST(product_id AS VARCHAR) AS product_id) FROM f_products)""",
     f"""t_orders AS (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id)
-  FROM f_orders WHERE {TRAIN})""",
+  FROM f_orders)""",
     f"""t_items AS (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(product_id AS VARCHAR) AS product_id)
-  FROM f_items WHERE {TRAIN})""",
-    f"""t_payments AS (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id) FROM f_payments WHERE {TRAIN})""",
+  FROM f_items)""",
+    f"""t_payments AS (SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id) FROM f_payments)""",
     f"""t_reviews AS (SELECT * REPLACE (CAST(review_id AS VARCHAR) AS review_id, CAST(order_id AS VARCHAR) AS order_id)
-  FROM f_reviews WHERE {TRAIN})""",
+  FROM f_reviews)""",
 ]
 
 
+def _both_sides(ctes: list[str] | tuple = (), src: dict = FIXTURE_SOURCES, key: str = "order_id", select: str = "SELECT * FROM base") -> str:
+    """Training and hold-out base tables in one result, told apart by ``side``."""
+    train = with_(*ctes, *basetable_ctes(TRAIN.replace("order_id", key), True, src=src)) + select
+    holdout = with_(*ctes, *basetable_ctes(HOLDOUT.replace("order_id", key), False, src=src)) + select
+    return f"SELECT *, 'train' AS side FROM ({train})\nUNION ALL BY NAME\nSELECT *, 'holdout' AS side FROM ({holdout})"
+
+
 def basetable_sql(side: str = TRAIN, labelled: bool = True, select: str = "SELECT * FROM base") -> str:
     return with_(*basetable_ctes(side, labelled)) + select
 
@@ -376,6 +385,7 @@ def _profile_products() -> str:
                 f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS count, "
                 f"CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, "
                 f"CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, "
+                f"CAST(NULL AS BIGINT) AS min_int, CAST(NULL AS BIGINT) AS max_int, "
                 f"CAST(min({c}) AS VARCHAR) AS min_text, CAST(max({c}) AS VARCHAR) AS max_text FROM f_products"
             )
         else:
@@ -383,6 +393,7 @@ def _profile_products() -> str:
                 f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS count, "
                 f"{sround(f'avg({c})', 6)} AS mean, {sround(f'stddev_samp({c})', 6)} AS stddev, "
                 f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+                f"CAST(min({c}) AS BIGINT) AS min_int, CAST(max({c}) AS BIGINT) AS max_int, "
                 f"CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM f_products"
             )
     return with_() + "\nUNION ALL\n".join(parts)
@@ -426,11 +437,12 @@ GROUP BY i.order_id"""
 
 
 def _shape_fanout() -> str:
-    # The source's grain, literally: every item row repeated once per payment row of its order.
+    # The source's grain, literally: every item row repeated for each payment and review row of its order.
     return (
         with_()
         + f"""SELECT i.order_id, {shape_select()}
 FROM f_items i JOIN f_payments pay ON pay.order_id = i.order_id
+     JOIN f_reviews rev ON rev.order_id = i.order_id
      JOIN c_products p ON i.product_id = p.product_id
 GROUP BY i.order_id"""
     )
@@ -504,12 +516,68 @@ def screen_features(label: str) -> list[str]:
     return feature_cols()
 
 
+def _selection(label: str) -> str:
+    """Correlation, two-sided p-value and decision of every candidate. For whole degrees of freedom
+    the t distribution's middle area is a finite sum in the angle whose sine is |r|."""
+    parts = "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS feature, count({q(f)}) FILTER (WHERE {label} IS NOT NULL) AS n, "
+        f"CASE WHEN stddev_samp({q(f)}) = 0 OR stddev_samp({label}) = 0 THEN NULL ELSE corr({q(f)}, {label}) END AS r FROM base"
+        for f in feature_cols()
+    )
+    return basetable_sql(
+        select=f"""
+, stats AS MATERIALIZED ({parts}),
+ks AS (SELECT unnest(range(0, (SELECT max(n) // 2 + 1 FROM stats))) AS k),
+coef AS MATERIALIZED (
+  SELECT k, sum(CASE WHEN k = 0 THEN 0.0 ELSE ln((2 * k - 1) / (2.0 * k)) END) OVER (ORDER BY k) AS even,
+         sum(CASE WHEN k = 0 THEN 0.0 ELSE ln((2 * k) / (2 * k + 1.0)) END) OVER (ORDER BY k) AS odd FROM ks),
+area AS (
+  SELECT s.feature,
+         sum(CASE WHEN n % 2 = 0 THEN exp(c.even + c.k * ln(1 - r * r)) ELSE exp(c.odd + (c.k + 0.5) * ln(1 - r * r)) END) AS total
+  FROM stats s JOIN coef c ON c.k <= (CASE WHEN n % 2 = 0 THEN (n - 4) // 2 ELSE (n - 5) // 2 END)
+  WHERE r IS NOT NULL AND r * r < 1 GROUP BY s.feature),
+tested AS (
+  SELECT s.feature, n, r,
+         CASE WHEN r IS NULL THEN NULL WHEN r * r >= 1 THEN 0.0
+              WHEN n % 2 = 0 THEN 1 - abs(r) * total
+              ELSE 1 - 2 / pi() * (asin(abs(r)) + abs(r) * coalesce(total, 0)) END AS p
+  FROM stats s LEFT JOIN area a ON a.feature = s.feature)
+SELECT feature, n, {sround('r', 9)} AS r, {sround('CASE WHEN p < 0 THEN 0.0 ELSE p END', 6)} AS p_value,
+       coalesce(p < 0.001, false) AS selected FROM tested"""
+    )
+
+
+def category_score() -> str:
+    """A 1-5 score that follows the product category."""
+    return "CASE product_category_name " + " ".join(f"WHEN '{c}' THEN {i % 5 + 1}.0" for i, c in enumerate(CATEGORIES)) + " END"
+
+
+def _signal(label: str, value: str) -> str:
+    """A learner on a label that features explain predicts every validation order's label."""
+    known = f"CAST({value} AS DOUBLE)"
+    return basetable_sql(select=f"SELECT order_id, {known} AS {label}, {known} AS prediction FROM base WHERE NOT {split_expr()}")
+
+
+def _signal_holdout() -> str:
+    return with_(*basetable_ctes(HOLDOUT, False)) + "SELECT order_id, weekend_delivered AS pred_review_score FROM base"
+
+
+def _perfect_comparison() -> str:
+    """Every metric of every learner is 1 on such labels; the searches have the grids' sizes."""
+    rows = [(m, x, 1.0) for m in ("gbt", "lr", "rf", "svm", "dt") for x in ("areaUnderROC", "weightedPrecision", "weightedRecall", "f1")]
+    rows += [(m, x, 1.0) for m in ("mlr", "mrf") for x in ("accuracy", "weightedPrecision", "weightedRecall", "f1")]
+    for m, points in {"lr": 6, "rf": 6, "svm": 6, "dt": 3, "mlr": 6, "mrf": 6}.items():
+        rows += [(m, "grid points", float(points)), (m, "best mean", 1.0)]
+    values = ", ".join(f"('{m}', '{x}', CAST({v} AS DOUBLE))" for m, x, v in rows)
+    return f"SELECT * FROM (VALUES {values}) AS t(model, metric, value)"
+
+
 def queries_sql() -> dict[str, str]:
     W = with_
     out = {
         "csv_roundtrip": W() + "SELECT * FROM f_items",
         "csv_multiline": "SELECT doc_id, text, lang, source, n_chars FROM documents",
-        "basetable_roundtrip": basetable_sql(),
+        "basetable_roundtrip": _both_sides(),
         "profile_columns": _profile_products(),
         "null_counts": _null_counts("f_orders", [(c, False) for c in ORDER_VIEW_COLS]),
         "null_nan_counts": _null_counts(
@@ -548,9 +616,11 @@ FROM f_products""",
         "product_volume": W() + "SELECT product_id, Prod_volume_m3 FROM c_products",
         "product_weight": W() + "SELECT product_id, weight_kg FROM c_products",
         "shipping_per_kg": W()
-        + f"""SELECT i.order_id, i.order_item_id, i.product_id, i.shipping_cost, p.weight_kg,
-       {sround(ddiv('i.shipping_cost', 'p.weight_kg'), 2)} AS "shipping_cost/kg"
-FROM f_items i JOIN c_products p ON i.product_id = p.product_id""",
+        + f"""SELECT i.order_id, i.order_item_id, i.product_id, t.total_shipping_cost, p.weight_kg,
+       {sround(ddiv('t.total_shipping_cost', 'p.weight_kg'), 2)} AS "shipping_cost/kg"
+FROM f_items i JOIN c_products p ON i.product_id = p.product_id
+     JOIN (SELECT order_id, CAST({money('shipping_cost')} AS DOUBLE) AS total_shipping_cost
+           FROM f_items GROUP BY order_id) t ON t.order_id = i.order_id""",
         "purchase_dow": W()
         + "SELECT order_id, CAST(dayofweek(order_purchase_timestamp) + 1 AS INTEGER) AS orders_of_week FROM f_orders",
         "weekend_flag": W()
@@ -596,14 +666,16 @@ FROM f_items i JOIN (SELECT order_id, {money_select()} FROM f_items GROUP BY ord
             for t in PAYMENT_TYPES
         )
         + " FROM f_payments GROUP BY order_id) g ON g.order_id = pay.order_id",
-        "join_back_dummies": basetable_sql(
-            select="SELECT order_id, product_category_name, "
-            + ", ".join(f"CAST({q(c)} AS BIGINT) AS {q(c)}" for c in CATEGORIES)
-            + " FROM base"
+        "join_back_dummies": _both_sides(
+            select="SELECT b.order_id, b.product_category_name, "
+            + ", ".join(f"g.{q(c)}" for c in CATEGORIES)
+            + " FROM base b JOIN (SELECT order_id, "
+            + ", ".join(f"count(*) FILTER (WHERE product_category_name = '{c}') AS {q(c)}" for c in CATEGORIES)
+            + " FROM base GROUP BY order_id) g ON g.order_id = b.order_id"
         ),
         "basetable_train": basetable_sql(),
         "basetable_holdout": with_(*basetable_ctes(HOLDOUT, False)) + "SELECT * FROM base",
-        "csv_basetable": with_(*TEXT_CTES, *basetable_ctes("TRUE", True, src=TEXT_SOURCES)) + "SELECT * FROM base",
+        "csv_basetable": _both_sides(TEXT_CTES, TEXT_SOURCES, "CAST(order_id AS BIGINT)"),
         "pearson_screen": _pearson("Target", screen_features("Target")),
         "pearson_screen_constant": _pearson(
             "review_score", screen_features("review_score"), ", 1.0 AS constant", ["constant"]
@@ -616,18 +688,22 @@ FROM f_products p JOIN (
         "one_hot": W()
         + """, idx AS (
   SELECT product_category_name, row_number() OVER (ORDER BY count(*) DESC, product_category_name) - 1 AS idx
-  FROM f_products GROUP BY product_category_name),
-k AS (SELECT count(*) AS k FROM idx)
-SELECT p.product_id, CAST(s.slot AS INTEGER) AS slot,
-       CASE WHEN s.slot = i.idx THEN 1.0 ELSE 0.0 END AS value
-FROM f_products p JOIN idx i ON i.product_category_name = p.product_category_name
-     CROSS JOIN (SELECT unnest(range(0, (SELECT k FROM k))) AS slot) s""",
+  FROM f_products GROUP BY product_category_name)
+SELECT p.product_id, CAST(i.idx AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value
+FROM f_products p JOIN idx i ON i.product_category_name = p.product_category_name""",
         "rformula_label": basetable_sql(select="SELECT order_id, CAST(Target AS DOUBLE) AS label FROM base"),
         "standard_scale": W()
         + f"""SELECT order_id, order_item_id, product_id,
        {sround('price * (1.0 / (SELECT stddev_samp(price) FROM f_items))', 6)} AS price_scaled,
        {sround('shipping_cost * (1.0 / (SELECT stddev_samp(shipping_cost) FROM f_items))', 6)} AS shipping_cost_scaled
 FROM f_items""",
+        "select_features": _selection("Target"),
+        "signal_select_features": _selection("weekend_delivered"),
+        **{f"signal_{kind}": _signal("Target", "weekend_delivered") for kind in ("gbt", "lr", "rf", "svm", "dt")},
+        **{f"signal_{kind}": _signal("review_score", category_score()) for kind in ("mlr", "mrf")},
+        "signal_score_output": _signal_holdout(),
+        "signal_score_reloaded": _signal_holdout(),
+        "signal_model_comparison": _perfect_comparison(),
         "train_valid_split": W() + f"SELECT order_id, {split_expr()} AS is_train FROM f_orders",
         "metric_auc": AUC_SQL,
         "metric_classification": CLASSIFICATION_SQL,

@@ -46,24 +46,20 @@ def scale(inp: str = ASSEMBLED, out: str = FEATURES) -> StandardScaler:
     return StandardScaler(inputCol=inp, outputCol=out, withStd=True, withMean=False)
 
 
-def feature_pipeline(features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS, bin_vectors_in_features: bool = False) -> Pipeline:
-    """Bins -> index -> one-hot; numeric features (+ optionally the bin vectors) -> assembled ->
-    scaled ``scaleFeatures``. As in the source, the bin vectors are produced but, by default,
-    not part of the model input."""
+def feature_pipeline(features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS) -> Pipeline:
+    """Bins -> index -> one-hot; numeric features -> assembled -> scaled ``scaleFeatures``. As in
+    the source, the bin vectors are produced but not part of the model input."""
     stages = []
-    inputs = list(features)
     if bins:
         idx = [BIN_INDEX[BIN_COLUMNS.index(b)] if b in BIN_COLUMNS else f"{b}_idx" for b in bins]
         dums = [BIN_DUMMIES[BIN_COLUMNS.index(b)] if b in BIN_COLUMNS else f"{b}_dum" for b in bins]
         stages += [index_categories(bins, idx), one_hot(idx, dums)]
-        if bin_vectors_in_features:
-            inputs += dums
-    stages += [assemble(inputs), scale()]
+    stages += [assemble(features), scale()]
     return Pipeline(stages=stages)
 
 
-def fit_prepare(train: DataFrame, features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS, **kw) -> PipelineModel:
-    return feature_pipeline(features, bins, **kw).fit(train)
+def fit_prepare(train: DataFrame, features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS) -> PipelineModel:
+    return feature_pipeline(features, bins).fit(train)
 
 
 def rformula_label(df: DataFrame, label: str, drop: Sequence[str] = ("review_score", "order_id")) -> DataFrame:

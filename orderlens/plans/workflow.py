@@ -7,7 +7,7 @@ the same functions afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -16,17 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.functions import derive
 from orderlens.operators import basetable, screen
 from orderlens.plans import models, prepare
-from orderlens.session import configure, cut_lineage
+from orderlens.session import configure, scratch_path
 from orderlens.sources import fixtures, tables
 
 TABLE_NAMES = ("products", "orders", "order_items", "order_payments", "order_reviews")
 
 
-def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, paths: dict[str, str], multiline: Sequence[str] = ()) -> dict[str, DataFrame]:
     """The order tables from CSV files, keyed by table name (``products``, ``orders``,
-    ``order_items``, ``order_payments`` and, on the training side, ``order_reviews``)."""
+    ``order_items``, ``order_payments`` and, on the training side, ``order_reviews``);
+    ``multiline`` names those whose files hold quoted newlines."""
     configure(spark)
-    return {name: tables.read_source(spark, name, path) for name, path in paths.items()}
+    return {name: tables.read_source(spark, name, path, name in multiline) for name, path in paths.items()}
 
 
 def basetables_from(
@@ -60,7 +61,14 @@ class Prepared:
     fit: DataFrame  # 70% of training orders
     valid: DataFrame  # the other 30%
     holdout: DataFrame | None  # unlabelled side, transformed by the training pipeline
-    screen_fallback: bool = False  # True when no candidate passed the screen
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame once as Parquet in the shared folder and read it back: computed once, columns
+    pruned by every later pass, nothing lost with an executor."""
+    path = scratch_path(df.sparkSession, "basetable")
+    tables.save_table(df, path)
+    return tables.load_table(df.sparkSession, path)
 
 
 def prepare_base(
@@ -69,28 +77,38 @@ def prepare_base(
     label: str = "Target",
     features: Sequence[str] | None = None,
     spec: basetable.BaseTableSpec | None = None,
+    on_empty: str = "error",
 ) -> Prepared:
-    """Lineage cut (reliable checkpoint in the shared folder) -> one-pass screen -> selected
-    features (or the given frozen list) -> pipeline fitted on training only -> hash split
-    70/30. When no candidate passes the screen, all candidates are used (``screen_fallback``)."""
-    train = cut_lineage(train)
+    """One-pass screen of a (materialized) training base table -> selected features, or the given
+    list -> pipeline fitted on training only -> hash split 70/30. When no candidate passes the
+    screen, ``on_empty`` decides: "error", or "all" to keep every candidate."""
+    if on_empty not in ("error", "all"):
+        raise ValueError(f"on_empty is 'error' or 'all', not {on_empty!r}")
     cands = screen.candidate_features(train, label)
     scr = screen.pearson_screen(train, cands, label)
     chosen = screen.selected_names(scr) if features is None else list(features)
-    fallback = not chosen
-    if fallback:
-        # A model needs at least one input: with no significant feature, keep every candidate.
+    if not chosen:
+        if on_empty == "error":
+            raise ValueError(f"no feature passes the screen for {label}; give features, or on_empty='all'")
         chosen = cands
     pipe = prepare.fit_prepare(train, chosen)
     fit, valid = prepare.hash_split(pipe.transform(train))
     hold = pipe.transform(holdout) if holdout is not None else None
-    return Prepared(spec, chosen, scr, pipe, fit, valid, hold, fallback)
+    return Prepared(spec, chosen, scr, pipe, fit, valid, hold)
 
 
-def prepare_inputs(spark: SparkSession, sf_dir: str, label: str = "Target", features=None) -> Prepared:
-    """``prepare_base`` over the fixture base tables."""
-    spec, train, holdout = basetables(spark, sf_dir)
-    return prepare_base(train, holdout, label, features, spec)
+def prepare_inputs(
+    spark: SparkSession,
+    sf_dir: str,
+    label: str = "Target",
+    features: Sequence[str] | None = None,
+    holdout: bool = False,
+    on_empty: str = "error",
+    relabel: Callable[[DataFrame], DataFrame] = lambda base: base,
+) -> Prepared:
+    """``prepare_base`` over the fixture base tables; ``relabel`` may replace the labels."""
+    spec, train, hold = basetables(spark, sf_dir, holdout)
+    return prepare_base(relabel(materialize(train)), hold, label, features, spec, on_empty)
 
 
 def fit_and_score(p: Prepared, kind: str, label: str = "Target", grid: dict | None = None, folds: int = models.FOLDS):
@@ -102,6 +120,36 @@ def fit_and_score(p: Prepared, kind: str, label: str = "Target", grid: dict | No
     return model, models.score(model, p.valid, keep=("order_id", label))
 
 
+def save_flow(p: Prepared, model, path: str) -> None:
+    """Keep all that scoring needs: one pipeline (bins to scaled features, then the classifier),
+    the pivot value lists and the feature list."""
+    best = getattr(model, "bestModel", model)
+    PipelineModel([*p.pipeline.stages, best]).write().overwrite().save(f"{path}/pipeline")
+    row = [(list(p.spec.payment_types), list(p.spec.categories), list(p.spec.weekend_days), list(p.features))]
+    spark = p.fit.sparkSession
+    lists = spark.createDataFrame(row, "payment_types array<string>, categories array<string>, weekend_days array<int>, features array<string>")
+    lists.write.mode("overwrite").parquet(f"{path}/lists")
+
+
+@dataclass
+class SavedFlow:
+    spec: basetable.BaseTableSpec
+    features: list
+    pipeline: PipelineModel  # ends in the classifier
+
+    def predict(self, holdout: dict[str, DataFrame], path: str) -> DataFrame:
+        """Base table of the given tables -> predictions written to ``path``."""
+        base = basetable.build_basetable(holdout, self.spec)
+        return tables.save_predictions(self.pipeline.transform(base), path)
+
+
+def load_flow(spark: SparkSession, path: str) -> SavedFlow:
+    """A flow saved by ``save_flow``, in this or another session."""
+    r = spark.read.parquet(f"{path}/lists").first()
+    spec = basetable.BaseTableSpec(tuple(r.payment_types), tuple(r.categories), tuple(r.weekend_days))
+    return SavedFlow(spec, list(r.features), PipelineModel.load(f"{path}/pipeline"))
+
+
 def predict_holdout(p: Prepared, model, path: str) -> DataFrame:
     """Score the hold-out with a fitted model; write (order_id, pred_review_score) to ``path``."""
     if p.holdout is None:
@@ -134,9 +182,10 @@ def run_flow(
     final: str = "rf",
     grids: dict | None = None,
     folds: int = models.FOLDS,
+    on_empty: str = "error",
 ) -> FlowResult:
-    """The whole source flow in one call: base tables of both sides, the binary and the 1-5
-    screens, every learner (CV over the source's grids unless ``grids`` overrides them),
+    """The whole source flow in one call: base tables of both sides (the training one computed
+    once, for both labels), the binary and the 1-5 screens, every learner (CV over the source's grids unless ``grids`` overrides them),
     their validation metrics, and the ``final`` learner's hold-out predictions written to
     ``output`` with their class counts."""
     from orderlens.operators.rollup import value_counts
@@ -144,8 +193,9 @@ def run_flow(
 
     spec, train_base, hold_base = basetables_from(train, holdout)
     grids = grids or {}
-    binary = prepare_base(train_base, hold_base, "Target", spec=spec)
-    multi = prepare_base(train_base, None, "review_score", spec=spec)
+    train_base = materialize(train_base)
+    binary = prepare_base(train_base, hold_base, "Target", spec=spec, on_empty=on_empty)
+    multi = prepare_base(train_base, None, "review_score", spec=spec, on_empty=on_empty)
     fitted, results = {}, {}
     for kind in binary_kinds:
         fitted[kind], scored = fit_and_score(binary, kind, "Target", grids.get(kind), folds)

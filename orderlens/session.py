@@ -13,9 +13,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fixed session settings every operator relies on.
-SESSION_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+# The one setting that results depend on, and those a local session starts with (Spark's own
+# defaults; a cluster's choice is left alone).
+CLOCK = "spark.sql.session.timeZone"
+LOCAL_CONF = {
+    CLOCK: "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -23,10 +25,9 @@ SESSION_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the library depends on (idempotent)."""
-    for key, value in SESSION_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    """Set the UTC clock the library depends on (idempotent); nothing else is touched."""
+    if spark.conf.get(CLOCK, None) != "UTC":
+        spark.conf.set(CLOCK, "UTC")
     return spark
 
 
@@ -44,7 +45,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in SESSION_CONF.items():
+    for key, value in LOCAL_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,7 +65,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     folder = tempfile.mkdtemp(prefix="orderlens-ckpt-")
     sc.setCheckpointDir(folder)

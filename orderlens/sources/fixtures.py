@@ -17,6 +17,8 @@ from orderlens.session import configure
 HOLDOUT_MODULUS = 5
 MINUTES_PER_DAY = 1440
 ESTIMATED_DELIVERY_MINUTES = 14400
+# The product categories of the driver's part table, in order.
+CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

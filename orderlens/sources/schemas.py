@@ -1,7 +1,8 @@
 """Declared schemas of the five order tables (their data dictionary).
 
 Declaring the schema replaces ``inferSchema`` (an extra full pass over every file) and makes
-train and hold-out files load with identical types.
+train and hold-out files load with identical types. Every number is a double: the files write
+whole numbers as ``40`` or ``40.0``.
 """
 
 from __future__ import annotations
@@ -22,18 +23,18 @@ ORDER_TIMESTAMPS = (
 PRODUCTS = T.StructType(
     [
         T.StructField("product_id", T.StringType()),
-        T.StructField("product_name_lenght", T.IntegerType()),
-        T.StructField("product_description_lenght", T.IntegerType()),
-        T.StructField("product_photos_qty", T.IntegerType()),
-        T.StructField("product_weight_g", T.IntegerType()),
-        T.StructField("product_length_cm", T.IntegerType()),
-        T.StructField("product_height_cm", T.IntegerType()),
-        T.StructField("product_width_cm", T.IntegerType()),
+        T.StructField("product_name_lenght", T.DoubleType()),
+        T.StructField("product_description_lenght", T.DoubleType()),
+        T.StructField("product_photos_qty", T.DoubleType()),
+        T.StructField("product_weight_g", T.DoubleType()),
+        T.StructField("product_length_cm", T.DoubleType()),
+        T.StructField("product_height_cm", T.DoubleType()),
+        T.StructField("product_width_cm", T.DoubleType()),
         T.StructField("product_category_name", T.StringType()),
     ]
 )
 
-# Orders and reviews arrive as text (quoted newlines allowed); timestamps are parsed once.
+# Orders and reviews arrive as text; timestamps are parsed once.
 ORDERS = T.StructType(
     [
         T.StructField("order_id", T.StringType()),
@@ -46,7 +47,7 @@ ORDERS = T.StructType(
 ORDER_ITEMS = T.StructType(
     [
         T.StructField("order_id", T.StringType()),
-        T.StructField("order_item_id", T.IntegerType()),
+        T.StructField("order_item_id", T.DoubleType()),
         T.StructField("product_id", T.StringType()),
         T.StructField("price", T.DoubleType()),
         T.StructField("shipping_cost", T.DoubleType()),
@@ -56,9 +57,9 @@ ORDER_ITEMS = T.StructType(
 ORDER_PAYMENTS = T.StructType(
     [
         T.StructField("order_id", T.StringType()),
-        T.StructField("payment_sequential", T.IntegerType()),
+        T.StructField("payment_sequential", T.DoubleType()),
         T.StructField("payment_type", T.StringType()),
-        T.StructField("payment_installments", T.IntegerType()),
+        T.StructField("payment_installments", T.DoubleType()),
         T.StructField("payment_value", T.DoubleType()),
     ]
 )
@@ -73,6 +74,8 @@ ORDER_REVIEWS = T.StructType(
     ]
 )
 
+REVIEW_TIMESTAMPS = ("review_creation_date", "review_answer_timestamp")
+
 SCHEMAS = {
     "products": PRODUCTS,
     "orders": ORDERS,
@@ -80,6 +83,3 @@ SCHEMAS = {
     "order_payments": ORDER_PAYMENTS,
     "order_reviews": ORDER_REVIEWS,
 }
-
-# Tables whose text may hold quoted newlines: read with multiLine (not splittable, so only these).
-MULTILINE_TABLES = frozenset({"orders", "order_reviews"})

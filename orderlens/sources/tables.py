@@ -2,44 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.sources import schemas
 
 
-def read_table(
+def read_text(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    columns: Sequence[str],
     multiline: bool = False,
     quote_escape: str = '"',
     null_value: str | None = None,
 ) -> DataFrame:
-    """Header CSV with a declared schema; ``"`` escapes a quote inside a quoted field.
+    """The named columns of a header CSV as text, whatever their order in the file.
 
-    ``multiline`` allows newlines inside quoted fields. Such files cannot be split, so one
-    task reads each file: use it only for the tables that need it. ``null_value`` is the text
-    that means null (default: an empty field, as in the source files).
+    Only the header line is read to learn the order. A missing column is an error; other columns
+    of the file are left out. ``"`` escapes a quote inside a quoted field. ``multiline`` allows
+    newlines inside quoted fields; such files cannot be split, so one task reads each file: use
+    it only for files that need it. ``null_value`` is the text that means null (default: an
+    empty field, as in the source files).
     """
     reader = (
-        spark.read.schema(schema)
-        .option("header", True)
+        spark.read.option("header", True)
         .option("escape", quote_escape)
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
     )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
-    return reader.csv(path)
+    header = reader.option("inferSchema", False).csv(path).columns
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(header)}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return reader.schema(text).csv(path).select(*[F.col(f"`{c}`") for c in columns])
+
+
+def _typed(field: T.StructField) -> Column:
+    """A text cell as the declared type; null if it can't be read. Whole numbers may be written
+    with a fraction of zero."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return c
+    if isinstance(field.dataType, T.IntegralType):
+        number = c.try_cast("decimal(38,18)")
+        whole = F.when(number == F.floor(number), number.try_cast(field.dataType))
+        return F.coalesce(c.try_cast(field.dataType), whole)
+    return c.try_cast(field.dataType)
+
+
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    multiline: bool = False,
+    quote_escape: str = '"',
+    null_value: str | None = None,
+) -> DataFrame:
+    """Header CSV with a declared schema, matched by column name (see ``read_text``). A cell that
+    can't be read as its type is null; ``rejected_cells`` counts those."""
+    raw = read_text(spark, path, schema.fieldNames(), multiline, quote_escape, null_value)
+    return raw.select(*[_typed(f).alias(f.name) for f in schema])
+
+
+def rejected_cells(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """(column_name, n_rejected): cells with text that can't be read as the declared type."""
+    raw = read_text(spark, path, schema.fieldNames(), **options)
+    counts = [F.struct(F.lit(f.name).alias("column_name"), F.count_if(F.col(f"`{f.name}`").isNotNull() & _typed(f).isNull()).alias("n_rejected")) for f in schema]
+    return raw.agg(F.array(*counts).alias("c")).select(F.inline("c"))
 
 
-def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """One of the five order tables (or its hold-out twin) by its dictionary name."""
-    df = read_table(spark, path, schemas.SCHEMAS[name], multiline=name in schemas.MULTILINE_TABLES)
+def read_source(spark: SparkSession, name: str, path: str, multiline: bool = False) -> DataFrame:
+    """One of the five order tables (or its hold-out twin) by its dictionary name. ``multiline``
+    is for files with quoted newlines only."""
+    df = read_table(spark, path, schemas.SCHEMAS[name], multiline=multiline)
     if name == "orders":
         df = parse_timestamps(df, schemas.ORDER_TIMESTAMPS)
+    if name == "order_reviews":
+        df = parse_timestamps(df, schemas.REVIEW_TIMESTAMPS)
     return df
 
 
@@ -67,12 +112,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str
     )
 
 
-def save_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    """Base-table checkpoint as Parquet: keeps types and vector columns, which CSV cannot."""
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def save_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Base table as Parquet: keeps types and vector columns, which CSV cannot."""
+    df.write.mode(mode).parquet(path)
 
 
 def load_table(spark: SparkSession, path: str) -> DataFrame:

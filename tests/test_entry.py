@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import __spark_entry__ as entry_mod
 from conftest import SF001
 
@@ -17,7 +19,7 @@ def test_entry_smoke(spark):
 
 def test_registry_covers_inventory():
     q = entry_mod.queries()
-    for name in ("basetable_train", "pearson_screen", "model_gbt", "score_output", "cv_results", "metric_auc"):
+    for name in ("basetable_train", "pearson_screen", "model_gbt", "score_output", "cv_results", "metric_auc", "signal_svm"):
         assert name in q
 
 
@@ -44,7 +46,7 @@ def test_whole_flow_small_grids(spark):
         "mlr": {"regParam": [0.1], "maxIter": [10]},
     }
     out = workflow.run_flow(
-        spark, train, hold, scratch_path(spark, "flow"), ("lr", "dt"), ("mlr",), final="dt", grids=small, folds=2
+        spark, train, hold, scratch_path(spark, "flow"), ("lr", "dt"), ("mlr",), final="dt", grids=small, folds=2, on_empty="all"
     )
     comp = out.comparison.collect()
     assert {r.model for r in comp} == {"lr", "dt", "mlr"} and len(comp) == 12
@@ -52,6 +54,29 @@ def test_whole_flow_small_grids(spark):
     assert n_pred > 0 and sum(r["count"] for r in out.prediction_counts.collect()) == n_pred
 
 
+def test_screen_without_a_selection_is_explicit(spark):
+    from orderlens.plans import workflow
+
+    with pytest.raises(ValueError, match="no feature passes"):
+        workflow.prepare_inputs(spark, SF001)
+
+
+def test_base_table_is_computed_once_per_flow(spark, monkeypatch):
+    from orderlens.plans import workflow
+    from orderlens.session import scratch_path
+    from orderlens.sources import fixtures
+
+    made = []
+    once = workflow.materialize
+    monkeypatch.setattr(workflow, "materialize", lambda df: made.append(1) or once(df))
+    train, hold = (fixtures.tables(spark, SF001, side) for side in ("train", "holdout"))
+    out = workflow.run_flow(spark, train, hold, scratch_path(spark, "flow"), ("gbt",), ("mrf",), "gbt", {"mrf": {"maxDepth": [2], "numTrees": [3]}}, 2, "all")
+    assert made == [1]
+    for side in (out.binary, out.multiclass):
+        plan = side.fit._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and "basetable" in str(side.fit.inputFiles())
+
+
 def test_base_table_independent_of_partitioning(spark):
     from orderlens.operators import basetable
     from orderlens.sources import fixtures

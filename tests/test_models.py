@@ -119,3 +119,17 @@ def test_metrics_match_hand_counts(spark):
     # class 1: p=2/3 r=2/3, class 0: p=1/2 r=1/2 ; weights 3/5, 2/5
     assert m["weightedPrecision"] == pytest.approx(0.6 * 2 / 3 + 0.4 * 0.5)
     assert m["f1"] == pytest.approx(0.6 * 2 / 3 + 0.4 * 0.5)
+
+
+def test_metrics_take_one_job(spark, data):
+    _, df = data
+    pred = df.selectExpr("Target as label", "Target as prediction")
+    sc = spark.sparkContext
+    sc.setJobGroup("one-job", "metrics")
+    try:
+        assert metrics.evaluate(pred, kind="multiclass") == {m: 1.0 for m in metrics.MULTICLASS_METRICS}
+        jobs = sc.statusTracker().getJobIdsForGroup("one-job")
+        actions = {tuple(sc.statusTracker().getJobInfo(j).stageIds) for j in jobs}
+        assert len(actions) <= 2  # the map stage and the result, as adaptive execution submits them
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

@@ -117,24 +117,83 @@ def test_pivot_columns_follow_value_list(spark):
     assert sorted(tuple(r) for r in counts.collect()) == [(1, 2, 0), (2, 0, 1)]
 
 
-def test_distinct_values_refuses_high_cardinality(spark):
-    df = spark.range(50).withColumn("c", F.col("id").cast("string"))
-    assert len(rollup.distinct_values(df, "c", max_values=50)) == 50
-    with pytest.raises(ValueError):
-        rollup.distinct_values(df, "c", max_values=10)
+def test_value_lists_follow_sparks_pivot_limit(spark):
+    df = spark.range(1500).withColumn("c", F.col("id").cast("string"))
+    assert len(rollup.distinct_values(df, "c")) == 1500
+    a = spark.createDataFrame([("x",), ("y",), ("x",), (None,)], "c string")
+    b = spark.range(3).withColumn("c", F.col("id"))
+    assert rollup.distinct_value_lists({"a": (a, "c"), "b": (b, "c")}) == {"a": ["x", "y"], "b": ["0", "1", "2"]}
+    spark.conf.set("spark.sql.pivotMaxValues", 2)
+    try:
+        assert rollup.distinct_values(a, "c") == ["x", "y"]
+        with pytest.raises(ValueError):
+            rollup.distinct_value_lists({"a": (a, "c"), "b": (b, "c")})
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
 
 
-def test_value_lists_in_one_job(spark):
-    a = spark.createDataFrame([("x",), ("y",), ("x",), (None,)], "c string")
-    b = spark.range(3).withColumn("c", F.col("id").cast("string"))
-    got = rollup.distinct_value_lists({"a": (a, "c"), "b": (b, "c")}, max_values=3)
-    assert got == {"a": ["x", "y"], "b": ["0", "1", "2"]}
-    with pytest.raises(ValueError):
-        rollup.distinct_value_lists({"a": (a, "c"), "b": (b, "c")}, max_values=2)
+def test_wide_pivot(spark):
+    df = spark.range(4500).select((F.col("id") % 3).alias("k"), (F.col("id") % 1500).cast("string").alias("c"), F.lit(0.5).alias("v"))
+    values = rollup.distinct_values(df, "c")
+    row = rollup.pivot_sum(df, "k", "c", "v", values).where("k = 1").first()
+    assert len(row) == 1501 and sum(row[1:]) == 750.0
+    assert rollup.pivot_sum(df, "k", "c", "v", []).columns == ["k"]
+
+
+def test_sums_keep_small_values_and_nan(spark):
+    rows = [(1, 0.004), (1, 0.004), (1, 0.004), (2, float("nan")), (2, 1.0), (3, None), (4, -2.5), (4, 1e300), (5, 9e11), (5, 0.01)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = {r.k: r.s for r in df.groupBy("k").agg(rollup.exact_sum(F.col("v")).alias("s")).collect()}
+    assert got[1] == 0.012 and math.isnan(got[2]) and got[3] is None and math.isnan(got[4]) and got[5] == 9e11 + 0.01
+
+
+def test_volume_of_large_whole_sizes(spark):
+    df = spark.createDataFrame([(1300, 1300, 1300)], "a int, b int, c int")
+    assert df.select(derive.volume_m3("a", "b", "c")).first()[0] == 2197.0
+
+
+def test_dedupe_keeps_the_complete_copy(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (2, None, "x"), (2, None, "w")], "k int, v int, s string")
+    got = sorted(tuple(r) for r in quality.dedupe_by_key(df, "k", ["v", "s"]).collect())
+    assert got == [(1, 5, "b"), (2, None, "w")]
+
+
+def test_profile_of_large_whole_numbers(spark):
+    df = spark.createDataFrame([(2**53 + 1,), (2**60 + 1,)], "id long")
+    r = quality.profile(df).first()
+    assert (r.min_int, r.max_int) == (2**53 + 1, 2**60 + 1)
+
+
+def test_names_from_data_never_clash():
+    spec = basetable.BaseTableSpec(("voucher", "total_price", "Toys"), ("voucher", "toys", "Target"))
+    names = basetable.feature_columns(spec)
+    assert len({n.lower() for n in names}) == len(names)
+    assert spec.payment_columns() == ["voucher", "payment:total_price", "Toys"]
+    assert spec.category_columns() == ["category:voucher", "category:toys", "category:Target"]
+
+
+def test_latest_review_ignores_text_that_is_no_time(spark):
+    rows = [("r1", "o", "5", None, "2018-05-01 00:00:00"), ("r2", "o", "1", None, "NA"), ("r0", "o", "2", None, "2018-04-01 00:00:00")]
+    got = basetable.review_features(spark.createDataFrame(rows, schemas.ORDER_REVIEWS)).first()
+    assert (got.review_id, got.review_score, got.Target) == ("r1", 5.0, 1.0)
+
+
+def test_csv_columns_by_name_and_rejected_cells(spark):
+    path = scratch_path(spark, "test-names")
+    rows = [("toys", "40.0", "p1", "x", "1500"), ("audio", "many", "p2", "y", None)]
+    spark.createDataFrame(rows, "product_category_name string, product_description_lenght string, product_id string, more string, product_weight_g string").write.option("header", True).csv(path)
+    schema = schemas.T.StructType([f for f in schemas.PRODUCTS if f.name in ("product_id", "product_weight_g", "product_description_lenght", "product_category_name")])
+    got = {r.product_id: r for r in tables.read_table(spark, path, schema).collect()}
+    assert (got["p1"].product_category_name, got["p1"].product_description_lenght, got["p1"].product_weight_g) == ("toys", 40.0, 1500.0)
+    assert got["p2"].product_description_lenght is None
+    bad = {r.column_name: r.n_rejected for r in tables.rejected_cells(spark, path, schema).collect()}
+    assert bad["product_description_lenght"] == 1 and sum(bad.values()) == 1
+    with pytest.raises(ValueError, match="product_photos_qty"):
+        tables.read_table(spark, path, schemas.PRODUCTS)
 
 
 def test_money_sums_are_exact(spark):
-    # 0.1 + 0.2 in doubles is 0.30000000000000004; summed as cents it is 0.3.
+    # 0.1 + 0.2 in doubles is 0.30000000000000004; summed as millionths it is 0.3.
     df = spark.createDataFrame([(1, 0.1, 0.2, 1, "p")] * 1 + [(1, 0.2, 0.1, 2, "q")], "order_id int, price double, shipping_cost double, order_item_id int, product_id string")
     r = rollup.order_money_rollup(df).collect()[0]
     assert (r.total_price, r.total_shipping_cost, r.total_cost) == (0.3, 0.3, 0.6)
@@ -144,11 +203,11 @@ def test_money_sums_are_exact(spark):
 def test_shape_rollup_grain_property(spark):
     """Repeating every item row k times multiplies sums by k; means and ratios stay."""
     prods = spark.createDataFrame(
-        [("p1", 10, 100, 2, 1500, 10, 20, 30, "x"), ("p2", 30, 900, 4, 250, 5, 5, 5, "y")],
+        [("p1", 10.0, 100.0, 2.0, 1500.0, 10.0, 20.0, 30.0, "x"), ("p2", 30.0, 900.0, 4.0, 250.0, 5.0, 5.0, 5.0, "y")],
         schemas.PRODUCTS,
     )
     clean = basetable.clean_products(prods)
-    items = spark.createDataFrame([("o", 1, "p1", 1.0, 1.0), ("o", 2, "p2", 2.0, 2.0)], schemas.ORDER_ITEMS)
+    items = spark.createDataFrame([("o", 1.0, "p1", 1.0, 1.0), ("o", 2.0, "p2", 2.0, 2.0)], schemas.ORDER_ITEMS)
     rows = items.join(clean, "product_id")
     once = rollup.order_shape_rollup(rows).collect()[0].asDict()
     reps = spark.createDataFrame([("o", 3)], "order_id string, _repeat long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal, getcontext
 
 import numpy as np
 import pytest
@@ -33,10 +34,36 @@ def test_betainc_against_closed_forms():
     assert np.allclose(betainc(0.5, 0.5, x), 2 / np.pi * np.arcsin(np.sqrt(x)))
 
 
-def test_pvalue_large_n_uses_normal_tail():
-    # df = 1e8: t = r * sqrt(df / (1 - r^2)) ~ 3.0 -> two-sided normal tail ~ 0.0027
-    r = 3.0 / math.sqrt(1e8)
-    assert pearson_pvalue([r], [1e8 + 2])[0] == pytest.approx(math.erfc(3.0 / math.sqrt(2)), rel=1e-6)
+def _tail(r: float, n: int) -> float:
+    """Two-sided tail for an even number of pairs by the finite sum, in exact decimals."""
+    getcontext().prec = 60
+    total, term, cos2 = Decimal(0), Decimal(1), 1 - Decimal(r) ** 2
+    for k in range((n - 4) // 2 + 1):
+        if k:
+            term *= Decimal(2 * k - 1) / Decimal(2 * k) * cos2
+        total += term
+    return float(1 - Decimal(abs(r)) * total)
+
+
+@pytest.mark.parametrize(("r", "n"), [(0.24, 800), (0.02, 10_000), (0.05, 10_000), (0.004, 200_000)])
+def test_pvalue_against_the_finite_sum(r, n):
+    assert pearson_pvalue([r], [n])[0] == pytest.approx(_tail(r, n), rel=1e-8)
+
+
+def test_pvalue_is_one_formula_at_every_size():
+    # two-sided t tail next to the normal one: ratio 1 + (t^4 + t^2) * density / (4 df * tail) to first order
+    for n in (10**6, 10**6 + 7, 10**7, 10**8):
+        t = 3.0
+        r = t / math.sqrt(n - 2 + t * t)
+        normal = math.erfc(t / math.sqrt(2))
+        more = (t**3 + t) * math.exp(-t * t / 2) / math.sqrt(2 * math.pi) / (2 * (n - 2))
+        assert pearson_pvalue([r], [n])[0] == pytest.approx(normal + more, rel=2e-8)
+
+
+def test_unsettled_fraction_is_an_error(monkeypatch):
+    monkeypatch.setattr("orderlens.functions.pvalue._MAX_ITER", 3)
+    with pytest.raises(ArithmeticError):
+        pearson_pvalue([0.01], [100_000])
 
 
 @pytest.fixture(scope="module")

