@@ -34,7 +34,7 @@ from orderlens.llm.common import slices
 WINDOW = 3
 SURGE_CHARS = 60
 
-RAW = "script|style|noscript|template|textarea|svg|math|iframe|object|select|canvas|audio|video|noframes"
+RAW = "script|style|noscript|template|textarea|iframe|noframes"  # their content is no markup
 TOKEN = re.compile(
     rf"<!--.*?(?:--!?>|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?/][^>]*+>",
@@ -48,7 +48,7 @@ INLINE = frozenset(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 #: Elements that are boilerplate by their kind.
-CHROME = frozenset("nav aside form footer header menu dialog button head title fieldset".split())
+CHROME = frozenset("nav aside form footer header menu dialog button head title fieldset svg math object select canvas audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert alertdialog form toolbar".split())
 #: Parts of class and id names that mark boilerplate, wherever they stand.
 MARKS = frozenset(
@@ -60,13 +60,18 @@ MARKS = frozenset(
 WEAK = frozenset("sidebar side widget widgets banner notice notices alert header masthead toolbar social search tags meta toc".split())
 CONTENT = frozenset("content article main post entry body text story page container wrapper layout with has no".split())
 WHOLE = frozenset("html body article main".split())
+#: Parts that mark even an article element as boilerplate.
+READERS = frozenset("comment comments reply respond disqus".split())
 
 
 def _boilerplate(name: str, attrs: str) -> bool:
     if name in CHROME:
         return True
-    if name in WHOLE or not attrs.strip():
+    if not attrs.strip():
         return False
+    if name in WHOLE:
+        found = {p.lower() for key, value in ATTRIBUTE.findall(attrs) if key.lower() in ("class", "id") for p in PART.findall(value)}
+        return name == "article" and bool(found & READERS)
     for key, value in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":

@@ -75,6 +75,21 @@ def test_pages_keep_the_article(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>Kept</p></article><article class='comment'><p>A reader</p></article>", "Kept"),
+        ("<article><p>One<svg/></p><p>Two</p><svg><text>no</text></svg>Three</article>", "One\nTwo\nThree"),
+        ("<main><div role=alert>We use</div><p>Kept <span class='share'>Share</span>here</p><ul class=menu><li>x</ul></main>", "Kept\nhere"),
+        ("<article><p>a &lt;b&gt; &eacute; &#x41;<!-- no --> c<script>if (a<b) {}</script></p><noscript>no</noscript></article>", "a <b> \u00e9 A c"),
+        ("<div id=cookie-banner>We use cookies on this site to make it better for all of you, agree?</div><div><p>" + "text " * 20 + "</p></div>", ("text " * 20).strip()),
+        ("<article><ul><li>one<li>two</ul><table><tr><td>x</td><td>y</td></tr></table></article>", "one\ntwo\nx\ny"),
+    ],
+)
+def test_page_shapes(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_long_page_in_one_pass():
     page = "<article>" + "<p>some words of a paragraph</p>" * 20000 + "<div class=ad>" + "x <" * 20000
     assert html_extract.main_text(page).count("\n") == 19999
