@@ -36,9 +36,9 @@ from tokenizers import Tokenizer
 
 from orderlens.llm.common import slices
 
-CACHE_WORDS = 700_000
+CACHE_WORDS = 250_000
 SCHEMA = "doc_id {id}, ids binary, decoded string"
-SLICE_ROWS = 2048
+SLICE_ROWS = 1024
 _NOT_SPACE = re.compile(r"[\x1c-\x1f]")  # str.split() cuts there, the tokenizer does not
 _SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACE = re.compile(f"[{_SPACES}]+")

@@ -37,7 +37,7 @@ from orderlens.llm.common import fresh, slices
 BUCKETS = 1 << 17
 GRAMS = (3, 4)
 REPEAT = BUCKETS  # the feature of a word that repeats its predecessor
-CACHE_WORDS = 600_000
+CACHE_WORDS = 150_000
 
 
 @dataclass
