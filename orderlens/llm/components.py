@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from orderlens.session import cut_lineage
 
 MAX_ROUNDS = 60
+PART_ROWS = 500_000  # links in one checkpoint file, so that a small graph is not spread over many
 
 
 def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +71,7 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        star = cut_lineage(small)
+        star = cut_lineage(small.coalesce(max(1, -(-state[0] // PART_ROWS))))
         now = _state(star)
         if now == state:
             return star.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
