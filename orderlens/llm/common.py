@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.session import scratch_path
+
 #: Bytes that may separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 SLICE_ROWS = 256
@@ -33,6 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet under the shared checkpoint folder and read it back: computed once,
+    smaller than a checkpoint, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int = 1, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut batches to at most ``rows`` rows and, beyond one row, about SLICE_BYTES of column ``text``."""
     for batch in batches:

@@ -31,8 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import fresh, text_hash
-from orderlens.session import cut_lineage
+from orderlens.llm.common import fresh, text_hash, written
 
 MIN_WORDS = 50
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -57,7 +56,7 @@ def _windows(lines: DataFrame, min_words: int) -> DataFrame:
         at.withColumn("n", F.sum("w").over(ahead))
         .withColumn("e", F.max("i").over(ahead))
         .withColumn("f", F.min(F.struct("h", (-F.col("i")).alias("i"))).over(ahead))
-        .withColumn("content", F.sha2(F.array_join(F.transform(F.collect_list("s").over(ahead), F.hex), ""), 256))
+        .withColumn("content", F.unhex(F.sha2(F.array_join(F.transform(F.collect_list("s").over(ahead), F.hex), ""), 256)))
         .where(F.col("n") >= min_words)
         .select("id", "th", "i", "e", F.col("f.h").alias("f"), (-F.col("f.i")).alias("fi"), "content")
     )
@@ -66,7 +65,7 @@ def _windows(lines: DataFrame, min_words: int) -> DataFrame:
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """id, th (text hash), runs: array of (s, e), the deleted runs of lines of each document, in order."""
     key = fresh(docs.columns, "_text_hash")
-    windows = cut_lineage(_windows(_lines(docs.withColumn(key, text_hash(text_col)), id_col, text_col, key), min_words))
+    windows = written(_windows(_lines(docs.withColumn(key, text_hash(text_col)), id_col, text_col, key), min_words), "windows")
     # a fingerprint at one place only can't belong to a repeat
     places = windows.select("id", "th", "fi", "f").distinct().groupBy("f").agg(F.count("*").alias("n"))
     shared = places.where("n > 1").select("f")
