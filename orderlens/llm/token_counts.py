@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import slices
+from orderlens.session import cut_lineage
 
 STRETCH = 1024
 #: Beyond this many white-space characters in a row the library's own splitter runs out of stack.
@@ -73,9 +74,9 @@ def histogram(lengths: DataFrame) -> DataFrame:
 
 
 def context_table(hist: DataFrame) -> DataFrame:
-    """For every length that occurs, taken as a context limit: documents of that length, documents
+    """``hist`` is computed once (checkpointed): its rows serve both steps. For every length that occurs, taken as a context limit: documents of that length, documents
     and tokens of longer ones, total with texts cut there, and the share of documents that fit."""
-    cells = hist.withColumns({"stretch": F.expr(f"n_tokens div {STRETCH}"), "tokens": F.col("n_tokens") * F.col("n_docs")})
+    cells = cut_lineage(hist).withColumns({"stretch": F.expr(f"n_tokens div {STRETCH}"), "tokens": F.col("n_tokens") * F.col("n_docs")})
     inside = Window.partitionBy("stretch").orderBy(F.desc("n_tokens")).rowsBetween(Window.unboundedPreceding, -1)
     stretches = cells.groupBy("stretch").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     after = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
