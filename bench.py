@@ -1,4 +1,4 @@
-"""Headline timings: base tables, rollups, one-pass screen and one GBT fit.
+"""Headline timings: base tables, rollups, one-pass screen, one GBT fit and two searches.
 
 Runs each query fully on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default sf0.1) and
 prints ONE JSON line. Each query is executed to completion with the ``noop`` sink, so the
@@ -26,11 +26,14 @@ HEADLINE = (
     "pearson_screen",
     "order_money_rollup",
     "pivot_payments",
+    "pivot_wide",
     "order_shape_rollup",
     "dedupe_by_key",
     "profile_columns",
     "join_back_money",
     "model_gbt",
+    "signal_lr",
+    "signal_rf",
 )
 
 

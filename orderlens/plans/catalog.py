@@ -294,6 +294,13 @@ def pivot_payments(spark, sf_dir):
     return rollup.pivot_sum(pays, "order_id", "payment_type", "payment_value", types)
 
 
+@query
+def pivot_wide(spark, sf_dir):
+    """A pivot as wide as the source's category list: spend by length of the product's name."""
+    rows = _items_products(spark, sf_dir).select("order_id", F.col("product_name_lenght").cast("string").alias("n"), "price")
+    return rollup.pivot_sum(rows, "order_id", "n", "price", [str(i) for i in range(70)])
+
+
 @query
 def category_dummies(spark, sf_dir):
     rows = _items_products(spark, sf_dir)

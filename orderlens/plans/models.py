@@ -27,7 +27,7 @@ from orderlens.plans.prepare import FEATURES, with_folds
 
 SEED = 123
 FOLDS = 5
-PARALLELISM = 4
+PARALLELISM = 8
 
 # The source's learners and their search grids.
 GRIDS = {

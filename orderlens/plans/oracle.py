@@ -649,6 +649,13 @@ FROM f_items i JOIN c_products p ON i.product_id = p.product_id
             for t in PAYMENT_TYPES
         )
         + " FROM f_payments GROUP BY order_id",
+        "pivot_wide": W()
+        + "SELECT i.order_id, "
+        + ", ".join(
+            f"COALESCE(CAST({money('price')} FILTER (WHERE p.product_name_lenght = {n}) AS DOUBLE), 0.0) AS {q(str(n))}"
+            for n in range(70)
+        )
+        + " FROM f_items i JOIN c_products p ON i.product_id = p.product_id GROUP BY i.order_id",
         "category_dummies": W()
         + "SELECT i.order_id, "
         + ", ".join(f"count(*) FILTER (WHERE p.product_category_name = '{c}') AS {q(c)}" for c in CATEGORIES)
