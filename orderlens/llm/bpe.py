@@ -36,7 +36,7 @@ from tokenizers import Tokenizer
 
 from orderlens.llm.common import slices
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 SCHEMA = "doc_id {id}, ids binary, decoded string"
 SLICE_ROWS = 1024
 _NOT_SPACE = re.compile(r"[\x1c-\x1f]")  # str.split() cuts there, the tokenizer does not
@@ -67,6 +67,12 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in keep else chr(next(shifted)) for b in range(256)]
 
 
+@lru_cache(maxsize=2)
+def _library(spec: str) -> Tokenizer:
+    """Loaded by the rare worker that meets a newer code point."""
+    return Tokenizer.from_str(spec)
+
+
 class PairIndexBpe:
     """Encoder and decoder over one vocabulary file's JSON text."""
 
@@ -100,7 +106,7 @@ class PairIndexBpe:
         for mark, body in {negated: f"[^{_SPACES}{category_ranges('L')}{category_ranges('N')}]", **inside}.items():
             pattern = pattern.replace(mark, body)
         self.split = re.compile(pattern)
-        self.library = Tokenizer.from_str(spec)
+        self.spec = spec
         self.words: dict[str, bytes] = {}
         self.chunks = self._special_chunks()
 
@@ -136,9 +142,10 @@ class PairIndexBpe:
     def _newer_pieces(self, chunk: str) -> list[str]:
         """Pieces of a chunk with code points that this Python's Unicode tables don't know yet: the
         library's own tables say what is a letter and how it is lower-cased."""
-        text = self.library.normalizer.normalize_str(chunk)
+        library = _library(self.spec)
+        text = library.normalizer.normalize_str(chunk)
         back = {c: b for b, c in enumerate(byte_letters())}
-        return [bytes(back[c] for c in p).decode("utf-8") for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+        return [bytes(back[c] for c in p).decode("utf-8") for p, _ in library.pre_tokenizer.pre_tokenize_str(text)]
 
     # ------------------------------------------------------------------ pair occurrence index
     def _merge(self, words: list[str]) -> None:
