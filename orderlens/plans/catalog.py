@@ -545,7 +545,7 @@ def model_comparison(spark, sf_dir):
     """All seven learners on the fixtures' own labels; one base table for both labels."""
     spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
     train = workflow.materialize(train)
-    inputs = {y: workflow.prepare_base(train, None, y, spec=spec, on_empty="all") for y in ("Target", "review_score")}
+    inputs = {y: workflow.prepare_base(train, None, y, spec=spec, on_empty="all", materialized=True) for y in ("Target", "review_score")}
     return _comparison(inputs, spark)[0]
 
 
@@ -555,7 +555,7 @@ def signal_model_comparison(spark, sf_dir):
     and every search's best mean metric with its grid size."""
     spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
     train = _by_category(_by_weekend(workflow.materialize(train)))
-    inputs = {y: workflow.prepare_base(train, None, y, spec=spec) for y in ("Target", "review_score")}
+    inputs = {y: workflow.prepare_base(train, None, y, spec=spec, materialized=True) for y in ("Target", "review_score")}
     compared, searches = _comparison(inputs, spark)
     points = F.count(F.lit(1)).cast("double").alias("grid points")
     best = F.max(F.when(F.col("best"), F.col("mean_metric"))).alias("best mean")

@@ -78,12 +78,14 @@ def prepare_base(
     features: Sequence[str] | None = None,
     spec: basetable.BaseTableSpec | None = None,
     on_empty: str = "error",
+    materialized: bool = False,
 ) -> Prepared:
-    """One-pass screen of a (materialized) training base table -> selected features, or the given
-    list -> pipeline fitted on training only -> hash split 70/30. When no candidate passes the
+    """Training base table written once (unless ``materialized``: it is a scan already) ->
+    one-pass screen -> selected features, or the given list -> pipeline fitted on training only -> hash split 70/30. When no candidate passes the
     screen, ``on_empty`` decides: "error", or "all" to keep every candidate."""
     if on_empty not in ("error", "all"):
         raise ValueError(f"on_empty is 'error' or 'all', not {on_empty!r}")
+    train = train if materialized else materialize(train)
     cands = screen.candidate_features(train, label)
     scr = screen.pearson_screen(train, cands, label)
     chosen = screen.selected_names(scr) if features is None else list(features)
@@ -108,7 +110,7 @@ def prepare_inputs(
 ) -> Prepared:
     """``prepare_base`` over the fixture base tables; ``relabel`` may replace the labels."""
     spec, train, hold = basetables(spark, sf_dir, holdout)
-    return prepare_base(relabel(materialize(train)), hold, label, features, spec, on_empty)
+    return prepare_base(relabel(materialize(train)), hold, label, features, spec, on_empty, materialized=True)
 
 
 def fit_and_score(p: Prepared, kind: str, label: str = "Target", grid: dict | None = None, folds: int = models.FOLDS):
@@ -194,8 +196,8 @@ def run_flow(
     spec, train_base, hold_base = basetables_from(train, holdout)
     grids = grids or {}
     train_base = materialize(train_base)
-    binary = prepare_base(train_base, hold_base, "Target", spec=spec, on_empty=on_empty)
-    multi = prepare_base(train_base, None, "review_score", spec=spec, on_empty=on_empty)
+    binary = prepare_base(train_base, hold_base, "Target", spec=spec, on_empty=on_empty, materialized=True)
+    multi = prepare_base(train_base, None, "review_score", spec=spec, on_empty=on_empty, materialized=True)
     fitted, results = {}, {}
     for kind in binary_kinds:
         fitted[kind], scored = fit_and_score(binary, kind, "Target", grids.get(kind), folds)

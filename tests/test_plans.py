@@ -9,9 +9,10 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF01
-from orderlens.operators import basetable, quality, screen
+from orderlens.operators import basetable, quality, rollup, screen
 from orderlens.sources import fixtures
 
 SPEC = basetable.BaseTableSpec(payment_types=("A", "N", "R"), categories=("ECONOMY", "LARGE"))
@@ -94,6 +95,10 @@ def test_one_row_reductions_have_partial_steps(spark, op):
     items = fixtures.order_items(spark, SF01)
     df = quality.dedupe_by_key(items, "order_id", ["order_item_id", "product_id"]) if op == "dedupe" else quality.profile(items)
     text = plan(df, "simple")
-    # a struct of the row is no fixed-width buffer: the key dedupe sorts, the profile hashes
-    kind = "SortAggregate\\(key" if op == "dedupe" else "HashAggregate\\(keys"
-    assert re.search(kind + r"=\[[^\]]*\], functions=\[partial_", text)
+    # a struct of the row and the least text are no fixed-width buffers: both aggregate by sorting
+    assert re.search(r"SortAggregate\(key=\[[^\]]*\], functions=\[partial_", text)
+
+
+def test_sums_and_counts_hash(spark):
+    text = plan(rollup.order_money_rollup(fixtures.order_items(spark, SF01).drop("product_id").withColumn("product_id", F.lit(1))), "simple")
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", text) and "SortAggregate" not in text
