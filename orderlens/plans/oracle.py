@@ -566,7 +566,7 @@ def _perfect_comparison() -> str:
     """Every metric of every learner is 1 on such labels; the searches have the grids' sizes."""
     rows = [(m, x, 1.0) for m in ("gbt", "lr", "rf", "svm", "dt") for x in ("areaUnderROC", "weightedPrecision", "weightedRecall", "f1")]
     rows += [(m, x, 1.0) for m in ("mlr", "mrf") for x in ("accuracy", "weightedPrecision", "weightedRecall", "f1")]
-    for m, points in {"lr": 6, "rf": 6, "svm": 6, "dt": 3, "mlr": 6, "mrf": 6}.items():
+    for m, points in {"lr": 6, "rf": 6, "svm": 3, "dt": 3, "mlr": 6, "mrf": 6}.items():
         rows += [(m, "grid points", float(points)), (m, "best mean", 1.0)]
     values = ", ".join(f"('{m}', '{x}', CAST({v} AS DOUBLE))" for m, x, v in rows)
     return f"SELECT * FROM (VALUES {values}) AS t(model, metric, value)"
