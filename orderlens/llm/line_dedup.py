@@ -6,15 +6,19 @@ not compared. The window of a line is the shortest run of lines from it that hol
 smallest line hash (the last of equal ones) is selected as its fingerprint. Equal windows select
 equal fingerprints, so two passages that share a window are sure to share a fingerprint.
 
-Fingerprints that occur at one place only are dropped first; the windows of the others are
-joined on fingerprint and content, and each content's first place stays. A window that occurred
-before, in id order or further up in its document, is a repeat. Repeats that overlap or touch
-are merged, which extends a match from its fingerprint both ways to the ends of the shared
-passage, and the merged later runs are deleted (with blank lines inside them).
+Fingerprints that occur at one place only are dropped first; the others' windows are extended: a
+longer run from the same line is matched too, to each end at which the words after its first line
+are still under ``min_words`` (what reaches further holds the next line's own window), and from a
+line that is a window by itself to a neighbour that is one too (for the blank lines between them).
+Windows and extended runs are joined on fingerprint and content, and each content's first place
+stays. A run that occurred before, in id order or further up in its document, is a repeat. Every
+longer match is a union of such runs, so repeats that overlap or touch are merged to the whole
+shared passage, from its first line to its last, and the merged later runs are deleted (with blank
+lines inside them).
 
 So: a line is deleted if and only if it lies in a run of at least ``min_words`` words, cut at
-line ends, whose equal occurred earlier. Texts are compared exactly (SHA-256 of the window's
-lines); hashes of 64 bits only select.
+line ends, whose equal occurred earlier. Texts are compared exactly (SHA-256 of the run's lines);
+hashes of 64 bits only select.
 
 Scale. The lines are dealt by document with their hash and word count only. Windows of a passage
 that a third of all documents hold meet in an aggregation with a map-side partial step, never in
@@ -47,21 +51,41 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
 
 
 def _windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """id, th, i (first line), e (last line), f (fingerprint hash), content (of the window)."""
+    """id, th, i (first line), e (last line), f (fingerprint hash), content (of the window), and
+    more: the lines behind it (i, s) at which a longer run ends that is matched too."""
     doc = Window.partitionBy("id", "th")
     # words before a line; every line has some, so the sum orders the lines
     at = lines.dropDuplicates(["id", "th", "i"]).withColumn("b", F.sum("w").over(doc.orderBy("i")) - F.col("w"))
     ahead = doc.orderBy("b").rangeBetween(0, min_words - 1)
-    return (
+    behind = doc.orderBy("c").rangeBetween(0, min_words - 1)  # by the words up to a line's end
+    sized = (
         at.withColumn("n", F.sum("w").over(ahead))
         .withColumn("e", F.max("i").over(ahead))
         .withColumn("f", F.min(F.struct("h", (-F.col("i")).alias("i"))).over(ahead))
         .withColumn("content", F.unhex(F.sha2(F.array_join(F.transform(F.collect_list("s").over(ahead), F.hex), ""), 256)))
+        .select("id", "th", "i", "e", "n", F.col("f.h").alias("f"), (-F.col("f.i")).alias("fi"), "content", "s", "w", (F.col("b") + F.col("w")).alias("c"))
+    )
+    later = F.filter(F.collect_list(F.struct("i", "s")).over(behind), lambda x: x["i"] > F.col("e"))
+    # two neighbours that are a window each: only a run of both holds the blank lines between them, here or at an equal place
+    after = F.lead(F.struct("i", "s", "w")).over(doc.orderBy("c"))
+    sized = sized.withColumn("later", later).withColumn("after", after)
+    both = (F.col("e") == F.col("i")) & (F.col("after.w") >= min_words)
+    return (
+        sized.withColumn("more", F.when(both, F.array(F.struct("after.i", "after.s"))).otherwise(F.col("later")))
         .where(F.col("n") >= min_words)
-        .select("id", "th", "i", "e", F.col("f.h").alias("f"), (-F.col("f.i")).alias("fi"), "content")
+        .select("id", "th", "i", "e", "f", "fi", "content", "more")
     )
 
 
+def _runs(windows: DataFrame) -> DataFrame:
+    """id, th, i, e, f, content of every window and of the longer runs from its first line."""
+    more = F.col("more")
+    text = lambda k: F.concat(F.hex("content"), F.array_join(F.transform(F.slice(more, 1, k + 1), lambda x: F.hex(x["s"])), ""))
+    longer = F.transform(more, lambda x, k: F.struct(x["i"].alias("e"), F.unhex(F.sha2(text(k), 256)).alias("content")))
+    run = F.explode(F.concat(F.array(F.struct("e", "content")), longer)).alias("run")
+    return windows.select("id", "th", "i", "f", run).select("id", "th", "i", "f", "run.e", "run.content")
+
+
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """id, th (text hash), runs: array of (s, e), the deleted runs of lines of each document, in order."""
     key = fresh(docs.columns, "_text_hash")
@@ -70,7 +94,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     places = windows.select("id", "th", "fi", "f").distinct().groupBy("f").agg(F.count("*").alias("n"))
     shared = places.where("n > 1").select("f")
     place = F.struct("id", "th", "i")
-    candidates = windows.join(shared, "f", "left_semi")
+    candidates = _runs(windows.join(shared, "f", "left_semi"))
     first = candidates.groupBy("f", "content").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     first = first.where("n > 1").select("f", "content", "first")
     repeats = candidates.join(first, ["f", "content"]).where(place != F.col("first")).select("id", "th", "i", "e")
