@@ -4,17 +4,18 @@ A block is a line. Lines that name a license, copyright or permission are candid
 in Spark; all other lines hold no notice). Each candidate is compressed alone and with each
 template as zstandard raw dictionary; the more of the block a template already holds, the
 smaller the result. Templates are ranked by the reduction (size alone less size with the
-template, over size alone; ties by name). The best ``FINALISTS`` and those that tie with them are
-confirmed by exact wording: the words of template and block are aligned, and a notice is
+template, over size alone; ties by name). All are, by rank, confirmed by exact wording: the words of template and block are aligned, and a notice is
 confirmed if no word that tells licenses apart (a name, a clause or a version number) differs
 and the other words that are missing or put in are at most ``MAX_DIFFERENT`` of the template's.
-The first confirmed template by rank is the block's license.
+The first confirmed template by rank is the block's license; ``license_ids`` holds all confirmed
+ones by rank (none is left out: a template is skipped only if words that the block lacks altogether
+already rule it out).
 
 Blocks are whole lines of any length. Results of equal blocks are kept by the worker, so a
 notice in a third of all documents is compressed a few times only; nothing is shuffled.
 
 Defined results: null and empty texts have no blocks; a candidate that confirms no template has
-license_id null and keeps its best template and differences; repeated rows give rows each; ids
+license_id null, no license_ids, and keeps its best template and differences; repeated rows give rows each; ids
 may be null; an empty table gives an empty table; other columns are ignored.
 """
 
@@ -34,7 +35,6 @@ from pyspark.sql.pandas.types import to_arrow_type
 from orderlens.llm.common import slices
 
 CUES = r"(?i)licen[cs]|copyright|\(c\)|©|rights reserved|public domain|creative commons|spdx|permission is (hereby )?granted|redistribution"
-FINALISTS = 3
 MAX_DIFFERENT = 0.25
 CACHE_BLOCKS = 50_000
 LEVEL = 3
@@ -86,6 +86,11 @@ def differences(template: list[str], block: list[str]) -> tuple[list[str], list[
     return [w for i, w in enumerate(template) if i not in held], [block[j] for j in range(low, high) if j not in used]
 
 
+def agrees(template: list[str], different: list[str]) -> bool:
+    """Whether a notice may differ from the template in these words."""
+    return len(different) <= MAX_DIFFERENT * len(template) and not any(w in TELLING or w.isdigit() for w in different)
+
+
 class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...]):
         self.templates = [(name, words_of(text)) for name, text in templates]
@@ -97,22 +102,25 @@ class Scanner:
     def _scan(self, block: str) -> tuple:
         data = block.encode("utf-8")
         size = len(self.alone.compress(data))
-        ranked = sorted(((size - len(c.compress(data))) / size, k) for k, c in enumerate(self.given))[::-1]
-        cut = ranked[min(FINALISTS, len(ranked)) - 1][0]
-        words, best = words_of(block), None
-        finalists = sorted((x for x in ranked if x[0] >= cut), key=lambda x: (-x[0], self.templates[x[1]][0], x[1]))
-        for reduction, k in finalists:
+        ranked = [((size - len(c.compress(data))) / size, k) for k, c in enumerate(self.given)]
+        ranked.sort(key=lambda x: (-x[0], self.templates[x[1]][0], x[1]))
+        words = words_of(block)
+        held, first, names = set(words), None, []
+        for reduction, k in ranked:
             name, wanted = self.templates[k]
-            lost, put = differences(wanted, words)
-            telling = [w for w in lost + put if w in TELLING or w.isdigit()]
-            row = (name, reduction, len(lost), len(put))
-            if not telling and len(lost) + len(put) <= MAX_DIFFERENT * len(wanted):
-                return (name, *row)
-            best = best or row
-        return (None, *best)
+            if agrees(wanted, [w for w in wanted if w not in held]):
+                lost, put = differences(wanted, words)
+                if agrees(wanted, lost + put):
+                    first = first or (name, reduction, len(lost), len(put))
+                    names.append(name)
+        if first:
+            return (first[0], list(dict.fromkeys(names)), *first)
+        reduction, k = ranked[0]
+        lost, put = differences(self.templates[k][1], words)
+        return (None, [], self.templates[k][0], reduction, len(lost), len(put))
 
     def scan(self, block: str) -> tuple:
-        """(confirmed license or null, best template, reduction, words missing, words put in)."""
+        """(first confirmed license or null, all confirmed, best template, reduction, words missing, words put in)."""
         found = self.known.get(block)
         if found is None:
             if len(self.known) >= CACHE_BLOCKS:
@@ -127,12 +135,12 @@ def scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
 
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, line_no, block, license_id, template_id, reduction, n_missing, n_added of each candidate line."""
+    """doc_id, line_no, block, license_id, license_ids, template_id, reduction, n_missing, n_added of each candidate line."""
     lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "block"))
     candidates = lines.where(F.col("block").rlike(CUES)).select("doc_id", "block", "line_no")
     kind = candidates.schema["doc_id"].dataType
-    names = ["doc_id", "line_no", "block", "license_id", "template_id", "reduction", "n_missing", "n_added"]
-    types = [to_arrow_type(kind), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
+    names = ["doc_id", "line_no", "block", "license_id", "license_ids", "template_id", "reduction", "n_missing", "n_added"]
+    types = [to_arrow_type(kind), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.float64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = scanner(templates)
@@ -142,5 +150,5 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, id
             scanned = [pa.array(c, t) for c, t in zip(columns, types[3:], strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(1), *scanned], names=names)
 
-    schema = f"doc_id {kind.simpleString()}, line_no int, block string, license_id string, template_id string, reduction double, n_missing long, n_added long"
+    schema = f"doc_id {kind.simpleString()}, line_no int, block string, license_id string, license_ids array<string>, template_id string, reduction double, n_missing long, n_added long"
     return candidates.mapInArrow(run, schema)
