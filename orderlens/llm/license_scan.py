@@ -1,7 +1,7 @@
 """License scan by conditional compression.
 
-A block is a line. Lines that name a license, copyright or permission are candidates (a pattern
-in Spark; all other lines hold no notice). Each candidate is compressed alone and with each
+A block is a line. Lines that name a license, copyright or permission are candidates (documents
+without such a pattern are dropped in Spark; all other lines hold no notice). Each candidate is compressed alone and with each
 template as zstandard raw dictionary; the more of the block a template already holds, the
 smaller the result. Templates are ranked by the reduction (size alone less size with the
 template, over size alone; ties by name). All are, by rank, confirmed by exact wording: the words of template and block are aligned, and a notice is
@@ -11,7 +11,12 @@ The first confirmed template by rank is the block's license; ``license_ids`` hol
 ones by rank (none is left out: a template is skipped only if words that the block lacks altogether
 already rule it out).
 
-Blocks are whole lines of any length. Results of equal blocks are kept by the worker, so a
+A notice may be wrapped over lines. So a run of neighbouring non-blank lines that holds a cue is a
+block too, read word by word across its line ends. It gives a row of its own (its first line's
+number, its lines joined by line feeds) if it confirms a license that none of its lines confirms
+alone; ``license_ids`` of that row are those licenses only. Cues may be wrapped as well.
+
+Blocks are of any length. Results of equal lines are kept by the worker, so a
 notice in a third of all documents is compressed a few times only; nothing is shuffled.
 
 Defined results: null and empty texts have no blocks; a candidate that confirms no template has
@@ -22,9 +27,10 @@ may be null; an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import groupby
 
 import pyarrow as pa
 import zstandard
@@ -35,6 +41,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from orderlens.llm.common import slices
 
 CUES = r"(?i)licen[cs]|copyright|\(c\)|©|rights reserved|public domain|creative commons|spdx|permission is (hereby )?granted|redistribution"
+WRAPPED_CUES = CUES.replace(" ", r"\s+")
 MAX_DIFFERENT = 0.25
 CACHE_BLOCKS = 50_000
 LEVEL = 3
@@ -69,6 +76,7 @@ TELLING = frozenset(
     "not no except".split()
 )
 _WORD = re.compile(r"[^\W_]+", re.UNICODE)
+_CUE, _WRAPPED_CUE = re.compile(CUES, re.ASCII), re.compile(WRAPPED_CUES, re.ASCII)  # as Java reads them
 
 
 def words_of(text: str) -> list[str]:
@@ -99,26 +107,59 @@ class Scanner:
         self.given = [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False) for d in raw]
         self.known: dict[str, tuple] = {}
 
-    def _scan(self, block: str) -> tuple:
+    def _confirmed(self, words: list[str]) -> dict[int, tuple[int, int]]:
+        """Words missing and put in of each template that the block's wording confirms."""
+        held, found = set(words), {}
+        for k, (_, wanted) in enumerate(self.templates):
+            if agrees(wanted, [w for w in wanted if w not in held]):
+                lost, put = differences(wanted, words)
+                if agrees(wanted, lost + put):
+                    found[k] = len(lost), len(put)
+        return found
+
+    def _ranked(self, block: str, among: Iterable[int]) -> list[tuple[float, int]]:
         data = block.encode("utf-8")
         size = len(self.alone.compress(data))
-        ranked = [((size - len(c.compress(data))) / size, k) for k, c in enumerate(self.given)]
-        ranked.sort(key=lambda x: (-x[0], self.templates[x[1]][0], x[1]))
+        ranked = [((size - len(self.given[k].compress(data))) / size, k) for k in among]
+        return sorted(ranked, key=lambda x: (-x[0], self.templates[x[1]][0], x[1]))
+
+    def _scan(self, block: str) -> tuple:
         words = words_of(block)
-        held, first, names = set(words), None, []
+        found, ranked = self._confirmed(words), self._ranked(block, range(len(self.templates)))
+        names = list(dict.fromkeys(self.templates[k][0] for _, k in ranked if k in found))
         for reduction, k in ranked:
-            name, wanted = self.templates[k]
-            if agrees(wanted, [w for w in wanted if w not in held]):
-                lost, put = differences(wanted, words)
-                if agrees(wanted, lost + put):
-                    first = first or (name, reduction, len(lost), len(put))
-                    names.append(name)
-        if first:
-            return (first[0], list(dict.fromkeys(names)), *first)
+            if k in found:
+                return (names[0], names, names[0], reduction, *found[k])
         reduction, k = ranked[0]
         lost, put = differences(self.templates[k][1], words)
         return (None, [], self.templates[k][0], reduction, len(lost), len(put))
 
+    def scan_run(self, block: str, known: set[str]) -> tuple | None:
+        """As ``scan``, for the licenses of a run of lines that are not ``known``; None if there are none."""
+        found = {k: n for k, n in self._confirmed(words_of(block)).items() if self.templates[k][0] not in known}
+        if not found:
+            return None
+        ranked = self._ranked(block, found)
+        names = list(dict.fromkeys(self.templates[k][0] for _, k in ranked))
+        reduction, k = ranked[0]
+        return (names[0], names, names[0], reduction, *found[k])
+
+    def blocks(self, text: str) -> Iterator[tuple]:
+        """(line number, block, what ``scan`` returns) of every candidate line, and of runs with a license of their own."""
+        at, lines = 0, text.split("\n")
+        for blank, group in groupby(lines, key=lambda x: not x.strip()):
+            run, known = list(group), set()
+            for k, line in enumerate(run):
+                if not blank and _CUE.search(line):
+                    found = self.scan(line)
+                    known.update(found[1])
+                    yield (at + k, line, *found)
+            if not blank and len(run) > 1 and _WRAPPED_CUE.search(whole := "\n".join(run)):
+                found = self.scan_run(whole, known)
+                if found:
+                    yield (at, whole, *found)
+            at += len(run)
+
     def scan(self, block: str) -> tuple:
         """(first confirmed license or null, all confirmed, best template, reduction, words missing, words put in)."""
         found = self.known.get(block)
@@ -135,9 +176,10 @@ def scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
 
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, line_no, block, license_id, license_ids, template_id, reduction, n_missing, n_added of each candidate line."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "block"))
-    candidates = lines.where(F.col("block").rlike(CUES)).select("doc_id", "block", "line_no")
+    """doc_id, line_no, block, license_id, license_ids, template_id, reduction, n_missing, n_added of each candidate
+    line, and of each run of lines that confirms a license none of them confirms alone."""
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    candidates = slim.where(F.col("text").rlike(WRAPPED_CUES))
     kind = candidates.schema["doc_id"].dataType
     names = ["doc_id", "line_no", "block", "license_id", "license_ids", "template_id", "reduction", "n_missing", "n_added"]
     types = [to_arrow_type(kind), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.float64(), pa.int64(), pa.int64()]
@@ -145,10 +187,9 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = scanner(templates)
         for part in slices(batches):
-            found = [own.scan(b) for b in part.column(1).to_pylist()]
-            columns = list(zip(*found, strict=True))
-            scanned = [pa.array(c, t) for c, t in zip(columns, types[3:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(1), *scanned], names=names)
+            rows = [(i, *found) for i, x in zip(*(c.to_pylist() for c in part.columns), strict=True) for found in own.blocks(x)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     schema = f"doc_id {kind.simpleString()}, line_no int, block string, license_id string, license_ids array<string>, template_id string, reduction double, n_missing long, n_added long"
     return candidates.mapInArrow(run, schema)

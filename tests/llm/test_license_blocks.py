@@ -19,3 +19,18 @@ def test_notice_at_the_end_of_a_long_block_and_two_notices():
     both = own.scan("Licensed under the MIT License. Copyright 2020 X. All rights reserved.")
     assert both[0] in both[1] and sorted(both[1]) == ["LicenseRef-All-Rights-Reserved", "MIT"]
     assert own.scan("My driving licence was lost.")[:2] == (None, [])
+
+
+def test_notice_wrapped_over_lines(spark):
+    mit = (
+        "MIT License\n\nCopyright (c) 2020 X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+        "of this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction.\n"
+    )
+    rows = [(1, mit), (2, "a\n\nAll rights\n  reserved.\n"), (3, "Released under the MIT License.\nplain line"), (4, "All rights\n\nreserved."), (5, None)]
+    out = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = {(r.doc_id, r.line_no): (r.license_id, r.license_ids, r.block) for r in out if r.block != mit.split("\n")[4]}
+    run = "\n".join(mit.split("\n")[4:7])
+    assert got[1, 4] == ("MIT", ["MIT"], run)
+    assert [r.license_id for r in out if r.block == mit.split("\n")[4]] == [None]  # the first line alone is not enough
+    assert got[2, 2] == ("LicenseRef-All-Rights-Reserved", ["LicenseRef-All-Rights-Reserved"], "All rights\n  reserved.")
+    assert got[3, 0] == ("MIT", ["MIT"], "Released under the MIT License.") and [k for k in got if k[0] in (3, 4, 5)] == [(3, 0)]
