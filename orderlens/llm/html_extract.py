@@ -7,8 +7,9 @@ role, class or id) have length 0, and so have lines outside ``article`` or ``mai
 has such an element with text. The lengths are summed over sliding windows of ``WINDOW`` lines.
 Where the sum rises from zero is a surge point, where it falls back to zero a dive point; the
 text between a surge and its dive is kept if some window in it reaches the threshold (any text
-in an article or main element, ``SURGE_CHARS`` characters elsewhere). Short lines inside a run
-stay with it; nothing else is dropped or cut.
+in an article or main element, ``SURGE_CHARS`` characters elsewhere); if none reaches it, the run
+with the largest sum (the first of equal ones) is kept. Short lines inside a run, and those that are
+links only, stay with it; nothing else is dropped or cut.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 trimmed and joined by one line feed.
@@ -87,9 +88,9 @@ def _boilerplate(name: str, attrs: str) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length for the distribution, inside article or main) of each block of text."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
+    """(text, length for the distribution, inside article or main, boilerplate) of each block of text."""
+    lines: list[tuple[str, int, bool, bool]] = []
     text: list[str] = []
     stack: list[tuple[str, bool]] = []  # open block elements, and inline ones that are boilerplate
     hidden = inside = links = linked = 0
@@ -99,7 +100,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if text:
             line = " ".join(unescape("".join(text)).split())
             if line:
-                lines.append((line, 0 if hidden else max(0, len(line) - linked), inside > 0 and not hidden))
+                lines.append((line, 0 if hidden else max(0, len(line) - linked), inside > 0 and not hidden, hidden > 0))
             text.clear()
         linked = 0
 
@@ -161,10 +162,10 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE_CHARS) -> str:
     """Text between surge and dive points of the page's line-block distribution."""
     lines = lines_of(page) if page else []
-    marked = any(inside for _, _, inside in lines)
-    lengths = [(max(n, 1) if inside else 0) if marked else n for _, n, inside in lines]
+    marked = any(inside for _, _, inside, _ in lines)
+    lengths = [(max(n, 1) if inside else 0) if marked else n for _, n, inside, _ in lines]
     sums = [sum(lengths[i : i + window]) for i in range(len(lines))]
-    kept: list[str] = []
+    runs: list[tuple[int, int, int]] = []
     start = 0
     while start < len(lines):
         if not sums[start]:
@@ -173,11 +174,13 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE_CHARS)
         stop = start
         while stop < len(lines) and sums[stop]:
             stop += 1
-        # a window that begins before the dive still reaches over the lines up to it
-        if max(sums[start:stop]) >= (1 if marked else surge):
-            kept += [lines[i][0] for i in range(start, stop) if lengths[i]]
+        # a window that begins before the dive still reaches over the lines up to it, one before the surge over lines without length
+        first = next(i for i in range(start, stop) if lengths[i])
+        runs.append((max(sums[start:stop]), first, stop))
         start = stop
-    return "\n".join(kept)
+    kept = [r for r in runs if marked or r[0] >= surge] or sorted(runs, key=lambda r: -r[0])[:1]
+    inner = lambda i: lines[i][2] if marked else not lines[i][3]
+    return "\n".join(lines[i][0] for _, first, stop in kept for i in range(first, stop) if inner(i))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
