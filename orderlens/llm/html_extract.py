@@ -3,8 +3,9 @@
 Markup is stripped to a sequence of lines, one for each block of text (paragraph, heading, list
 item, cell). A line's length is that of its text outside links; lines inside boilerplate
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, recognised by element,
-role, class or id) have length 0, and so have lines outside ``article`` or ``main`` where a page
-has such an element with text. The lengths are summed over sliding windows of ``WINDOW`` lines.
+role, class or id) have length 0. Text in ``article`` or ``main`` weighs ``ELEMENT_WEIGHT`` times: if
+it then is as long as the longest run outside, lines outside have length 0 too, and the element is
+the region; otherwise (a teaser card beside the body) the distribution decides alone. The lengths are summed over sliding windows of ``WINDOW`` lines.
 Where the sum rises from zero is a surge point, where it falls back to zero a dive point; the
 text between a surge and its dive is kept if some window in it reaches the threshold (any text
 in an article or main element, ``SURGE_CHARS`` characters elsewhere); if none reaches it, the run
@@ -34,6 +35,7 @@ from orderlens.llm.common import slices
 
 WINDOW = 3
 SURGE_CHARS = 60
+ELEMENT_WEIGHT = 4  # of text in an article or main element against a run outside
 
 RAW = "script|style|noscript|template|textarea|iframe|noframes"  # their content is no markup
 TOKEN = re.compile(
@@ -159,25 +161,34 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     return lines
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE_CHARS) -> str:
-    """Text between surge and dive points of the page's line-block distribution."""
-    lines = lines_of(page) if page else []
-    marked = any(inside for _, _, inside, _ in lines)
-    lengths = [(max(n, 1) if inside else 0) if marked else n for _, n, inside, _ in lines]
-    sums = [sum(lengths[i : i + window]) for i in range(len(lines))]
+def _runs(lengths: list[int], window: int) -> list[tuple[int, int, int]]:
+    """(largest window sum, first line with length, line behind the last) between each surge and its dive."""
+    sums = [sum(lengths[i : i + window]) for i in range(len(lengths))]
     runs: list[tuple[int, int, int]] = []
     start = 0
-    while start < len(lines):
+    while start < len(lengths):
         if not sums[start]:
             start += 1
             continue
         stop = start
-        while stop < len(lines) and sums[stop]:
+        while stop < len(lengths) and sums[stop]:
             stop += 1
         # a window that begins before the dive still reaches over the lines up to it, one before the surge over lines without length
         first = next(i for i in range(start, stop) if lengths[i])
         runs.append((max(sums[start:stop]), first, stop))
         start = stop
+    return runs
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE_CHARS) -> str:
+    """Text between surge and dive points of the page's line-block distribution."""
+    lines = lines_of(page) if page else []
+    marked = any(inside for _, _, inside, _ in lines)
+    if marked:
+        outside = [0 if inside else n for _, n, inside, _ in lines]
+        most = max((sum(outside[first:stop]) for _, first, stop in _runs(outside, window)), default=0)
+        marked = ELEMENT_WEIGHT * sum(n for _, n, inside, _ in lines if inside) >= most
+    runs = _runs([(max(n, 1) if inside else 0) if marked else n for _, n, inside, _ in lines], window)
     kept = [r for r in runs if marked or r[0] >= surge] or sorted(runs, key=lambda r: -r[0])[:1]
     inner = lambda i: lines[i][2] if marked else not lines[i][3]
     return "\n".join(lines[i][0] for _, first, stop in kept for i in range(first, stop) if inner(i))

@@ -21,3 +21,11 @@ LONG = " ".join(["text"] * 20)
 )
 def test_runs_of_pages_without_article(page, text):
     assert html_extract.main_text(page) == text
+
+
+def test_distribution_chooses_between_element_and_body():
+    body, teaser = "".join(f"<p>{LONG}</p>" for _ in range(12)), "<p>Read this too</p>"
+    menu = "<ul class=menu><li>a<li>b<li>c</ul>"
+    assert html_extract.main_text(f"<div>{body}</div>{menu}<article>{teaser}</article>") == "\n".join([LONG] * 12)
+    assert html_extract.main_text(f"<div><p>{LONG}</p></div>{menu}<article><p>{LONG[:40]}</p></article>") == LONG[:40].strip()
+    assert html_extract.main_text(f"<p>{LONG}</p><article>{body}</article>") == "\n".join([LONG] * 12)
