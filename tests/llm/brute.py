@@ -33,22 +33,22 @@ def simhash(text, length=3):
 
 
 def line_runs(docs, min_words=50):
-    """docs: list of (id, text) in order. Deleted line numbers of each document."""
+    """docs: list of (id, text) in order. Deleted line numbers of each document: every run of lines with
+    enough words whose equal occurred earlier."""
     seen, gone = set(), [set() for _ in docs]
     for k, (_, text) in enumerate(docs):
-        lines = (text or "").split("\n") if text is not None else []
+        lines = [] if text is None else text.split("\n")
         sizes = [len(WORDS.findall(x.encode())) for x in lines]
         live = [i for i, n in enumerate(sizes) if n]
         for a, i in enumerate(live):
-            total, b = 0, a
-            while b < len(live) and total < min_words:
-                total += sizes[live[b]]
-                b += 1
-            if total >= min_words:
-                run = tuple(lines[j] for j in live[a:b])
-                if run in seen:
-                    gone[k].update(range(i, live[b - 1] + 1))
-                seen.add(run)
+            own = []
+            for b in range(a, len(live)):
+                if sum(sizes[j] for j in live[a : b + 1]) >= min_words:
+                    run = tuple(lines[j] for j in live[a : b + 1])
+                    if run in seen:
+                        gone[k].update(range(i, live[b] + 1))
+                    own.append(run)
+            seen.update(own)
     return gone
 
 

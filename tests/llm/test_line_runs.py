@@ -4,30 +4,11 @@ from __future__ import annotations
 
 import random
 
-from brute import WORDS
+import brute
 
 from orderlens.llm import line_dedup
 
 
-def runs_by_definition(docs, min_words=50):
-    """docs: list of (id, text) in order. Deleted line numbers of each document."""
-    seen, gone = set(), [set() for _ in docs]
-    for k, (_, text) in enumerate(docs):
-        lines = [] if text is None else text.split("\n")
-        sizes = [len(WORDS.findall(x.encode())) for x in lines]
-        live = [i for i, n in enumerate(sizes) if n]
-        for a, i in enumerate(live):
-            own = []
-            for b in range(a, len(live)):
-                if sum(sizes[j] for j in live[a : b + 1]) >= min_words:
-                    run = tuple(lines[j] for j in live[a : b + 1])
-                    if run in seen:
-                        gone[k].update(range(i, live[b] + 1))
-                    own.append(run)
-            seen.update(own)
-    return gone
-
-
 def _deduped(spark, rows, **options):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     return {r.doc_id: (r.text, r.n) for r in line_dedup.dedup_lines(docs, dropped_col="n", **options).collect()}
@@ -49,5 +30,5 @@ def test_runs_by_definition_on_random_passages(spark):
         whole = [i for i in range(40, 60) if i % 2]  # exact copies and copies of a part
         rows = [(i, rows[i - 40][1] if i in whole else t) for i, t in rows]
         out = _deduped(spark, rows, **options)
-        for (i, text), gone in zip(rows, runs_by_definition(rows, **options), strict=True):
+        for (i, text), gone in zip(rows, brute.line_runs(rows, **options), strict=True):
             assert out[i] == ("\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), len(gone)), (sizes, i)
