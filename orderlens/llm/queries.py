@@ -12,9 +12,12 @@ from orderlens.llm import (
     bpe,
     decontam,
     embedding_dedup,
+    fingerprints,
+    hard_negatives,
     html_extract,
     license_scan,
     line_dedup,
+    phrases,
     quality,
     simhash,
     token_counts,
@@ -105,3 +108,23 @@ def op10_quality(spark, sf_dir):
         "score",
         (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
     )
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every 100th vector; every 7th takes the next label first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_phrases(spark, sf_dir):
+    """The best collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
