@@ -45,7 +45,7 @@ COVERED = 50  # per cent of a phrase's count that lies inside one longer candida
 TOP = 2000
 BLOCK_BYTES = 6 << 20
 RANK_PARTS = 32
-SLICE_ROWS = 4096
+SLICE_ROWS = 1024
 NO_LANG = "und"
 
 SPACE, BREAK = 32, 10
@@ -86,7 +86,7 @@ def lay_out(texts: list[bytes | None]) -> Words:
     word = (raw != BREAK) & (raw != SPACE)
     behind = np.flatnonzero(word[:-1] & ~word[1:]) + 1  # the byte behind each word
     first = np.flatnonzero(word & ~np.append(False, word[:-1]))
-    breaks = np.cumsum(raw == BREAK, dtype=np.int64)
+    breaks = np.cumsum(raw == BREAK, dtype=np.int32)
     following = np.append(first[1:], len(raw) - 1)
     split = breaks[following] - breaks[behind - 1] > 0  # a break before the next word
     if len(split):
