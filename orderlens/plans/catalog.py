@@ -398,20 +398,29 @@ def select_features(spark, sf_dir):
 
 
 def _by_weekend(base: DataFrame) -> DataFrame:
-    """A label that a feature explains: the binary target is the weekend flag."""
-    return base.withColumn("Target", F.col("weekend_delivered"))
+    """A label that a feature explains but for noise: the binary target is the weekend flag, turned
+    for one order in eight."""
+    flag = F.col("weekend_delivered")
+    return base.withColumn("Target", F.when(prepare.noise_flag(), 1 - flag).otherwise(flag))
 
 
 def _by_category(base: DataFrame) -> DataFrame:
-    """A 1-5 label that features explain: the score follows the product category."""
+    """A 1-5 label that features explain but for noise: the score follows the product category, and
+    is the next one (5: 1) for one order in eight."""
     categories = fixtures.CATEGORIES
     score = F.coalesce(*[F.when(F.col("product_category_name") == c, float(i % 5 + 1)) for i, c in enumerate(categories)])
-    return base.withColumn("review_score", score)
+    return base.withColumn("review_score", F.when(prepare.noise_flag(), score % 5 + 1).otherwise(score))
+
+
+def _spread(base: DataFrame) -> DataFrame:
+    """The same label for the linear machine: the flag is spread over 0 to 0.25 and 1 to 1.25. With two
+    values only, the least hinge loss is at a kink that all rows share, where its solver never settles."""
+    return _by_weekend(base).withColumn("weekend_delivered", F.col("weekend_delivered") + prepare.key_fraction() / 4)
 
 
 @query
 def signal_select_features(spark, sf_dir):
-    """The selection on a label that one feature explains: selected and unselected rows."""
+    """The selection on a label that one feature explains but for noise: selected and unselected rows."""
     return _selection(_by_weekend(_train_base(spark, sf_dir)))
 
 
@@ -498,17 +507,18 @@ def _model_query(kind: str, label: str = "Target") -> Query:
     return run
 
 
-def _signal_inputs(spark, sf_dir, label: str = "Target", holdout: bool = False) -> workflow.Prepared:
-    """Inputs screened on a label that features explain."""
-    relabel = _by_weekend if label == "Target" else _by_category
+def _signal_inputs(spark, sf_dir, label: str = "Target", holdout: bool = False, relabel=None) -> workflow.Prepared:
+    """Inputs screened on a label that features explain but for noise."""
+    relabel = relabel or (_by_weekend if label == "Target" else _by_category)
     return workflow.prepare_inputs(spark, sf_dir, label, holdout=holdout, relabel=relabel)
 
 
 def _signal_query(kind: str, label: str = "Target") -> Query:
-    """The learner on such a label: it must predict every validation order."""
+    """The learner on such a label: of every validation order it must predict the label without the noise."""
 
     def run(spark, sf_dir):
-        _, scored = workflow.fit_and_score(_signal_inputs(spark, sf_dir, label), kind, label)
+        inputs = _signal_inputs(spark, sf_dir, label, relabel=_spread if kind == "svm" else None)
+        _, scored = workflow.fit_and_score(inputs, kind, label)
         return scored.select("order_id", label, "prediction")
 
     run.__name__ = f"signal_{kind}"
@@ -524,16 +534,45 @@ for _kinds, _label in ((workflow.BINARY_KINDS, "Target"), (workflow.MULTICLASS_K
 @query
 def cv_results(spark, sf_dir):
     p = workflow.prepare_inputs(spark, sf_dir, on_empty="all")
-    model = models.fit_cv("lr", p.fit)
-    return models.cv_results(spark, model)
+    return models.cv_results(spark, models.fit_cv("lr", p.fit))
+
+
+# One point of each grid is the best there is on such labels, the other one learns nothing: an absolute
+# penalty that leaves no coefficient, or a tree without a split.
+SIGNAL_GRIDS = {
+    "lr": {"elasticNetParam": [1.0], "regParam": [100.0, 0.01], "maxIter": [50, 100]},
+    "dt": {"maxDepth": [0, 5]},
+    "mlr": {"elasticNetParam": [1.0], "regParam": [100.0, 0.01], "maxIter": [50, 100]},
+}
+
+
+@query
+def signal_cv_results(spark, sf_dir):
+    """Every grid point's parameters, mean metric and choice in three searches."""
+    inputs = _signal_pair(spark, sf_dir)
+    parts = []
+    for kind, grid in SIGNAL_GRIDS.items():
+        label = "review_score" if kind in models.MULTICLASS else "Target"
+        found = models.fit_cv(kind, inputs[label].fit, label, grid=grid)
+        parts.append(models.cv_results(spark, found).select(F.lit(kind).alias("model"), "*"))
+    return reduce(DataFrame.unionByName, parts).withColumn("mean_metric", F.round("mean_metric", 9))
+
+
+def _signal_pair(spark, sf_dir) -> dict[str, workflow.Prepared]:
+    """Inputs for both labels, and those of the linear machine, from one base table."""
+    spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
+    train = workflow.materialize(train)
+    labelled = _by_category(_by_weekend(train))
+    inputs = {y: workflow.prepare_base(labelled, None, y, spec=spec, materialized=True) for y in ("Target", "review_score")}
+    return inputs | {"svm": workflow.prepare_base(_spread(train), None, "Target", spec=spec, materialized=True)}
 
 
-def _comparison(inputs: dict[str, workflow.Prepared], spark, grids: dict | None = None) -> tuple[DataFrame, DataFrame]:
+def _comparison(inputs: dict[str, workflow.Prepared], spark) -> tuple[DataFrame, DataFrame]:
     """All learners on their inputs: (model, metric, value), and every search's grid points."""
     results, searches = {}, []
     for kinds, label in ((workflow.BINARY_KINDS, "Target"), (workflow.MULTICLASS_KINDS, "review_score")):
         for kind in kinds:
-            model, scored = workflow.fit_and_score(inputs[label], kind, label, (grids or {}).get(kind))
+            model, scored = workflow.fit_and_score(inputs.get(kind, inputs[label]), kind, label)
             results[kind] = metrics.evaluate(scored, label=label, kind="binary" if label == "Target" else "multiclass")
             if kind != "gbt":
                 searches.append(models.cv_results(spark, model).withColumn("model", F.lit(kind)))
@@ -551,14 +590,9 @@ def model_comparison(spark, sf_dir):
 
 @query
 def signal_model_comparison(spark, sf_dir):
-    """All seven learners and the six searches on labels that features explain: every metric,
-    and every search's best mean metric with its grid size. The linear machine searches the half
-    of its grid that converges: on a label that one feature explains, its hinge loss at the larger
-    penalty takes every iteration with a long line search (``signal_svm`` runs the whole grid)."""
-    spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
-    train = _by_category(_by_weekend(workflow.materialize(train)))
-    inputs = {y: workflow.prepare_base(train, None, y, spec=spec, materialized=True) for y in ("Target", "review_score")}
-    compared, searches = _comparison(inputs, spark, {"svm": models.GRIDS["svm"] | {"regParam": [0.01]}})
+    """All seven learners and the six searches over the source's grids on labels that features explain
+    but for noise: every metric, and every search's best mean metric with its grid size."""
+    compared, searches = _comparison(_signal_pair(spark, sf_dir), spark)
     points = F.count(F.lit(1)).cast("double").alias("grid points")
     best = F.max(F.when(F.col("best"), F.col("mean_metric"))).alias("best mean")
     per = searches.groupBy("model").agg(points, best).unpivot("model", ["grid points", "best mean"], "metric", "value")

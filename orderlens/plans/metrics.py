@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections import Counter
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.session import scratch_path
+
 # The metrics reported for each kind of model.
 BINARY_METRICS = ("areaUnderROC", "weightedPrecision", "weightedRecall", "f1")
 MULTICLASS_METRICS = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
@@ -62,6 +64,45 @@ def evaluate(pred: DataFrame, label: str = "label", kind: str = "binary", raw: s
         pred.unpersist()
 
 
+def _by_class(scores: DataFrame, keys: list[str], metric: str) -> DataFrame:
+    """Class-weighted metric of each group from one count per (label, prediction)."""
+    cells = scores.groupBy(*keys, "label", "prediction").agg(F.count("*").alias("n"))
+    truth = cells.groupBy(*keys, F.col("label").alias("c")).agg(F.sum("n").alias("n_true"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hit"))
+    said = cells.groupBy(*keys, F.col("prediction").alias("c")).agg(F.sum("n").alias("n_said"))
+    per = truth.join(said, [*keys, "c"], "left")
+    precision, recall = F.coalesce(F.try_divide("hit", "n_said"), F.lit(0.0)), F.col("hit") / F.col("n_true")
+    f1 = F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
+    value = {"f1": f1, "weightedPrecision": precision, "weightedRecall": recall, "accuracy": recall}[metric]
+    return per.groupBy(*keys).agg((F.sum(value * F.col("n_true")) / F.sum("n_true")).alias("value"))
+
+
+def _by_rank(scores: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact area under ROC of each group: pairs of a positive above a negative, ties by half.
+
+    One row per distinct score, range-partitioned by group and score; a group may span many
+    partitions, whose totals are added up on a small table of its own."""
+    up, down = F.sum((F.col("label") > 0).cast("long")).alias("pos"), F.sum((F.col("label") <= 0).cast("long")).alias("neg")
+    steps = scores.groupBy(*keys, "score").agg(up, down)
+    n = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = steps.repartitionByRange(n, *keys, "score").withColumn("part", F.spark_partition_id())
+    path = scratch_path(scores.sparkSession, "steps")
+    steps.write.parquet(path)  # the partition numbers stay as they are
+    steps = scores.sparkSession.read.schema(steps.schema).parquet(path)
+    below = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = steps.groupBy(*keys, "part").agg(F.sum("neg").alias("below")).withColumn("below", F.coalesce(F.sum("below").over(below), F.lit(0)))
+    inside = Window.partitionBy(*keys, "part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    whole = lambda c: F.col(c).cast("decimal(18,0)")
+    steps = steps.join(totals, [*keys, "part"]).withColumn("under", F.col("below") + F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    twice = F.sum((whole("pos") * (2 * whole("under") + whole("neg"))).cast("decimal(38,0)"))
+    pairs = F.sum("pos").cast("decimal(18,0)") * F.sum("neg").cast("decimal(18,0)")
+    return steps.groupBy(*keys).agg((twice.cast("double") / (2 * F.nullif(pairs, F.lit(0))).cast("double")).alias("value"))
+
+
+def grouped(scores: DataFrame, keys: list[str], metric: str) -> DataFrame:
+    """(keys, value): a metric of every group of a score table (label, score, prediction), in one pass."""
+    return _by_rank(scores, keys) if metric == "areaUnderROC" else _by_class(scores, keys, metric)
+
+
 METRIC_SCHEMA = T.StructType(
     [
         T.StructField("model", T.StringType()),

@@ -2,8 +2,8 @@
 
 Grids, fold count and metrics are the source's; seeds are fixed (the source left them to
 defaults that change per process), and folds come from a hash of the order id, so a search
-gives the same result whatever the partitioning. The training frame is cached once for all
-fits of a search and released afterwards; fits of different grid points run in parallel.
+gives the same result whatever the partitioning. The search itself is ``plans.search``: grid points
+that share work are fitted together, and all metrics come from one table of out-of-fold scores.
 """
 
 from __future__ import annotations
@@ -17,13 +17,12 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.plans.prepare import FEATURES, with_folds
+from orderlens.plans.prepare import FEATURES
+from orderlens.plans.search import Search, cross_validate, grid_points
 
 SEED = 123
 FOLDS = 5
@@ -39,6 +38,8 @@ GRIDS = {
     "mrf": {"maxDepth": [5, 10], "numTrees": [20, 50, 100]},
 }
 MULTICLASS = frozenset({"mlr", "mrf"})
+# The parameter of each learner whose values share work in a search.
+NESTED = {"lr": "maxIter", "mlr": "maxIter", "svm": "maxIter", "dt": "maxDepth"}
 
 
 def learner(kind: str, label: str, features: str = FEATURES, seed: int = SEED):
@@ -57,18 +58,9 @@ def learner(kind: str, label: str, features: str = FEATURES, seed: int = SEED):
     raise ValueError(f"unknown learner {kind}")
 
 
-def evaluator(kind: str, label: str):
+def search_metric(kind: str) -> str:
     """Binary learners are chosen by area under ROC, multiclass ones by weighted F1."""
-    if kind in MULTICLASS:
-        return MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-
-
-def param_grid(est, grid: dict) -> list:
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(est.getParam(name), list(values))
-    return b.build()
+    return "f1" if kind in MULTICLASS else "areaUnderROC"
 
 
 def fit_gbt(train: DataFrame, label: str = "Target", features: str = FEATURES, seed: int = SEED):
@@ -86,24 +78,21 @@ def fit_cv(
     seed: int = SEED,
     parallelism: int = PARALLELISM,
     key: str = "order_id",
-) -> CrossValidatorModel:
+) -> Search:
     """Grid search with ``folds``-fold cross-validation, refit on all of ``train``."""
-    est = learner(kind, label, features, seed)
-    maps = param_grid(est, GRIDS[kind] if grid is None else grid)
-    data = with_folds(train.select(key, label, features), folds, key).persist()
-    try:
-        cv = CrossValidator(
-            estimator=est,
-            estimatorParamMaps=maps,
-            evaluator=evaluator(kind, label),
-            numFolds=folds,
-            foldCol="fold",
-            seed=seed,
-            parallelism=parallelism,
-        )
-        return cv.fit(data)
-    finally:
-        data.unpersist()
+    grid = GRIDS[kind] if grid is None else grid
+    nested = NESTED.get(kind)
+    return cross_validate(
+        learner(kind, label, features, seed),
+        train.select(key, label, features),
+        grid_points(grid),
+        label,
+        search_metric(kind),
+        key=key,
+        folds=folds,
+        nested=nested if nested in grid else None,
+        parallelism=parallelism,
+    )
 
 
 def score(model, df: DataFrame, keep: Sequence[str] = ("order_id",), prediction: str = "prediction") -> DataFrame:
@@ -124,24 +113,17 @@ CV_SCHEMA = T.StructType(
 )
 
 
-def _params_text(pm: dict) -> str:
-    return ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
+def _params_text(point: dict) -> str:
+    return ", ".join(f"{name}={v}" for name, v in sorted(point.items()))
 
 
-def cv_results(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
+def cv_results(spark: SparkSession, found: Search) -> DataFrame:
     """One row per grid point: its parameters and mean cross-validated metric."""
-    maps = cv_model.getEstimatorParamMaps()
-    metrics = list(cv_model.avgMetrics)
-    ev = cv_model.getEvaluator()
-    larger = ev.isLargerBetter()
-    best = max(range(len(metrics)), key=lambda i: metrics[i] if larger else -metrics[i])
-    name = ev.getMetricName()
-    rows = [(i, _params_text(pm), name, float(m), i == best) for i, (pm, m) in enumerate(zip(maps, metrics))]
+    rows = [(i, _params_text(p), found.metric, float(m), i == found.best) for i, (p, m) in enumerate(zip(found.grid, found.avgMetrics, strict=True))]
     return spark.createDataFrame(rows, CV_SCHEMA)
 
 
-def best_params(cv_model: CrossValidatorModel) -> dict:
-    """The searched parameters of the chosen model."""
-    best = cv_model.bestModel
-    searched = {p.name for pm in cv_model.getEstimatorParamMaps() for p in pm}
-    return {p.name: v for p, v in best.extractParamMap().items() if p.name in searched}
+def best_params(found: Search) -> dict:
+    """The searched parameters of the chosen model, as the fitted model states them."""
+    best = found.bestModel
+    return {name: best.getOrDefault(name) for name in found.grid[found.best]}

@@ -500,6 +500,14 @@ def split_expr(key: str = "order_id", fraction: int = 70) -> str:
     return f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < {fraction})"
 
 
+def hash_slice(start: int, key: str = "order_id") -> str:
+    return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), {start}, 8)) AS BIGINT)"
+
+
+NOISE = f"({hash_slice(17)} % 8 = 0)"
+NOISY_WEEKEND = f"(CASE WHEN {NOISE} THEN 1 - weekend_delivered ELSE weekend_delivered END)"
+
+
 def _pearson(label: str, features: list[str], extra_select: str = "", extra_features=()) -> str:
     feats = list(features) + list(extra_features)
     parts = [
@@ -552,24 +560,95 @@ def category_score() -> str:
     return "CASE product_category_name " + " ".join(f"WHEN '{c}' THEN {i % 5 + 1}.0" for i, c in enumerate(CATEGORIES)) + " END"
 
 
-def _signal(label: str, value: str) -> str:
-    """A learner on a label that features explain predicts every validation order's label."""
-    known = f"CAST({value} AS DOUBLE)"
-    return basetable_sql(select=f"SELECT order_id, {known} AS {label}, {known} AS prediction FROM base WHERE NOT {split_expr()}")
+def noisy_category() -> str:
+    return f"(CASE WHEN {NOISE} THEN {category_score()} % 5 + 1 ELSE {category_score()} END)"
+
+
+def _signal(label: str, known: str, noisy: str) -> str:
+    """A learner on such a label predicts what features explain of every validation order's label."""
+    return basetable_sql(select=f"SELECT order_id, CAST({noisy} AS DOUBLE) AS {label}, CAST({known} AS DOUBLE) AS prediction FROM base WHERE NOT {split_expr()}")
 
 
 def _signal_holdout() -> str:
     return with_(*basetable_ctes(HOLDOUT, False)) + "SELECT order_id, weekend_delivered AS pred_review_score FROM base"
 
 
-def _perfect_comparison() -> str:
-    """Every metric of every learner is 1 on such labels; the searches have the grids' sizes."""
-    rows = [(m, x, 1.0) for m in ("gbt", "lr", "rf", "svm", "dt") for x in ("areaUnderROC", "weightedPrecision", "weightedRecall", "f1")]
-    rows += [(m, x, 1.0) for m in ("mlr", "mrf") for x in ("accuracy", "weightedPrecision", "weightedRecall", "f1")]
-    for m, points in {"lr": 6, "rf": 6, "svm": 3, "dt": 3, "mlr": 6, "mrf": 6}.items():
-        rows += [(m, "grid points", float(points)), (m, "best mean", 1.0)]
-    values = ", ".join(f"('{m}', '{x}', CAST({v} AS DOUBLE))" for m, x, v in rows)
-    return f"SELECT * FROM (VALUES {values}) AS t(model, metric, value)"
+def _signal_metrics() -> str:
+    """CTEs over the base table: per_part (kind, part, metric, v), for the learners that predict what
+    features explain (told) and those that always say the commonest label of the other parts (dull).
+    Part -1 is the validation side; parts 0 to 4 are the folds of the rest."""
+    return f"""
+, shown AS (
+  SELECT CASE WHEN {split_expr()} THEN {hash_slice(9)} % 5 ELSE -1 END AS part,
+         CAST({NOISY_WEEKEND} AS DOUBLE) AS y2, CAST(weekend_delivered AS DOUBLE) AS p2,
+         CAST({noisy_category()} AS DOUBLE) AS y5, CAST({category_score()} AS DOUBLE) AS p5,
+         weekend_delivered * 4000 + {hash_slice(25)} % 1000 AS x2 FROM base),
+commonest AS (
+  SELECT f.part, (SELECT y5 FROM shown s WHERE s.part >= 0 AND s.part <> f.part GROUP BY y5 ORDER BY count(*) DESC, y5 LIMIT 1) AS c
+  FROM (SELECT DISTINCT part FROM shown) f),
+said AS (
+  SELECT 'binary' AS kind, 'told' AS how, part, y2 AS y, p2 AS p FROM shown
+  UNION ALL SELECT 'multi', 'told', part, y5, p5 FROM shown
+  UNION ALL SELECT 'multi', 'dull', s.part, y5, c FROM shown s JOIN commonest m ON m.part = s.part),
+cells AS (SELECT kind, how, part, y, p, count(*) AS n FROM said GROUP BY ALL),
+truth AS (SELECT kind, how, part, y AS c, sum(n) AS n_true, sum(CASE WHEN y = p THEN n ELSE 0 END) AS hit FROM cells GROUP BY ALL),
+guess AS (SELECT kind, how, part, p AS c, sum(n) AS n_said FROM cells GROUP BY ALL),
+class AS (
+  SELECT t.kind, t.how, t.part, c, n_true, coalesce(hit / n_said, 0) AS prec, hit / n_true AS rec
+  FROM truth t LEFT JOIN guess g USING (kind, how, part, c)),
+per_part AS (
+  SELECT kind, how, part, unnest(['weightedPrecision', 'weightedRecall', 'f1', 'accuracy']) AS metric,
+         unnest([sum(prec * n_true), sum(rec * n_true),
+                 sum(CASE WHEN prec + rec = 0 THEN 0 ELSE 2 * prec * rec / (prec + rec) END * n_true), sum(rec * n_true)]) / sum(n_true) AS v
+  FROM class GROUP BY kind, how, part
+  UNION ALL SELECT kind, how, part, 'areaUnderROC', avg(rec) FROM class WHERE kind = 'binary' GROUP BY kind, how, part),
+placed AS (
+  SELECT part, y2, rank() OVER (PARTITION BY part ORDER BY x2) + (count(*) OVER (PARTITION BY part, x2) - 1) / 2.0 AS r FROM shown),
+spread AS (
+  SELECT part, (sum(r) FILTER (WHERE y2 = 1) - count(*) FILTER (WHERE y2 = 1) * (count(*) FILTER (WHERE y2 = 1) + 1) / 2.0)
+         / (count(*) FILTER (WHERE y2 = 1) * count(*) FILTER (WHERE y2 = 0)) AS v FROM placed GROUP BY part)
+"""
+
+
+def _signal_comparison() -> str:
+    """Scores of two values: the area under ROC is the mean of the two recalls. The linear machine's
+    scores follow its spread feature."""
+    from orderlens.plans.models import GRIDS
+    from orderlens.plans.search import grid_points
+
+    binary = ", ".join(f"('{k}')" for k in ("gbt", "lr", "rf", "svm", "dt"))
+    sizes = ", ".join(f"('{k}', {len(grid_points(g))}, '{'multi' if k in ('mlr', 'mrf') else 'binary'}')" for k, g in GRIDS.items())
+    return basetable_sql(
+        select=_signal_metrics()
+        + f""", each_model AS (
+SELECT m.model, part, metric, v FROM per_part, (VALUES {binary}) AS m(model)
+WHERE kind = 'binary' AND metric <> 'accuracy' AND NOT (m.model = 'svm' AND metric = 'areaUnderROC')
+UNION ALL SELECT 'svm', part, 'areaUnderROC', v FROM spread
+UNION ALL SELECT m.model, part, metric, v FROM per_part, (VALUES ('mlr'), ('mrf')) AS m(model)
+WHERE kind = 'multi' AND how = 'told' AND metric <> 'areaUnderROC')
+SELECT model, metric, {sround('v', 9)} AS value FROM each_model WHERE part = -1
+UNION ALL SELECT model, 'grid points', CAST(points AS DOUBLE) FROM (VALUES {sizes}) AS g(model, points, k)
+UNION ALL SELECT g.model, 'best mean', {sround('avg(v)', 9)} FROM (VALUES {sizes}) AS g(model, points, k) JOIN each_model e ON e.model = g.model
+WHERE part >= 0 AND metric = CASE WHEN k = 'multi' THEN 'f1' ELSE 'areaUnderROC' END GROUP BY g.model"""
+    )
+
+
+def _signal_cv() -> str:
+    """The means over the folds: 'told' for points that learn, one half or 'dull' for points that don't."""
+    points = []
+    for kind in ("lr", "mlr"):
+        for i, (reg, limit) in enumerate([(100.0, 50), (100.0, 100), (0.01, 50), (0.01, 100)]):
+            points.append(f"('{kind}', {i}, 'elasticNetParam=1.0, maxIter={limit}, regParam={reg}', '{'told' if reg < 1 else 'dull'}', {i == 2})")
+    points += ["('dt', 0, 'maxDepth=0', 'dull', false)", "('dt', 1, 'maxDepth=5', 'told', true)"]
+    return basetable_sql(
+        select=_signal_metrics()
+        + f""", means AS (
+  SELECT kind, how, metric, avg(v) AS v FROM per_part
+  WHERE part >= 0 AND metric = CASE WHEN kind = 'multi' THEN 'f1' ELSE 'areaUnderROC' END GROUP BY kind, how, metric
+  UNION ALL SELECT 'binary', 'dull', 'areaUnderROC', 0.5)
+SELECT model, CAST(i AS INTEGER) AS grid_point, params, metric, {sround('v', 9)} AS mean_metric, best
+FROM (VALUES {', '.join(points)}) AS g(model, i, params, h, best) JOIN means ON how = h AND kind = CASE WHEN model = 'mlr' THEN 'multi' ELSE 'binary' END"""
+    )
 
 
 def queries_sql() -> dict[str, str]:
@@ -705,12 +784,13 @@ FROM f_products p JOIN idx i ON i.product_category_name = p.product_category_nam
        {sround('shipping_cost * (1.0 / (SELECT stddev_samp(shipping_cost) FROM f_items))', 6)} AS shipping_cost_scaled
 FROM f_items""",
         "select_features": _selection("Target"),
-        "signal_select_features": _selection("weekend_delivered"),
-        **{f"signal_{kind}": _signal("Target", "weekend_delivered") for kind in ("gbt", "lr", "rf", "svm", "dt")},
-        **{f"signal_{kind}": _signal("review_score", category_score()) for kind in ("mlr", "mrf")},
+        "signal_select_features": _selection(NOISY_WEEKEND),
+        **{f"signal_{kind}": _signal("Target", "weekend_delivered", NOISY_WEEKEND) for kind in ("gbt", "lr", "rf", "svm", "dt")},
+        **{f"signal_{kind}": _signal("review_score", category_score(), noisy_category()) for kind in ("mlr", "mrf")},
         "signal_score_output": _signal_holdout(),
         "signal_score_reloaded": _signal_holdout(),
-        "signal_model_comparison": _perfect_comparison(),
+        "signal_cv_results": _signal_cv(),
+        "signal_model_comparison": _signal_comparison(),
         "train_valid_split": W() + f"SELECT order_id, {split_expr()} AS is_train FROM f_orders",
         "metric_auc": AUC_SQL,
         "metric_classification": CLASSIFICATION_SQL,

@@ -85,6 +85,16 @@ def hash_split(df: DataFrame, key: str = "order_id", fraction: int = TRAIN_FRACT
     return df.where(flag), df.where(~flag)
 
 
+def noise_flag(key: str = "order_id", one_in: int = 8) -> Column:
+    """True for one key in ``one_in``, from bits of the hash used by neither the split nor the folds."""
+    return _hash_slice(key, 17) % one_in == 0
+
+
+def key_fraction(key: str = "order_id") -> Column:
+    """A number from 0 up to 1, in thousandths, from bits of the hash of its own."""
+    return _hash_slice(key, 25) % 1000 / 1000
+
+
 def with_folds(df: DataFrame, k: int, key: str = "order_id", name: str = "fold") -> DataFrame:
     """Cross-validation fold per key (0..k-1), from bits of the hash unused by the split."""
     return df.withColumn(name, (_hash_slice(key, 9) % k).cast("int"))
