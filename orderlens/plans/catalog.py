@@ -60,6 +60,27 @@ def csv_multiline(spark, sf_dir):
     return tables.read_table(spark, path, docs.schema, multiline=True, null_value=tables.CSV_NULL)
 
 
+@query
+def csv_multiline_split(spark, sf_dir):
+    """The same files, each read by many tasks."""
+    docs = fixtures.raw(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "csv-multiline")
+    tables.write_csv(docs.repartition(2), path)
+    return tables.read_table(spark, path, docs.schema, multiline="split", null_value=tables.CSV_NULL)
+
+
+@query
+def csv_multifile(spark, sf_dir):
+    """Files of one folder whose columns stand in different orders, one with a column more."""
+    items = _view(spark, sf_dir, "order_items")
+    path = scratch_path(spark, "csv-multifile")
+    part = F.pmod(F.xxhash64("order_id", "order_item_id"), F.lit(3))
+    tables.write_csv(items.where(part == 0), path)
+    tables.write_csv(items.where(part == 1).select(*reversed(items.columns)), path, mode="append")
+    tables.write_csv(items.where(part == 2).select("price", F.lit("x").alias("extra"), *[c for c in items.columns if c != "price"]), path, mode="append")
+    return tables.read_table(spark, path, items.schema, null_value=tables.CSV_NULL)
+
+
 def _as_source_files(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The views as the source files hold them: text timestamps, numbers with a fraction,
     columns in another order, rows with the sentinels."""

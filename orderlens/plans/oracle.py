@@ -656,6 +656,8 @@ def queries_sql() -> dict[str, str]:
     out = {
         "csv_roundtrip": W() + "SELECT * FROM f_items",
         "csv_multiline": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "csv_multiline_split": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "csv_multifile": W() + "SELECT * FROM f_items",
         "basetable_roundtrip": _both_sides(),
         "profile_columns": _profile_products(),
         "null_counts": _null_counts("f_orders", [(c, False) for c in ORDER_VIEW_COLS]),

@@ -22,12 +22,14 @@ from orderlens.sources import fixtures, tables
 TABLE_NAMES = ("products", "orders", "order_items", "order_payments", "order_reviews")
 
 
-def read_sources(spark: SparkSession, paths: dict[str, str], multiline: Sequence[str] = ()) -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, paths: dict[str, str], multiline: Sequence[str] | dict = ()) -> dict[str, DataFrame]:
     """The order tables from CSV files, keyed by table name (``products``, ``orders``,
     ``order_items``, ``order_payments`` and, on the training side, ``order_reviews``);
-    ``multiline`` names those whose files hold quoted newlines."""
+    ``multiline`` names those whose files hold quoted newlines, or maps such names to "split" where
+    the files are large."""
     configure(spark)
-    return {name: tables.read_source(spark, name, path, name in multiline) for name, path in paths.items()}
+    how = multiline if isinstance(multiline, dict) else dict.fromkeys(multiline, True)
+    return {name: tables.read_source(spark, name, path, how.get(name, False)) for name, path in paths.items()}
 
 
 def basetables_from(

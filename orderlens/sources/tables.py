@@ -3,44 +3,78 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.sources import schemas
+from orderlens.sources.multiline import records
+
+HEADER_THREADS = 16
+
+
+def _reader(spark: SparkSession, multiline: bool, quote_escape: str, null_value: str | None):
+    reader = spark.read.option("escape", quote_escape).option("multiLine", multiline).option("mode", "PERMISSIVE")
+    return reader if null_value is None else reader.option("nullValue", null_value)
+
+
+def headers(spark: SparkSession, path: str | Sequence[str], **options) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path by their header. Only each file's first record is read, ``HEADER_THREADS``
+    files at a time; files without any line are left out."""
+    files = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
+    reader = _reader(spark, **options).option("header", True).option("inferSchema", False)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        found = pool.map(lambda f: tuple(reader.csv(f).columns), files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, found, strict=True):
+        if header:
+            groups.setdefault(header, []).append(file)
+    return groups
 
 
 def read_text(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     columns: Sequence[str],
-    multiline: bool = False,
+    multiline: bool | str = False,
     quote_escape: str = '"',
     null_value: str | None = None,
 ) -> DataFrame:
-    """The named columns of a header CSV as text, whatever their order in the file.
-
-    Only the header line is read to learn the order. A missing column is an error; other columns
-    of the file are left out. ``"`` escapes a quote inside a quoted field. ``multiline`` allows
-    newlines inside quoted fields; such files cannot be split, so one task reads each file: use
-    it only for files that need it. ``null_value`` is the text that means null (default: an
-    empty field, as in the source files).
+    """The named columns of header CSV files as text, whatever their order in each file.
+
+    Each file is read by its own header; files with the same header are read together. A file that
+    lacks a column is an error; other columns are left out. ``"`` escapes a quote inside a quoted
+    field. ``multiline=True`` allows newlines inside quoted fields; then one task reads each file.
+    ``multiline="split"`` reads such files by byte ranges (``sources.multiline``), for large files
+    that quote as RFC 4180 says. ``null_value`` is the text that means null (default: an empty
+    field, as in the source files).
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("escape", quote_escape)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-    )
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    header = reader.option("inferSchema", False).csv(path).columns
-    missing = [c for c in columns if c not in header]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(header)}")
-    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return reader.schema(text).csv(path).select(*[F.col(f"`{c}`") for c in columns])
+    if multiline not in (True, False, "split"):
+        raise ValueError(f"multiline is True, False or 'split', not {multiline!r}")
+    if multiline == "split" and quote_escape != '"':
+        raise ValueError("files can be split only if quotes inside a field are doubled")
+    options = {"multiline": bool(multiline), "quote_escape": quote_escape, "null_value": null_value}
+    groups = headers(spark, path, **options)
+    if not groups:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    frames = []
+    for header, files in groups.items():
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}; its header is {', '.join(header)}")
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        if multiline == "split":
+            parsed = {"escape": quote_escape, "mode": "PERMISSIVE"} | ({} if null_value is None else {"nullValue": null_value})
+            rows = records(spark, files).where("not first")
+            frame = rows.select(F.from_csv("text", ", ".join(f"`{c}` string" for c in header), parsed).alias("r")).select("r.*")
+        else:
+            frame = _reader(spark, **options).option("header", True).schema(text).csv(files if len(groups) > 1 else path)
+        frames.append(frame.select(*[F.col(f"`{c}`") for c in columns]))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _typed(field: T.StructField) -> Column:
@@ -60,7 +94,7 @@ def read_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    multiline: bool = False,
+    multiline: bool | str = False,
     quote_escape: str = '"',
     null_value: str | None = None,
 ) -> DataFrame:
@@ -77,9 +111,9 @@ def rejected_cells(spark: SparkSession, path: str, schema: T.StructType, **optio
     return raw.agg(F.array(*counts).alias("c")).select(F.inline("c"))
 
 
-def read_source(spark: SparkSession, name: str, path: str, multiline: bool = False) -> DataFrame:
+def read_source(spark: SparkSession, name: str, path: str, multiline: bool | str = False) -> DataFrame:
     """One of the five order tables (or its hold-out twin) by its dictionary name. ``multiline``
-    is for files with quoted newlines only."""
+    (True or "split") is for files with quoted newlines only."""
     df = read_table(spark, path, schemas.SCHEMAS[name], multiline=multiline)
     if name == "orders":
         df = parse_timestamps(df, schemas.ORDER_TIMESTAMPS)
