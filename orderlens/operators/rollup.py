@@ -1,16 +1,18 @@
 """Per-order aggregations: money, payment mix, product shape, pivots and value counts.
 
 Every rollup is a ``groupBy`` with a map-side partial step, so a hot order is reduced before
-the shuffle. Money, metres, kilograms and m^3 are summed as whole millionths in a ``long``: exact
-to six decimals, independent of summation order and partitioning, and small fixed-width buffers.
-The exact total becomes a double once, at the end. A value that has no millionths (NaN,
-infinite, beyond 9 * 10^12) makes its total NaN, as it would in a sum of doubles; a total beyond
-the long range is an error, never a wrong number.
+the shuffle. Money, metres, kilograms and m^3 are summed as whole millionths in two ``long`` parts, the
+ones and the rest: exact to six decimals, independent of summation order and partitioning, and small
+fixed-width buffers. The parts meet once, at the end, as the nearest double of the exact total. A
+value that has no millionths (NaN, infinite, beyond 9 * 10^12) makes its total NaN, as it would in
+a sum of doubles; a total beyond 9 * 10^18 is an error, never a wrong number. ``rounded_cells`` counts
+the values that are not whole millionths.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +35,30 @@ def unfit(c: Column) -> Column:
     return (c.isNotNull() & units(c).isNull()).cast("int")
 
 
-def from_units(total: Column, spoilt: Column) -> Column:
-    """A sum of millionths as the nearest double; NaN if a value was unfit."""
-    return F.when(spoilt > 0, F.lit(float("nan"))).otherwise(total / UNITS)
+def limbs(c: Column) -> tuple[Column, Column]:
+    """A value as whole ones and the millionths that remain; both null if it has none."""
+    u = units(c)
+    ones = F.call_function("div", u, F.lit(UNITS).cast("long"))
+    return ones, u - ones * UNITS
+
+
+def from_limbs(ones: Column, rest: Column, spoilt: Column) -> Column:
+    """Sums of both parts as the nearest double; NaN if a value was unfit."""
+    total = ones.cast("decimal(19,0)") + rest.cast("decimal(19,0)") * F.lit(Decimal(1) / UNITS)
+    return F.when(spoilt > 0, F.lit(float("nan"))).otherwise(total.cast("double"))
 
 
 def exact_sum(c: Column, times: Column | None = None) -> Column:
     """Exact sum of a column (each row counted ``times``), as double."""
-    u = units(c)
-    return from_units(F.sum(u if times is None else u * times), F.max(unfit(c)))
+    ones, rest = (x if times is None else x * times for x in limbs(c))
+    return from_limbs(F.sum(ones), F.sum(rest), F.max(unfit(c)))
+
+
+def rounded_cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, n_rounded): values that exact sums round to a millionth."""
+    changed = lambda c: F.count_if(units(_c(c)).isNotNull() & (units(_c(c)) / UNITS != _c(c)))
+    counts = [F.struct(F.lit(c).alias("column_name"), changed(c).alias("n_rounded")) for c in columns]
+    return df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
 
 
 # Output names of the money and shape rollups, spelled as the source spells them.
@@ -73,11 +90,12 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _money_totals(p: Column, s: Column, p_spoilt: Column, s_spoilt: Column) -> list[Column]:
-    """Totals and shipping share from sums of millionths and the marks of unfit values."""
-    shipping, both = from_units(s, s_spoilt), from_units(p + s, F.greatest(p_spoilt, s_spoilt))
+def _money_totals(p: Sequence[Column], s: Sequence[Column], p_spoilt: Column, s_spoilt: Column) -> list[Column]:
+    """Totals and shipping share from sums of both parts and the marks of unfit values."""
+    shipping = from_limbs(*s, s_spoilt)
+    both = from_limbs(p[0] + s[0], p[1] + s[1], F.greatest(p_spoilt, s_spoilt))
     return [
-        from_units(p, p_spoilt).alias("total_price"),
+        from_limbs(*p, p_spoilt).alias("total_price"),
         shipping.alias("total_shipping_cost"),
         both.alias("total_cost"),
         safe_ratio(shipping, both).alias("shipping_cost%"),
@@ -86,8 +104,9 @@ def _money_totals(p: Column, s: Column, p_spoilt: Column, s_spoilt: Column) -> l
 
 def money_aggs(price: str = "price", shipping: str = "shipping_cost") -> list[Column]:
     """Order money rollup: totals, shipping share, highest item number, distinct products."""
+    sums = lambda c: [F.sum(x) for x in limbs(_c(c))]
     return [
-        *_money_totals(F.sum(units(_c(price))), F.sum(units(_c(shipping))), F.max(unfit(_c(price))), F.max(unfit(_c(shipping)))),
+        *_money_totals(sums(price), sums(shipping), F.max(unfit(_c(price))), F.max(unfit(_c(shipping)))),
         F.max("order_item_id").alias("max_order_item_id"),
         F.countDistinct("product_id").alias("num_unique_products_per_id"),
     ]
@@ -164,9 +183,9 @@ def order_item_rollup(items: DataFrame, products: DataFrame, key: str = KEY) ->
     3. one row per order: partial aggregate on the map side, then a shuffle on ``order_id``.
     The product attributes are counted once per item row (weights = item counts of step 1).
     """
+    parts = {"_price": limbs(_c("price")), "_ship": limbs(_c("shipping_cost"))}
     level1 = items.groupBy(key, "product_id").agg(
-        F.sum(units(_c("price"))).alias("_price"),
-        F.sum(units(_c("shipping_cost"))).alias("_ship"),
+        *[F.sum(x).alias(f"{name}{k}") for name, both in parts.items() for k, x in enumerate(both)],
         F.max(unfit(_c("price"))).alias("_price_spoilt"),
         F.max(unfit(_c("shipping_cost"))).alias("_ship_spoilt"),
         F.count(F.lit(1)).alias("_n"),
@@ -180,7 +199,7 @@ def order_item_rollup(items: DataFrame, products: DataFrame, key: str = KEY) ->
         F.col("_min_item").alias("order_item_id"), "product_id", "weight_kg", "product_category_name"
     )
     return joined.groupBy(key).agg(
-        *_money_totals(F.sum("_price"), F.sum("_ship"), F.max("_price_spoilt"), F.max("_ship_spoilt")),
+        *_money_totals(*([F.sum(f"{name}{k}") for k in (0, 1)] for name in parts), F.max("_price_spoilt"), F.max("_ship_spoilt")),
         F.max("_max_item").alias("max_order_item_id"),
         F.count("product_id").alias("num_unique_products_per_id"),
         *shape_aggs(count=F.col("_n")),
@@ -255,23 +274,39 @@ def distinct_value_lists(columns: dict[str, tuple[DataFrame, str]]) -> dict[str,
     return out
 
 
+#: Up to so many values a pivot is one aggregate with a column for each; beyond, its work follows the rows.
+FEW_VALUES = 16
+
+
 def pivot_sum(df: DataFrame, key: str, by: str, value: str, values: Sequence, names: Sequence[str] | None = None) -> DataFrame:
     """One column per listed value of ``by`` (as text) with the exact sum of ``value``; absent -> 0.
 
     The value list is explicit (taken from training data), so train and hold-out get the same
-    columns. Two steps: one row per (key, value), with a map-side partial step, then the row's
+    columns. A short list is one aggregate on the key: one shuffle, partial sums before it. A long
+    one goes in two steps: one row per (key, value), with a map-side partial step, then the row's
     cells gathered per key, so the work follows the rows and not rows times columns.
     """
+    if 0 < len(values) <= FEW_VALUES:
+        cell = lambda v: exact_sum(F.when(_c(by).cast("string") == str(v), _c(value)))
+        return _wide(df, key, [cell(v) for v in values], values, names, 0.0)
     cells = df.groupBy(key, _c(by).cast("string").alias("_by")).agg(exact_sum(_c(value)).alias("_sum"))
     return _spread(cells, key, values, names, 0.0)
 
 
 def pivot_count(df: DataFrame, key: str, by: str, values: Sequence, names: Sequence[str] | None = None) -> DataFrame:
     """One column per listed value of ``by`` (as text) with the number of rows having it; absent -> 0."""
+    if 0 < len(values) <= FEW_VALUES:
+        return _wide(df, key, [F.count_if(_c(by).cast("string") == str(v)) for v in values], values, names, 0)
     cells = df.groupBy(key, _c(by).cast("string").alias("_by")).agg(F.count(F.lit(1)).alias("_sum"))
     return _spread(cells, key, values, names, 0)
 
 
+def _wide(df: DataFrame, key: str, cells: Sequence[Column], values: Sequence, names: Sequence[str] | None, absent) -> DataFrame:
+    """One aggregate per value, all on the key."""
+    names = [str(v) for v in values] if names is None else list(names)
+    return df.groupBy(key).agg(*[F.coalesce(c, F.lit(absent)).alias(n) for c, n in zip(cells, names, strict=True)])
+
+
 def _spread(cells: DataFrame, key: str, values: Sequence, names: Sequence[str] | None, absent) -> DataFrame:
     """(key, _by, _sum) cells as one row per key with a column per value."""
     names = [str(v) for v in values] if names is None else list(names)
