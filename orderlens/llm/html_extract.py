@@ -15,9 +15,12 @@ links only, stay with it; nothing else is dropped or cut.
 Character references are decoded, white space inside a block becomes one space, blocks are
 trimmed and joined by one line feed.
 
+A form is boilerplate, unless it holds an article or main element or most of the page's text; then its
+controls and labels are. A head ends at its first text or element that can't stand in one.
+
 Defined results: a null or empty page, or one without text, gives an empty text; broken markup
-(unclosed elements, comments or quotes) is read leniently; a page of any length is read whole in
-one pass; repeated rows each give a row; ids may be null; an empty table gives an empty table;
+(unclosed elements, tags, comments or quotes) is read leniently; a page of any length or depth is read
+whole in one pass, in time proportional to its length; repeated rows each give a row; ids may be null; an empty table gives an empty table;
 other columns of the input are ignored.
 """
 
@@ -38,11 +41,11 @@ SURGE_CHARS = 60
 ELEMENT_WEIGHT = 4  # of text in an article or main element against a run outside
 
 RAW = "script|style|noscript|template|textarea|iframe|noframes"  # their content is no markup
-TOKEN = re.compile(
-    rf"<!--.*?(?:--!?>|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?/][^>]*+>",
-    re.S | re.I,
-)
+MARKUP = re.compile(rf"<(?:(?P<comment>!--)|(?P<raw>{RAW})\b|(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*+)|[!?/])", re.I)
+STOP = re.compile(r"[>\"']")
+COMMENT_END = re.compile(r"--!?>")
+RAW_END = {name: re.compile(rf"</{name}\s*[^>]*>", re.I) for name in RAW.split("|")}
+MISSES = 8  # tags without an end, after which quotes are no longer minded
 ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,6 +66,11 @@ MARKS = frozenset(
 WEAK = frozenset("sidebar side widget widgets banner notice notices alert header masthead toolbar social search tags meta toc".split())
 CONTENT = frozenset("content article main post entry body text story page container wrapper layout with has no".split())
 WHOLE = frozenset("html body article main".split())
+#: Elements that may stand in a head; any other start tag, and text, ends it.
+HEAD = frozenset("head title meta link base".split())
+#: Parts of a form that are no text of the page, even if the form holds the page.
+CONTROLS = frozenset("label legend option optgroup datalist".split())
+FORM_CHARS = 200  # a form with more than half of the page's text, and so much at least, holds the page
 #: Parts that mark even an article element as boilerplate.
 READERS = frozenset("comment comments reply respond disqus".split())
 
@@ -90,75 +98,164 @@ def _boilerplate(name: str, attrs: str) -> bool:
     return False
 
 
+class _Tags:
+    """The markup of a page, found in one pass from left to right. What was looked for in vain (a closing
+    quote, the end of a tag) is not looked for again, so broken markup takes no longer."""
+
+    def __init__(self, page: str):
+        self.page, self.misses = page, 0
+        self.gone: dict[str, int] = {}  # a character and a place behind which it does not occur
+
+    def _find(self, what: str, at: int) -> int:
+        if at >= self.gone.get(what, len(self.page)):
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.gone[what] = at
+        return found
+
+    def _tag_end(self, at: int) -> int:
+        """The place of the bracket that ends a tag; brackets in quotes don't."""
+        if self.misses >= MISSES:
+            return self._find(">", at)
+        while (m := STOP.search(self.page, at)) is not None:
+            if m[0] == ">":
+                return m.start()
+            closing = self._find(m[0], m.end())
+            at = closing + 1 if closing >= 0 else m.end()
+        self.misses += 1
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str | None, bool, str]]:
+        """(begin, end, name or None, closing, attributes); a raw element is one piece without a name but "raw"."""
+        page, at = self.page, 0
+        while (m := MARKUP.search(page, at)) is not None:
+            begin, at = m.span()
+            if m["comment"]:
+                # "<!-->" is a whole comment, too
+                end = COMMENT_END.search(page, at)
+                at = end.end() if end else len(page)
+                yield begin, at, None, False, ""
+                continue
+            if not m["raw"] and m["name"] is None:
+                end = self._find(">", at)
+                if end > at:
+                    at = end + 1
+                    yield begin, at, None, False, ""
+                continue
+            end = self._tag_end(at)
+            if end < 0:
+                continue
+            if m["raw"]:
+                close = RAW_END[m["raw"].lower()].search(page, end)
+                at = close.end() if close else len(page)
+                yield begin, at, None, False, "raw"
+            else:
+                yield begin, end + 1, m["name"].lower(), bool(m["close"]), page[at:end]
+                at = end + 1
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, length for the distribution, inside article or main, boilerplate) of each block of text."""
-    lines: list[tuple[str, int, bool, bool]] = []
+    lines: list[list] = []  # text, characters outside links, inside, boilerplate, form
     text: list[str] = []
     stack: list[tuple[str, bool]] = []  # open block elements, and inline ones that are boilerplate
-    hidden = inside = links = linked = 0
+    places: dict[str, list[int]] = {}  # where a name stands in the stack
+    forms: list[bool] = []  # whether each form holds an article or main element
+    hidden = inside = links = linked = open_forms = 0
 
     def cut() -> None:
         nonlocal linked
         if text:
             line = " ".join(unescape("".join(text)).split())
             if line:
-                lines.append((line, 0 if hidden else max(0, len(line) - linked), inside > 0 and not hidden, hidden > 0))
+                lines.append([line, max(0, len(line) - linked), inside > 0, hidden > 0, len(forms) - 1 if open_forms else -1])
             text.clear()
         linked = 0
 
+    def push(name: str, boiler: bool) -> None:
+        nonlocal hidden, inside, open_forms
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, boiler))
+        hidden += boiler
+        if name in ("article", "main"):
+            inside += 1
+            if open_forms:
+                forms[-1] = True
+        elif name == "form":
+            if not open_forms:
+                forms.append(False)
+            open_forms += 1
+
     def pop(to: int) -> None:
-        nonlocal hidden, inside
+        nonlocal hidden, inside, open_forms
         while len(stack) > to:
             n, boiler = stack.pop()
+            places[n].pop()
             hidden -= boiler
             inside -= n in ("article", "main")
+            open_forms -= n == "form"
+
+    def leave_head() -> None:
+        if places.get("head"):
+            cut()
+            pop(places["head"][-1])
 
     def add(piece: str) -> None:
         nonlocal linked
         if piece:
+            if stack and stack[-1][0] == "head" and piece.strip():
+                leave_head()
             text.append(piece)
             if links:
                 linked += len(piece.strip())
 
     at = 0
-    for m in TOKEN.finditer(page):
-        add(page[at : m.start()])
-        at = m.end()
-        name = m["name"]
+    for begin, end, name, close, attrs in _Tags(page):
+        add(page[at:begin])
+        at = end
         if name is None:
-            if m["raw"]:
+            if attrs:
                 add(" ")
             continue
-        name, attrs = name.lower(), m["attrs"]
+        if not close and name not in HEAD:
+            leave_head()
         if name == "a":
-            links = 0 if m["close"] else 1
+            links = 0 if close else 1
         if name == "br":
             add(" ")
         if name in INLINE:
-            if not m["close"] and name not in VOID and _boilerplate(name, attrs):
+            if not close and name not in VOID and (_boilerplate(name, attrs) or open_forms and name in CONTROLS):
                 cut()
-                stack.append((name, True))
-                hidden += 1
-            elif m["close"] and any(n == name for n, _ in stack):
+                push(name, True)
+            elif close and places.get(name):
                 cut()
-                pop(max(i for i, (n, _) in enumerate(stack) if n == name))
+                pop(places[name][-1])
             continue
         cut()
         links = 0
-        if m["close"]:
-            found = [i for i, (n, _) in enumerate(stack) if n == name]
-            if found:
-                pop(found[-1])
+        if close:
+            if places.get(name):
+                pop(places[name][-1])
         elif name not in VOID and not attrs.rstrip().endswith("/"):
             if stack and (stack[-1][0] == "p" or stack[-1][0] == name == "li"):
                 pop(len(stack) - 1)
-            boiler = _boilerplate(name, attrs) and not (name == "header" and inside)
-            stack.append((name, boiler))
-            hidden += boiler
-            inside += name in ("article", "main")
+            boiler = name != "form" and _boilerplate(name, attrs) and not (name == "header" and inside)
+            push(name, boiler or open_forms > 0 and name in CONTROLS)
     add(page[at:])
     cut()
-    return lines
+    # a form is boilerplate unless it holds the page
+    size = [0] * len(forms)
+    for line, _, _, boiler, form in lines:
+        if form >= 0 and not boiler:
+            size[form] += len(line)
+    total = sum(len(line) for line, _, _, boiler, _ in lines if not boiler)
+    holds = [has or n >= FORM_CHARS and 2 * n > total for has, n in zip(forms, size, strict=True)]
+    out = []
+    for line, n, within, boiler, form in lines:
+        boiler = boiler or form >= 0 and not holds[form]
+        out.append((line, 0 if boiler else n, within and not boiler, boiler))
+    return out
 
 
 def _runs(lengths: list[int], window: int) -> list[tuple[int, int, int]]:
