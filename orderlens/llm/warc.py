@@ -16,6 +16,10 @@ well are ever named, and a lost executor's half-written files are never read.
 Files are read and written through ``pyarrow.fs`` by URI (file, hdfs, s3, gs), as Spark has no
 ranged binary reader.
 
+Ids of any type that Spark casts to text and back (numbers, decimals, text, dates, times) go into the
+headers as percent-encoded text. A response holds an HTTP answer with the payload; a revisit names
+its response by record id, URL and date, as the standard says.
+
 Defined results: a null payload is empty; payloads under ``MIN_REVISIT`` bytes are all
 responses; rows that repeat an id and a payload are one response and revisits of it; null ids
 sort last, and a group of equal payloads without any id has one response that its revisits name
@@ -28,12 +32,12 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from orderlens.llm.common import slices
 
@@ -50,28 +54,45 @@ def open_uri(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
-def record(page_id, url: str | None, payload: bytes, digest: str, kind: str, refers_to) -> bytes:
-    """One gzip member with the record's header and, for responses, its payload."""
-    names = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}/{kind}')}>"}
+def response_id(page_id: str | None, digest: str) -> str:
+    """The record id of the response that revisits of a payload refer to."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id!r}/{digest}')}>"
+
+
+def _uri(url: str) -> str:
+    return url.replace("\r", "%0D").replace("\n", "%0A")
+
+
+def record(page_id: str | None, url: str | None, payload: bytes, digest: str, record_id: str, refers_to: tuple | None = None) -> bytes:
+    """One gzip member: header and, for responses, an HTTP answer with the payload. ``refers_to`` (id and
+    url of a response) makes it a revisit."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    names = {"WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": record_id}
     names |= {"WARC-Date": "1970-01-01T00:00:00Z", "WARC-Payload-Digest": f"sha256:{digest}"}
     if url is not None:
-        names["WARC-Target-URI"] = url.replace("\r", "%0D").replace("\n", "%0A")
+        names["WARC-Target-URI"] = _uri(url)
     if page_id is not None:
-        names["X-Page-ID"] = str(page_id)
+        names["X-Page-ID"] = quote(page_id)
     names["X-Payload-Length"] = str(len(payload))
-    if kind == "revisit":
+    block = http + payload
+    if refers_to is not None:
+        block = http
         names["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        if refers_to is not None:
-            names["X-Refers-To-Page-ID"] = str(refers_to)
-        payload = b""
-    names["Content-Type"], names["Content-Length"] = "text/html; charset=utf-8", str(len(payload))
+        names["WARC-Refers-To"] = response_id(refers_to[0], digest)
+        if refers_to[1] is not None:
+            names["WARC-Refers-To-Target-URI"] = _uri(refers_to[1])
+        names["WARC-Refers-To-Date"] = names["WARC-Date"]
+        if refers_to[0] is not None:
+            names["X-Refers-To-Page-ID"] = quote(refers_to[0])
+    names["Content-Type"], names["Content-Length"] = "application/http; msgtype=response", str(len(block))
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in names.items()) + "\r\n"
     pack = zlib.compressobj(_LEVEL, zlib.DEFLATED, 31)
-    return pack.compress(head.encode("utf-8")) + pack.compress(payload) + pack.compress(b"\r\n\r\n") + pack.flush()
+    return pack.compress(head.encode("utf-8")) + pack.compress(block) + pack.compress(b"\r\n\r\n") + pack.flush()
 
 
 def parse(member: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields and block of one gzip member; checks length and, where stored, digest."""
+    """Header fields and payload of one gzip member (empty for revisits); checks length and, where
+    stored, digest."""
     data = zlib.decompress(member, 31)
     head, _, rest = data.partition(b"\r\n\r\n")
     version, *fields = head.decode("utf-8").split("\r\n")
@@ -81,9 +102,15 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     block = rest[: int(names["Content-Length"])]
     if rest[len(block) :] != b"\r\n\r\n":
         raise ValueError("a WARC record's length is wrong")
-    if names["WARC-Type"] == "response" and names["WARC-Payload-Digest"] != "sha256:" + hashlib.sha256(block).hexdigest():
+    payload = block.partition(b"\r\n\r\n")[2]
+    if names["WARC-Type"] == "response" and names["WARC-Payload-Digest"] != "sha256:" + hashlib.sha256(payload).hexdigest():
         raise ValueError("a WARC record's digest is wrong")
-    return names, block
+    return names, payload
+
+
+def _typed(rows: DataFrame, kind: str) -> DataFrame:
+    """Ids that went through the archives as text, as their own type again."""
+    return rows.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -94,19 +121,20 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     kind = rows.schema["page_id"].dataType.simpleString()
     # slim rows: which page each payload's response is, nulls last
-    long_rows = rows.where(F.length("payload") >= MIN_REVISIT).select("page_id", "digest")
+    long_rows = rows.where(F.length("payload") >= MIN_REVISIT).select("page_id", "url", "digest")
     first = long_rows.groupBy("digest").agg(
-        F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id")).alias("first"), F.count("*").alias("copies")
+        F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")).alias("first"), F.count("*").alias("copies")
     )
-    first = first.where("copies > 1").select("digest", F.col("first.page_id").alias("refers_to"))
-    revisits = long_rows.distinct().join(first, "digest").withColumn("shared", F.lit(True))
+    first = first.where("copies > 1").select("digest", F.col("first.page_id").cast("string").alias("refers_to"), F.col("first.url").alias("first_url"))
+    revisits = long_rows.select("page_id", "digest").distinct().join(first, "digest").withColumn("shared", F.lit(True))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # one key for null and other ids, so that the deal below also serves the join
     key = F.coalesce(F.concat(F.lit("v"), F.col("page_id").cast("string")), F.lit("n"))
-    revisits = revisits.select(key.alias("k"), "digest", "shared", "refers_to")
+    revisits = revisits.select(key.alias("k"), "digest", "shared", "refers_to", "first_url")
     keyed = rows.withColumn("k", key).repartition(n, "k", "digest").join(revisits, ["k", "digest"], "left")
-    dealt = keyed.select("page_id", "url", "payload", "digest", F.col("shared").isNotNull().alias("shared"), "refers_to")
-    dealt = dealt.sortWithinPartitions("page_id", "digest")
+    shared = F.col("shared").isNotNull().alias("shared")
+    dealt = keyed.select(F.col("page_id").cast("string").alias("page_id"), "url", "payload", "digest", shared, "refers_to", "first_url")
+    dealt = dealt.sortWithinPartitions("page_id", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = open_uri(folder)
@@ -114,7 +142,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         try:
             for part in slices(batches, 2):
                 out: list[tuple] = []
-                for page_id, url, data, digest, shared, to in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for page_id, url, data, digest, shared, to, to_url in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     if sink is None or offset >= ARCHIVE_BYTES:
                         if sink is not None:
                             sink.close()
@@ -123,7 +151,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                     # among rows that repeat the first id and its payload the first is the response
                     revisit = bool(shared) and (page_id != to or (page_id, digest) == last)
                     last = (page_id, digest)
-                    member = record(page_id, url, data, digest, "revisit" if revisit else "response", to)
+                    own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}/{offset}')}>"
+                    named = response_id(page_id, digest) if shared and not revisit else own
+                    member = record(page_id, url, data, digest, named, (to, to_url) if revisit else None)
                     sink.write(member)
                     out.append((page_id, url, name, offset, len(member), digest, len(data), "revisit" if revisit else "response", to if revisit else None))
                     offset += len(member)
@@ -135,11 +165,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 sink.close()
 
     columns = [f.split()[0] for f in INDEX.split(", ")]
-    id_type = to_arrow_type(rows.schema["page_id"].dataType)
-    types = [id_type, pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), id_type]
+    types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]
     system, root = open_uri(folder)
     system.create_dir(root, recursive=True)
-    index = dealt.mapInArrow(run, INDEX.format(id=kind))
+    index = _typed(dealt.mapInArrow(run, INDEX.format(id="string")), kind)
     index.write.mode("overwrite").parquet(f"{folder}/index.parquet")
     return spark.read.parquet(f"{folder}/index.parquet")
 
@@ -161,14 +190,12 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records of the given index rows, read by sorted, merged byte ranges."""
     spark = index.sparkSession
     kind = index.schema["page_id"].dataType.simpleString()
-    number = index.schema["page_id"].dataType.typeName() in ("long", "integer", "short", "byte")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # a range of an archive goes to one task; a long archive is shared by several
     dealt = index.select("file", "offset", "length").repartitionByRange(n, "file", "offset").sortWithinPartitions("file", "offset")
-    id_type = to_arrow_type(index.schema["page_id"].dataType)
     columns = [f.split()[0] for f in RECORDS.split(", ")]
-    types = [id_type, pa.string(), pa.binary(), pa.string(), pa.int64(), pa.string(), id_type]
-    as_id = (lambda x: None if x is None else int(x)) if number else (lambda x: x)
+    types = [pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.string(), pa.string()]
+    as_id = lambda x: None if x is None else unquote(x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = open_uri(folder)
@@ -194,4 +221,4 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                         )
                 start = stop
 
-    return dealt.mapInArrow(run, RECORDS.format(id=kind))
+    return _typed(dealt.mapInArrow(run, RECORDS.format(id="string")), kind)

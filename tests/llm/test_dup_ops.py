@@ -10,6 +10,7 @@ import numpy as np
 import oracle_compare
 import pytest
 from conftest import SF001, SF01
+from pyspark.sql import functions as F
 
 from orderlens.llm import components, decontam, embedding_dedup, line_dedup, oracle, queries, simhash, warc
 from orderlens.session import scratch_path
@@ -198,6 +199,42 @@ def test_warc_round_trip(spark):
     assert warc.read_records(warc.write_archives(pages.limit(0), none), none).count() == 0
 
 
+def test_warc_ids_of_every_type(spark):
+    html = "<p>" + "same text " * 20
+    rows = [("a\r\nb: c", "u1", html), ("ü %41/", "u\r\n2", html), ("ü %41/", "u3", html), ("", None, "short"), ("", None, "short"), (None, "u4", html), (None, None, None)]
+    text = spark.createDataFrame([(*r, 7, "x") for r in rows], "page_id string, url string, html string, digest int, k string").repartition(3)
+    cases = {"string": None, "decimal(20,3)": "decimal", "date": "date", "double": "double", "timestamp": "timestamp", "int": "int"}
+    number = "case page_id when '' then 1 when 'ü %41/' then 3 when 'a\r\nb: c' then 2 end"
+    for kind, name in cases.items():
+        made = {None: "page_id", "date": f"date_add(date'2020-01-01', {number})", "timestamp": f"timestamp_micros({number} * 1234567)"}.get(name, f"cast({number} * 1.5 as {kind})")
+        pages = text.withColumn("page_id", F.expr(made))
+        folder = scratch_path(spark, "warc-ids")
+        got = warc.read_records(warc.write_archives(pages, folder), folder)
+        assert got.schema["page_id"].dataType == pages.schema["page_id"].dataType
+        want = Counter((r.page_id, (r.html or "").encode()) for r in pages.collect())
+        shown = got.collect()
+        payload = {r.payload_digest: bytes(r.payload) for r in shown if r.payload is not None}
+        assert Counter((r.page_id, payload[r.payload_digest]) for r in shown) == want
+        long = [r for r in shown if r.payload_bytes >= 100]
+        first = min(r.page_id for r in long if r.page_id is not None)
+        assert [r.page_id for r in long if r.record_type == "response"] == [first]
+        assert all(r.refers_to == first for r in long if r.record_type == "revisit")
+
+
+def test_warc_revisits_name_their_response(spark):
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "<p>" + "text " * 40) for i in (3, 1, 2, 2)], "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-revisits")
+    index = warc.write_archives(pages, folder).collect()
+    heads = []
+    for r in index:
+        with open(f"{folder.removeprefix('file:')}/{r.file}", "rb") as f:
+            f.seek(r.offset)
+            heads.append(warc.parse(f.read(r.length))[0])
+    response = next(h for h in heads if h["WARC-Type"] == "response")
+    assert len({h["WARC-Record-ID"] for h in heads}) == 4
+    assert all(h["WARC-Refers-To"] == response["WARC-Record-ID"] and h["WARC-Refers-To-Target-URI"] == "http://x/1" for h in heads if h is not response)
+
+
 def test_archives_are_plain_gzip_warc(spark):
     import glob
     import gzip

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from orderlens.llm import html_extract
@@ -31,29 +33,27 @@ def test_distribution_chooses_between_element_and_body():
     assert html_extract.main_text(f"<p>{LONG}</p><article>{body}</article>") == "\n".join([LONG] * 12)
 
 
-LONG = "A long text with many words in it. " * 10
+BODY = "A long text with many words in it. " * 10
 
 
 def test_omitted_head_end_and_wrapping_forms():
-    text = LONG.strip()
-    assert main_text(f"<html><head><title>t</title><body><p>{LONG}") == text
-    assert main_text(f"<html><head><title>t</title><meta name=a><p>{LONG}") == text
-    assert main_text(f"<head><title>t</title>{LONG}") == text
-    form = f"<body><form action=x><label>Search</label><input><article><p>{LONG}</p></article><button>go</button></form>"
-    assert main_text(form) == text
-    assert main_text(f"<body><form><div><p>{LONG}</p></div><label>name</label><select><option>a</select></form><p>foot") .split("\n")[0] == text
-    assert main_text(f"<article><p>{LONG}</p><form><p>Write to us about this text</p></form></article>") == text
-    assert main_text(f"<p>{LONG}</p><form><p>{'word ' * 30}</p></form>") == text
+    text = BODY.strip()
+    assert html_extract.main_text(f"<html><head><title>t</title><body><p>{BODY}") == text
+    assert html_extract.main_text(f"<html><head><title>t</title><meta name=a><p>{BODY}") == text
+    assert html_extract.main_text(f"<head><title>t</title>{BODY}") == text
+    form = f"<body><form action=x><label>Search</label><input><article><p>{BODY}</p></article><button>go</button></form>"
+    assert html_extract.main_text(form) == text
+    assert html_extract.main_text(f"<body><form><div><p>{BODY}</p></div><label>name</label><select><option>a</select></form><p>foot") .split("\n")[0] == text
+    assert html_extract.main_text(f"<article><p>{BODY}</p><form><p>Write to us about this text</p></form></article>") == text
+    assert html_extract.main_text(f"<p>{BODY}</p><form><p>{'word ' * 30}</p></form>") == text
 
 
 def test_broken_and_deep_markup_takes_time_in_proportion():
-    import time
-
     n = 40_000
-    pages = ["<a " * n, "<div>" * n + "<b>" * n + "</i>" * n + LONG, '<a "' * n, "<a '\"" * n, "<!" * n, "<div><p>" * n, "</b>" * n, "<form>" * n]
+    pages = ["<a " * n, "<div>" * n + "<b>" * n + "</i>" * n + BODY, '<a "' * n, "<a '\"" * n, "<!" * n, "<div><p>" * n, "</b>" * n, "<form>" * n]
     for page in pages:
         start = time.process_time()
-        main_text(page)
+        html_extract.main_text(page)
         assert time.process_time() - start < 5, page[:10]
-    assert main_text("<div>" * n + LONG) == LONG.strip()
-    assert main_text(f"<p>{LONG}</p><p>1 <2 and a <b") == LONG.strip() + "\n1 <2 and a <b"
+    assert html_extract.main_text("<div>" * n + BODY) == BODY.strip()
+    assert html_extract.main_text(f"<p>{BODY}</p><p>1 <2 and a <b") == BODY.strip() + "\n1 <2 and a <b"
