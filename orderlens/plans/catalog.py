@@ -356,6 +356,13 @@ def join_back_money(spark, sf_dir):
     return items.join(rollup.order_money_rollup(items), "order_id")
 
 
+@query
+def join_back_bucketed(spark, sf_dir):
+    """The same from items that were saved in buckets of an order: nothing is shuffled."""
+    items = tables.save_bucketed(_view(spark, sf_dir, "order_items"), scratch_path(spark, "items"))
+    return items.join(rollup.order_money_rollup(items), "order_id")
+
+
 @query
 def join_back_payments(spark, sf_dir):
     pays = _view(spark, sf_dir, "order_payments")
@@ -458,6 +465,14 @@ def string_index(spark, sf_dir):
     return model.transform(prods).select("product_id", "product_category_name", "category_index")
 
 
+@query
+def string_index_ranked(spark, sf_dir):
+    """The same numbers without the labels in the driver."""
+    prods = _view(spark, sf_dir, "products")
+    ranks = prepare.label_ranks(prods, "product_category_name")
+    return prepare.index_by_rank(prods, "product_category_name", "category_index", ranks).select("product_id", "product_category_name", "category_index")
+
+
 @query
 def one_hot(spark, sf_dir):
     """The active slots of each product's vector (its zeros are not written out)."""

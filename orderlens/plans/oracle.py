@@ -797,4 +797,6 @@ FROM f_items""",
         "metric_auc": AUC_SQL,
         "metric_classification": CLASSIFICATION_SQL,
     }
+    for twin, of in {"string_index_ranked": "string_index", "join_back_bucketed": "join_back_money"}.items():
+        out[twin] = out[of]
     return out

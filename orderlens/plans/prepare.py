@@ -12,9 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, RFormula, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.session import scratch_path
+
 # The source's column names for the prepared inputs.
 BIN_COLUMNS = ("name_length", "description_length", "nbr_photo")
 BIN_INDEX = ("name_lengthInd", "prod_desInd", "nbr_photoInd")
@@ -31,6 +33,34 @@ def index_categories(cols: Sequence[str], out: Sequence[str]) -> StringIndexer:
     )
 
 
+def label_ranks(df: DataFrame, col: str) -> DataFrame:
+    """(label, n, rank): the non-null values of a column as text, most frequent first, ties by text, from 0.
+
+    The order of ``StringIndexer`` without its list in the driver: the counted labels are dealt to
+    ranges of (count, label), and a running sum over the ranges' sizes (one row for each) numbers them.
+    """
+    spark = df.sparkSession
+    counts = df.groupBy(F.col(f"`{col}`").cast("string").alias("label")).agg(F.count("*").alias("n")).where("label is not null")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.repartitionByRange(parts, F.desc("n"), F.asc("label")).withColumn("part", F.spark_partition_id())
+    path = scratch_path(spark, "labels")
+    dealt.write.parquet(path)  # the ranges' numbers stay as they are
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = dealt.groupBy("part").agg(F.count("*").alias("size")).select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), F.asc("label")))
+    return dealt.withColumn("place", place).join(first, "part").select("label", "n", (F.col("first") + F.col("place") - 1).alias("rank"))
+
+
+def index_by_rank(df: DataFrame, col: str, out: str, ranks: DataFrame) -> DataFrame:
+    """``df`` with the label's rank as a double; labels unknown to ``ranks``, and null, get the next number
+    behind all. A label that holds many rows is split by the join's skew handling."""
+    known = ranks.select(F.col("label").alias("_label"), F.col("rank").cast("double").alias(out))
+    unseen = ranks.agg(F.count("*").cast("double").alias("n")).first()["n"]
+    joined = df.join(known, F.col(f"`{col}`").cast("string") == F.col("_label"), "left").drop("_label")
+    return joined.withColumn(out, F.coalesce(F.col(f"`{out}`"), F.lit(unseen)))
+
+
 def one_hot(cols: Sequence[str], out: Sequence[str]) -> OneHotEncoder:
     """Index -> sparse 0/1 vector. With ``keep`` indexing, dropLast drops the unseen slot, so
     every known value has a slot and an unseen value is the zero vector."""
