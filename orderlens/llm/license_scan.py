@@ -6,7 +6,8 @@ template as zstandard raw dictionary; the more of the block a template already h
 smaller the result. Templates are ranked by the reduction (size alone less size with the
 template, over size alone; ties by name). All are, by rank, confirmed by exact wording: the words of template and block are aligned, and a notice is
 confirmed if no word that tells licenses apart (a name, a clause or a version number) differs
-and the other words that are missing or put in are at most ``MAX_DIFFERENT`` of the template's.
+and the other words that are missing or put in are at most ``MAX_DIFFERENT`` of the template's. A negation in
+the clause before the notice ("Not licensed under ...") or a "not" in the clause behind it rules it out.
 The first confirmed template by rank is the block's license; ``license_ids`` holds all confirmed
 ones by rank (none is left out: a template is skipped only if words that the block lacks altogether
 already rule it out).
@@ -69,12 +70,51 @@ TEMPLATES = (
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("GPL-3.0", "Released under the GNU GPL v3."),
+    ("GPL-2.0", "Released under the GNU GPL v2."),
+    ("GPL-3.0", "Licensed under GPLv3 or later."),
+    ("GPL-2.0", "Licensed under GPLv2 or later."),
+    (
+        "GPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LicenseRef-BSD",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission.",
+    ),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-ND-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
 )
+#: Ids that also get a template for their SPDX tag.
+TAGGED = (
+    "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause GPL-2.0 GPL-3.0 LGPL-3.0 AGPL-3.0 MPL-2.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 "
+    "CC-BY-NC-SA-4.0 CC-BY-NC-ND-4.0 CC0-1.0 Unlicense"
+).split()
+TEMPLATES += tuple((name, f"SPDX-License-Identifier: {name}") for name in TAGGED)
 #: Words that tell licenses apart, beside numbers.
 TELLING = frozenset(
     "apache mit bsd gnu gpl lgpl agpl lesser affero general public mozilla mpl cc cc0 by sa nc nd clause all rights reserved domain unencumbered "
-    "not no except".split()
+    "not no except attribution sharealike noncommercial noderivatives unlicense redistribution".split()
 )
+#: Words that turn a notice round, before it in its clause.
+NEGATIONS = frozenset("not no never neither nor without isn aren wasn weren doesn don cannot except unless nicht kein keine pas non sin".split())
+_OTHER_NAME = re.compile(r"-(?!only\b|or\b)[^\W_]", re.I)  # "MIT-0" is not "MIT", but "GPL-3.0-only" tells of GPL-3.0
+_CLAUSE = re.compile(r"[.,;:!?()\n](?=\s|$)")
 _WORD = re.compile(r"[^\W_]+", re.UNICODE)
 _CUE, _WRAPPED_CUE = re.compile(CUES, re.ASCII), re.compile(WRAPPED_CUES, re.ASCII)  # as Java reads them
 
@@ -96,7 +136,24 @@ def differences(template: list[str], block: list[str]) -> tuple[list[str], list[
 
 def agrees(template: list[str], different: list[str]) -> bool:
     """Whether a notice may differ from the template in these words."""
-    return len(different) <= MAX_DIFFERENT * len(template) and not any(w in TELLING or w.isdigit() for w in different)
+    return len(different) <= MAX_DIFFERENT * len(template) and not any(w in TELLING or any(c.isdigit() for c in w) for w in different)
+
+
+def negated(template: list[str], block: str) -> bool:
+    """Whether the clause before the place that the template matches holds a negation, the rest of the
+    clause behind it a "not", or the name goes on with a hyphen."""
+    spans = [m.span() for m in _WORD.finditer(block.lower())]
+    words = [block.lower()[a:b] for a, b in spans]
+    pairs = [m for m in SequenceMatcher(None, template, words, autojunk=False).get_matching_blocks() if m.size]
+    if not pairs or len(block.lower()) != len(block):  # a letter that changes its length in lower case: places don't fit
+        return False
+    start, stop = spans[pairs[0].b][0], spans[pairs[-1].b + pairs[-1].size - 1][1]
+    ends = [m.end() for m in _CLAUSE.finditer(block, 0, start)]
+    after = _CLAUSE.search(block, stop)
+    before = words_of(block[ends[-1] if ends else 0 : start])
+    if _OTHER_NAME.match(block, stop):
+        return True
+    return any(w in NEGATIONS for w in before) or "not" in words_of(block[stop : after.start() if after else len(block)])
 
 
 class Scanner:
@@ -107,13 +164,14 @@ class Scanner:
         self.given = [zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False) for d in raw]
         self.known: dict[str, tuple] = {}
 
-    def _confirmed(self, words: list[str]) -> dict[int, tuple[int, int]]:
+    def _confirmed(self, block: str) -> dict[int, tuple[int, int]]:
         """Words missing and put in of each template that the block's wording confirms."""
+        words = words_of(block)
         held, found = set(words), {}
         for k, (_, wanted) in enumerate(self.templates):
             if agrees(wanted, [w for w in wanted if w not in held]):
                 lost, put = differences(wanted, words)
-                if agrees(wanted, lost + put):
+                if agrees(wanted, lost + put) and not negated(wanted, block):
                     found[k] = len(lost), len(put)
         return found
 
@@ -125,7 +183,7 @@ class Scanner:
 
     def _scan(self, block: str) -> tuple:
         words = words_of(block)
-        found, ranked = self._confirmed(words), self._ranked(block, range(len(self.templates)))
+        found, ranked = self._confirmed(block), self._ranked(block, range(len(self.templates)))
         names = list(dict.fromkeys(self.templates[k][0] for _, k in ranked if k in found))
         for reduction, k in ranked:
             if k in found:
@@ -136,7 +194,7 @@ class Scanner:
 
     def scan_run(self, block: str, known: set[str]) -> tuple | None:
         """As ``scan``, for the licenses of a run of lines that are not ``known``; None if there are none."""
-        found = {k: n for k, n in self._confirmed(words_of(block)).items() if self.templates[k][0] not in known}
+        found = {k: n for k, n in self._confirmed(block).items() if self.templates[k][0] not in known}
         if not found:
             return None
         ranked = self._ranked(block, found)

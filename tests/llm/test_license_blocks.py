@@ -34,3 +34,32 @@ def test_notice_wrapped_over_lines(spark):
     assert [r.license_id for r in out if r.block == mit.split("\n")[4]] == [None]  # the first line alone is not enough
     assert got[2, 2] == ("LicenseRef-All-Rights-Reserved", ["LicenseRef-All-Rights-Reserved"], "All rights\n  reserved.")
     assert got[3, 0] == ("MIT", ["MIT"], "Released under the MIT License.") and [k for k in got if k[0] in (3, 4, 5)] == [(3, 0)]
+
+
+def test_tags_headers_and_negations():
+    own = license_scan.Scanner(license_scan.TEMPLATES)
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    )
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    for notice, name in {
+        "SPDX-License-Identifier: MIT": "MIT",
+        "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "SPDX-License-Identifier: CC-BY-SA-4.0": "CC-BY-SA-4.0",
+        "Released under the GNU GPL v3.": "GPL-3.0",
+        "Licensed under GPLv2 or later.": "GPL-2.0",
+        gpl: "GPL-3.0",
+        gpl.replace("version 3", "version 2"): "GPL-2.0",
+        bsd: "LicenseRef-BSD",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "CC-BY-NC-SA-4.0",
+        "This is not legal advice. Licensed under the MIT License.": "MIT",
+    }.items():
+        assert own.scan(notice)[:2] == (name, [name]), notice
+    for notice in (
+        "Not licensed under the MIT License.", "This file is not released under the MIT license", "SPDX-License-Identifier: MIT-0x", "Released under the GNU GPL v4.",
+        "Licensed under the MIT License is what this text is not", "No work here is licensed under CC BY 4.0.",
+    ):
+        assert own.scan(notice)[:2] == (None, []), notice
+    assert own.scan("Licensed under the MIT License, not the GPL.")[0] == "MIT"
