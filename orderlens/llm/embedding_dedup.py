@@ -6,10 +6,13 @@ of a cube (iterative quantisation), so that the bits share the spread evenly. Th
 the centre, as cosines are measured from it: centred on the mean, the codes of one large group
 of near copies would be noise. The rotation is a few 10 KB.
 
-Index. Every distinct vector gets its ``BITS``-bit code. The code is cut into ``TABLES`` blocks;
-a vector enters each table under its label, length and block. Codes that differ in fewer bits
-than there are tables agree in some block. Vectors at the threshold of 0.98 differ in about four
-of 64 bits, mostly spread over blocks; recall against brute force is measured in the tests.
+Index. Every distinct vector gets its ``BITS``-bit code, cut into ``RADIUS + m`` blocks. There
+is a table for each choice of m blocks; a vector enters it under its label, length and the bits of
+those blocks. Codes that differ in ``RADIUS`` bits or fewer agree in m blocks at least, whatever m
+is, so they meet in some table. m follows the number of distinct vectors (``plan_tables``): more
+blocks in a key make the buckets smaller and the tables more. So 6 tables of 11 bits serve small
+inputs and 56 of 24 bits serve 10^9 vectors, under the same guarantee. Vectors at the threshold of
+0.98 differ in about four of 64 bits; recall against brute force is measured in the tests.
 
 Search. Each table's buckets are compared inside a task. A pair that meets in several tables
 counts in the first one only, which the two codes tell, so no pairs are shuffled or made
@@ -31,6 +34,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +46,9 @@ from orderlens.llm.components import components, contract
 from orderlens.session import cut_lineage
 
 BITS = 64
-TABLES = 6
+RADIUS = 5
+ENTRY_COST = 50  # comparisons that cost as much as one more entry of a vector in a table
+MOST_TABLES = 2000
 TILE = 1024
 THRESHOLD = 0.98
 SAMPLE_ROWS = 8192
@@ -84,10 +91,45 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
 
 
-def block_values(codes: np.ndarray, bits: int, tables: int) -> list[np.ndarray]:
-    """Each table's part of the codes."""
-    edge = np.linspace(0, bits, tables + 1).round().astype(int)
-    return [(codes >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(edge, edge[1:], strict=False)]
+@dataclass
+class Tables:
+    """The Hamming tables: each block's bits, each table's bits, and the first table of a pair."""
+
+    blocks: np.ndarray  # bits of each block
+    masks: np.ndarray  # bits of each table's key
+    first: np.ndarray  # by the set of blocks that differ: the first table whose blocks all agree
+
+    def meet(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The first table in which codes meet; the number of tables if they meet in none."""
+        apart, differ = a ^ b, np.zeros(len(a), np.int64)
+        for k, bits in enumerate(self.blocks):
+            differ |= ((apart & bits) != 0).astype(np.int64) << k
+        return self.first[differ]
+
+
+def make_tables(bits: int, radius: int, agree: int) -> Tables:
+    """A table for each choice of ``agree`` of ``radius + agree`` blocks."""
+    n = radius + agree
+    edge = np.linspace(0, bits, n + 1).round().astype(int).tolist()
+    blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edge, edge[1:], strict=False)]
+    chosen = list(combinations(range(n), agree))
+    sets = np.arange(1 << n)
+    first = np.full(1 << n, len(chosen), np.int64)
+    for t in range(len(chosen) - 1, -1, -1):
+        first[(sets & sum(1 << k for k in chosen[t])) == 0] = t
+    masks = [sum(blocks[k] for k in c) for c in chosen]
+    return Tables(np.array(blocks, np.uint64), np.array(masks, np.uint64), first)
+
+
+def plan_tables(rows: int, bits: int, radius: int = RADIUS) -> int:
+    """Blocks in a key that make the search of ``rows`` vectors cheapest: entries against comparisons
+    in buckets of evenly used codes."""
+
+    def cost(agree: int) -> float:
+        return comb(radius + agree, agree) * (ENTRY_COST + rows / 2 ** (bits * agree / (radius + agree)))
+
+    fits = [m for m in range(1, 20) if radius + m <= bits and comb(radius + m, m) <= MOST_TABLES]
+    return min(fits, key=cost, default=1)
 
 
 class _Links:
@@ -144,9 +186,7 @@ def _pairs(group: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np
                 yield np.repeat(a[k : k + 256], len(b)), np.tile(b, len(a[k : k + 256]))
 
 
-def _bucket_links(dealt: DataFrame, quantiser: Quantiser, tables: int, threshold: float) -> DataFrame:
-    bits = quantiser.axes.shape[1]
-
+def _bucket_links(dealt: DataFrame, tables: Tables, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links, kept = _Links(), None
         for batch in batches:
@@ -156,30 +196,29 @@ def _bucket_links(dealt: DataFrame, quantiser: Quantiser, tables: int, threshold
             cut = int(np.searchsorted(unit, unit[-1]))  # the last unit may go on in the next batch
             kept = tab.slice(cut)
             if cut:
-                _compare(tab.slice(0, cut), bits, tables, threshold, links)
+                _compare(tab.slice(0, cut), tables, threshold, links)
                 if (out := links.flush()) is not None:
                     yield out
         if kept is not None and kept.num_rows:
-            _compare(kept, bits, tables, threshold, links)
+            _compare(kept, tables, threshold, links)
             if (out := links.flush()) is not None:
                 yield out
 
     return dealt.mapInArrow(run, "node long, n long, to long")
 
 
-def _compare(tab: pa.Table, bits: int, tables: int, threshold: float, links: _Links) -> None:
+def _compare(tab: pa.Table, tables: Tables, threshold: float, links: _Links) -> None:
     node, count, code = tab["node"].to_numpy(), tab["copies"].to_numpy(), tab["code"].to_numpy().view(np.uint64)
-    table, group, side = tab["tab"].to_numpy(), tab["unit"].to_numpy(), tab["side"].to_numpy()
+    table, side = tab["tab"].to_numpy(), tab["side"].to_numpy()
+    unit, check = tab["unit"].to_numpy(), tab["check"].to_numpy()
+    group = np.cumsum(np.r_[True, (unit[1:] != unit[:-1]) | (check[1:] != check[:-1])])
     col = tab["vector"].combine_chunks()
     flat, offsets = col.flatten().to_numpy(), col.offsets.to_numpy()
     size = np.diff(offsets)
-    blocks = block_values(code, bits, tables)
     for i, j in _pairs(group, side):
         if not len(i):
             continue
-        first = np.ones(len(i), bool)  # no earlier table has the pair
-        for t, b in enumerate(blocks):
-            first &= (table[i] <= t) | (b[i] != b[j])
+        first = tables.meet(code[i], code[j]) == table[i]  # no earlier table has the pair
         i, j = i[first], j[first]
         for k in range(0, len(i), 1 << 14):
             a, b = i[k : k + (1 << 14)], j[k : k + (1 << 14)]
@@ -206,11 +245,13 @@ def near_vectors(
     vector_col: str = "embedding",
     label_col: str = "label",
     threshold: float = THRESHOLD,
-    tables: int = TABLES,
+    radius: int = RADIUS,
     sample_rows: int = SAMPLE_ROWS,
     tile: int = TILE,
+    agree: int | None = None,
 ) -> DataFrame:
-    """vec_id, n_links, component_id and kept for every row of ``vectors``."""
+    """vec_id, n_links, component_id and kept for every row of ``vectors``. ``agree``: blocks in a
+    table's key; by default they follow the number of distinct vectors."""
     spark = vectors.sparkSession
     v = F.col(vector_col).cast("array<double>")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -226,6 +267,7 @@ def near_vectors(
     dim = max(set(map(len, sample)), key=lambda d: (sum(len(x) == d for x in sample), d))
     quantiser = learn_rotation(_units(np.array([x for x in sample if len(x) == dim])))
     bits = quantiser.axes.shape[1]
+    tables = make_tables(bits, radius, agree or plan_tables(nodes.count(), bits, radius))
     model = spark.sparkContext.broadcast(quantiser)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +280,7 @@ def near_vectors(
             for d in np.unique(size).tolist():
                 rows = np.flatnonzero(size == d)
                 out[rows] = model.value.codes(_units(flat[offsets[rows][:, None] + np.arange(d)]))
-            parts = np.stack(block_values(out, bits, tables), 1).astype(np.int64)
+            parts = (out[:, None] & tables.masks).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out.view(np.int64)), pa.array(list(parts), pa.list_(pa.int64()))], names=["node", "code", "parts"]
             )
@@ -254,11 +296,12 @@ def near_vectors(
     entries = entries.withColumn("own", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    unit = F.xxhash64(*key, F.least("own", "other"), F.greatest("own", "other"))
+    place = [*key, F.least("own", "other"), F.greatest("own", "other")]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = entries.select(unit.alias("unit"), "tab", side.cast("int").alias("side"), "node", "copies", "code", "vector")
-    dealt = dealt.repartition(n, "unit").sortWithinPartitions("unit")
-    links = cut_lineage(_bucket_links(dealt, quantiser, tables, threshold))
+    # a unit is named by 128 bits: two that share 64 of them are not compared with each other
+    dealt = entries.select(F.xxhash64(*place).alias("unit"), F.xxhash64(F.lit("check"), *place).alias("check"), "tab", side.cast("int").alias("side"), "node", "copies", "code", "vector")
+    dealt = dealt.repartition(n, "unit").sortWithinPartitions("unit", "check")
+    links = cut_lineage(_bucket_links(dealt, tables, threshold))
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
     groups = components(links.select(F.col("node").alias("u"), F.col("to").alias("v"))).withColumnRenamed("component", "grp")
     per = nodes.join(counts, "node", "left").join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from math import comb
 
 import brute
 import numpy as np
@@ -122,11 +123,11 @@ def _vector_rows(rng, n=240, dim=64):
     return rows
 
 
-@pytest.mark.parametrize("tile", [1024, 6])
-def test_vectors_against_brute_force(spark, tile):
+@pytest.mark.parametrize(("tile", "agree"), [(1024, None), (6, 1), (1024, 2), (6, 3)])
+def test_vectors_against_brute_force(spark, tile, agree):
     rows = _vector_rows(np.random.default_rng(4))
     frame = spark.createDataFrame([(i, v, lab, "x") for i, v, lab in rows], "vec_id long, embedding array<double>, label int, node string")
-    out = embedding_dedup.near_vectors(frame, tile=tile).collect()
+    out = embedding_dedup.near_vectors(frame, tile=tile, agree=agree).collect()
     links = brute.cosine_links(rows)
     found = sum(r.n_links for r in out) / 2
     assert 0.9 * len(links) <= found <= len(links)
@@ -148,6 +149,43 @@ def test_vector_recall_on_whole_table(spark):
     assert len(out) == len(rows) and sum(r.n_links for r in out.values()) / 2 >= 0.9 * len(links)
 
 
+def test_tables_hold_every_pair_within_the_radius():
+    rng = np.random.default_rng(3)
+    for bits, agree in ((64, 1), (64, 2), (64, 3), (20, 2), (3, 1)):
+        tables = embedding_dedup.make_tables(bits, 5, agree)
+        a = rng.integers(0, 1 << bits, 400, np.uint64) if bits < 64 else rng.integers(0, 1 << 63, 400, np.uint64) * np.uint64(2)
+        b = a.copy()
+        for k, flips in enumerate(rng.integers(0, min(bits, 9) + 1, 400).tolist()):
+            for bit in rng.choice(bits, flips, replace=False).tolist():
+                b[k] ^= np.uint64(1 << bit)
+        shared = [[t for t, m in enumerate(tables.masks) if (x & m) == (y & m)] for x, y in zip(a, b, strict=True)]
+        assert tables.meet(a, b).tolist() == [s[0] if s else len(tables.masks) for s in shared]
+        assert all(s for s, x, y in zip(shared, a.tolist(), b.tolist(), strict=True) if (x ^ y).bit_count() <= 5)
+
+
+def test_keys_grow_with_the_number_of_vectors():
+    plans = [embedding_dedup.plan_tables(n, 64) for n in (0, 500, 10**6, 10**9, 10**11)]
+    assert plans == sorted(plans) and plans[0] == 1 and plans[2] == 2 and plans[3] == 3
+    compared = [n * comb(5 + m, m) / 2 ** (64 * m / (5 + m)) for n, m in ((10**6, plans[2]), (10**9, plans[3]), (10**11, plans[4]))]
+    assert max(compared) < 10**4  # of each vector, at any size; one block alone would compare 4 * 10^8
+    assert embedding_dedup.plan_tables(10**9, 3) == 1
+
+
+@pytest.mark.parametrize("agree", [1, 2, 3])
+def test_vector_recall_at_the_threshold(spark, agree):
+    rng = np.random.default_rng(12)
+    rows = []
+    for k in range(400):  # a planted partner at a cosine of 0.98 to 0.99 for each
+        x, y = rng.standard_normal((2, 64))
+        x /= np.linalg.norm(x)
+        y -= (y @ x) * x
+        c = rng.uniform(0.9801, 0.99)
+        rows += [(2 * k, x.tolist(), k % 3), (2 * k + 1, (c * x + np.sqrt(1 - c * c) * y / np.linalg.norm(y)).tolist(), k % 3)]
+    out = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), agree=agree).collect()
+    links = brute.cosine_links(rows)
+    assert len(links) == 400 and 0.9 * 400 <= sum(r.n_links for r in out) / 2 <= 400
+
+
 def test_large_bucket_counts_every_pair(spark):
     rng = np.random.default_rng(8)
     base = rng.standard_normal(64)
