@@ -414,6 +414,23 @@ def pearson_screen_constant(spark, sf_dir):
     return out.select("feature", "n", "r")
 
 
+@query
+def moment_state(spark, sf_dir):
+    """Both screens and the scaler's deviations from one scan, with a constant column."""
+    base = _train_base(spark, sf_dir).withColumn("constant", F.lit(1.0))
+    state = screen.moment_state(base, screen.candidate_features(base, "Target"), ["Target", "review_score"])
+    target, score = F.col("by_label")["Target"], F.col("by_label")["review_score"]
+    return state.select(
+        "feature",
+        "present",
+        F.round("deviation", 4).alias("deviation"),
+        target["n"].alias("n_target"),
+        F.round(target["r"], 9).alias("r_target"),
+        score["n"].alias("n_score"),
+        F.round(score["r"], 9).alias("r_score"),
+    )
+
+
 def _selection(base: DataFrame) -> DataFrame:
     scr = screen.pearson_screen(base, screen.candidate_features(base, "Target"), "Target")
     out = screen.select_features(scr)
@@ -599,7 +616,9 @@ def _signal_pair(spark, sf_dir) -> dict[str, workflow.Prepared]:
     spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
     train = workflow.materialize(train)
     labelled = _by_category(_by_weekend(train))
-    inputs = {y: workflow.prepare_base(labelled, None, y, spec=spec, materialized=True) for y in ("Target", "review_score")}
+    labels = ("Target", "review_score")
+    moments = workflow.base_moments(labelled, labels)
+    inputs = {y: workflow.prepare_base(labelled, None, y, spec=spec, materialized=True, moments=moments) for y in labels}
     return inputs | {"svm": workflow.prepare_base(_spread(train), None, "Target", spec=spec, materialized=True)}
 
 
@@ -620,7 +639,9 @@ def model_comparison(spark, sf_dir):
     """All seven learners on the fixtures' own labels; one base table for both labels."""
     spec, train, _ = workflow.basetables(spark, sf_dir, holdout=False)
     train = workflow.materialize(train)
-    inputs = {y: workflow.prepare_base(train, None, y, spec=spec, on_empty="all", materialized=True) for y in ("Target", "review_score")}
+    labels = ("Target", "review_score")
+    moments = workflow.base_moments(train, labels)
+    inputs = {y: workflow.prepare_base(train, None, y, spec=spec, on_empty="all", materialized=True, moments=moments) for y in labels}
     return _comparison(inputs, spark)[0]
 
 

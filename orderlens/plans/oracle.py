@@ -519,6 +519,19 @@ def _pearson(label: str, features: list[str], extra_select: str = "", extra_feat
     return basetable_sql(select=f", b2 AS (SELECT *{extra_select} FROM base)\n" + "\nUNION ALL\n".join(parts))
 
 
+def _moments() -> str:
+    def r(f, label):
+        return sround(f"CASE WHEN stddev_samp({q(f)}) = 0 OR stddev_samp({label}) = 0 THEN NULL ELSE corr({q(f)}, {label}) END", 9)
+
+    parts = [
+        f"SELECT '{f}' AS feature, count({q(f)}) AS present, {sround(f'stddev_samp({q(f)})', 4)} AS deviation, "
+        f"count({q(f)}) FILTER (WHERE Target IS NOT NULL) AS n_target, {r(f, 'Target')} AS r_target, "
+        f"count({q(f)}) FILTER (WHERE review_score IS NOT NULL) AS n_score, {r(f, 'review_score')} AS r_score FROM b2"
+        for f in [*feature_cols(), "constant"]
+    ]
+    return basetable_sql(select=", b2 AS (SELECT *, 1.0 AS constant FROM base)\n" + "\nUNION ALL\n".join(parts))
+
+
 def screen_features(label: str) -> list[str]:
     """Screening candidates: every numeric feature; the labels and ids are never candidates."""
     return feature_cols()
@@ -768,6 +781,7 @@ FROM f_items i JOIN (SELECT order_id, {money_select()} FROM f_items GROUP BY ord
         "pearson_screen_constant": _pearson(
             "review_score", screen_features("review_score"), ", 1.0 AS constant", ["constant"]
         ),
+        "moment_state": _moments(),
         "string_index": W()
         + """SELECT p.product_id, p.product_category_name, CAST(r.idx AS DOUBLE) AS category_index
 FROM f_products p JOIN (

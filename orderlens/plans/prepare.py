@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, RFormula, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, RFormula, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,20 +77,31 @@ def scale(inp: str = ASSEMBLED, out: str = FEATURES) -> StandardScaler:
     return StandardScaler(inputCol=inp, outputCol=out, withStd=True, withMean=False)
 
 
-def feature_pipeline(features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS) -> Pipeline:
+def scale_by(deviations: Sequence[float | None], inp: str = ASSEMBLED, out: str = FEATURES) -> ElementwiseProduct:
+    """``scale`` with deviations known already: no pass over the table. A constant becomes 0, as there."""
+    factors = Vectors.dense([1.0 / d if d else 0.0 for d in deviations])
+    return ElementwiseProduct(scalingVec=factors, inputCol=inp, outputCol=out)
+
+
+def feature_pipeline(
+    features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS, deviations: Sequence[float | None] | None = None
+) -> Pipeline:
     """Bins -> index -> one-hot; numeric features -> assembled -> scaled ``scaleFeatures``. As in
-    the source, the bin vectors are produced but not part of the model input."""
+    the source, the bin vectors are produced but not part of the model input. Given the features'
+    ``deviations``, the scaler needs no fit."""
     stages = []
     if bins:
         idx = [BIN_INDEX[BIN_COLUMNS.index(b)] if b in BIN_COLUMNS else f"{b}_idx" for b in bins]
         dums = [BIN_DUMMIES[BIN_COLUMNS.index(b)] if b in BIN_COLUMNS else f"{b}_dum" for b in bins]
         stages += [index_categories(bins, idx), one_hot(idx, dums)]
-    stages += [assemble(features), scale()]
+    stages += [assemble(features), scale() if deviations is None else scale_by(deviations)]
     return Pipeline(stages=stages)
 
 
-def fit_prepare(train: DataFrame, features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS) -> PipelineModel:
-    return feature_pipeline(features, bins).fit(train)
+def fit_prepare(
+    train: DataFrame, features: Sequence[str], bins: Sequence[str] = BIN_COLUMNS, deviations: Sequence[float | None] | None = None
+) -> PipelineModel:
+    return feature_pipeline(features, bins, deviations).fit(train)
 
 
 def rformula_label(df: DataFrame, label: str, drop: Sequence[str] = ("review_score", "order_id")) -> DataFrame:

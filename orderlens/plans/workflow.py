@@ -12,11 +12,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.functions import derive
 from orderlens.operators import basetable, screen
 from orderlens.plans import models, prepare
-from orderlens.session import configure, scratch_path
+from orderlens.session import configure, cut_lineage, scratch_path
 from orderlens.sources import fixtures, tables
 
 TABLE_NAMES = ("products", "orders", "order_items", "order_payments", "order_reviews")
@@ -73,6 +74,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return tables.load_table(df.sparkSession, path)
 
 
+def base_moments(train: DataFrame, labels: Sequence[str], features: Sequence[str] | None = None) -> DataFrame:
+    """The moment state of a base table for all ``labels``, computed once (a row per feature)."""
+    cands = screen.candidate_features(train, labels[0]) if features is None else features
+    return cut_lineage(screen.moment_state(train, cands, labels))
+
+
 def prepare_base(
     train: DataFrame,
     holdout: DataFrame | None = None,
@@ -81,21 +88,25 @@ def prepare_base(
     spec: basetable.BaseTableSpec | None = None,
     on_empty: str = "error",
     materialized: bool = False,
+    moments: DataFrame | None = None,
 ) -> Prepared:
     """Training base table written once (unless ``materialized``: it is a scan already) ->
     one-pass screen -> selected features, or the given list -> pipeline fitted on training only -> hash split 70/30. When no candidate passes the
-    screen, ``on_empty`` decides: "error", or "all" to keep every candidate."""
+    screen, ``on_empty`` decides: "error", or "all" to keep every candidate. The screen and the
+    scaler share one scan; ``moments`` (from ``base_moments``) shares it between labels too."""
     if on_empty not in ("error", "all"):
         raise ValueError(f"on_empty is 'error' or 'all', not {on_empty!r}")
     train = train if materialized else materialize(train)
     cands = screen.candidate_features(train, label)
-    scr = screen.pearson_screen(train, cands, label)
+    if moments is None:
+        moments = base_moments(train, [label], [*cands, *[f for f in features or () if f not in cands]])
+    scr = screen.screen_of(moments.where(F.col("feature").isin(cands)), label)
     chosen = screen.selected_names(scr) if features is None else list(features)
     if not chosen:
         if on_empty == "error":
             raise ValueError(f"no feature passes the screen for {label}; give features, or on_empty='all'")
         chosen = cands
-    pipe = prepare.fit_prepare(train, chosen)
+    pipe = prepare.fit_prepare(train, chosen, deviations=screen.deviations(moments, chosen))
     fit, valid = prepare.hash_split(pipe.transform(train))
     hold = pipe.transform(holdout) if holdout is not None else None
     return Prepared(spec, chosen, scr, pipe, fit, valid, hold)
@@ -198,8 +209,9 @@ def run_flow(
     spec, train_base, hold_base = basetables_from(train, holdout)
     grids = grids or {}
     train_base = materialize(train_base)
-    binary = prepare_base(train_base, hold_base, "Target", spec=spec, on_empty=on_empty, materialized=True)
-    multi = prepare_base(train_base, None, "review_score", spec=spec, on_empty=on_empty, materialized=True)
+    moments = base_moments(train_base, ["Target", "review_score"])
+    binary = prepare_base(train_base, hold_base, "Target", spec=spec, on_empty=on_empty, materialized=True, moments=moments)
+    multi = prepare_base(train_base, None, "review_score", spec=spec, on_empty=on_empty, materialized=True, moments=moments)
     fitted, results = {}, {}
     for kind in binary_kinds:
         fitted[kind], scored = fit_and_score(binary, kind, "Target", grids.get(kind), folds)

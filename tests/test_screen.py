@@ -99,3 +99,41 @@ def test_selection_matches_spark_f_test_selector(spark, frame):
     sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(0.001)
     theirs = [feats[i] for i in sel.fit(vec).selectedFeatures]
     assert ours == theirs == ["x"]
+
+
+def test_moment_state_serves_both_screens_and_the_scaler(frame):
+    from orderlens.plans import prepare
+
+    df = frame.withColumn("review_score", F.when(F.col("order_id") % 7 > 0, F.round("y")))
+    df = df.withColumn("gap", F.when(F.col("order_id") % 5 > 0, F.col("noise") * 3))
+    feats = ["x", "noise", "const", "gap"]
+    state = screen.moment_state(df, feats, ["Target", "review_score"])
+    for label in ("Target", "review_score"):
+        assert screen.screen_of(state, label).collect() == screen.pearson_screen(df, feats, label).collect()
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1
+    full = ["x", "noise", "const"]
+    deviations = screen.deviations(state, full)
+    assert deviations[2] == 0.0 and screen.deviations(state.limit(0), []) == []
+    ours = prepare.fit_prepare(df, full, bins=(), deviations=deviations).transform(df).orderBy("order_id")
+    theirs = prepare.fit_prepare(df, full, bins=()).transform(df).orderBy("order_id")
+    a, b = (np.array([r[0].toArray() for r in d.select(prepare.FEATURES).collect()]) for d in (ours, theirs))
+    assert np.allclose(a, b, rtol=1e-12, atol=0) and not a[:, 2].any()
+    empty = screen.moment_state(df.limit(0), feats, ["Target"])
+    assert empty.count() == 0
+
+
+def test_both_labels_are_prepared_from_one_state(spark, frame):
+    from orderlens.plans import workflow
+
+    df = frame.withColumn("review_score", F.round("y"))
+    for b in ("name_length", "description_length", "nbr_photo"):
+        df = df.withColumn(b, F.when(F.col("order_id") % 3 > 0, "short").otherwise("long"))
+    moments = workflow.base_moments(df, ["Target", "review_score"])
+    for label in ("Target", "review_score"):
+        shared = workflow.prepare_base(df, None, label, materialized=True, moments=moments)
+        alone = workflow.prepare_base(df, None, label, materialized=True)
+        assert shared.features == alone.features and "x" in shared.features and "const" not in shared.features
+        assert shared.screen.collect() == alone.screen.collect()
+    listed = workflow.prepare_base(df, None, "Target", features=["const", "Target"], materialized=True)
+    assert listed.features == ["const", "Target"] and [r.feature for r in listed.screen.collect()] == ["x", "noise", "const", "y"]
