@@ -210,8 +210,13 @@ def drop_near_duplicates(
     keyed = docs.withColumn(th, text_hash(text_col))
     slim = keyed.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(th).alias("th"))
     prints = cut_lineage(add_fingerprints(slim, length))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
-    per_fp = prints.groupBy("fp").agg(F.min(order).alias("first")).join(_grouped(prints, radius, tile_rows), "fp", "left")
-    stay = per_fp.groupBy(F.coalesce("grp", "fp").alias("grp")).agg(F.min("first").alias("k")).select("k.doc_id", "k.th")
-    kept = keyed.join(stay, keyed[id_col].eqNullSafe(stay["doc_id"]) & (keyed[th] == stay["th"]), "left_semi")
-    return kept.dropDuplicates([id_col, th]).drop(th)
+    # equal rows are counted on the slim side, so that only texts of rows that repeat are grouped
+    rows = prints.groupBy("fp", "doc_id", "th").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "n")
+    per_fp = rows.groupBy("fp").agg(F.min(order).alias("first")).join(_grouped(prints, radius, tile_rows), "fp", "left")
+    stay = per_fp.groupBy(F.coalesce("grp", "fp").alias("grp")).agg(F.min("first").alias("k")).select("k.doc_id", "k.th", "k.n")
+
+    def kept(which: DataFrame) -> DataFrame:
+        return keyed.join(which, keyed[id_col].eqNullSafe(which["doc_id"]) & (keyed[th] == which["th"]), "left_semi")
+
+    return kept(stay.where("n = 1")).unionByName(kept(stay.where("n > 1")).dropDuplicates([id_col, th])).drop(th)

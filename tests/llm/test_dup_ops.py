@@ -112,6 +112,18 @@ def test_one_of_each_group_stays(spark):
     assert simhash.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_that_repeat_stay_once(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefghijkl") * 3 for _ in range(40)) for _ in range(30)]
+    rows = [(i, t, i) for i, t in enumerate(texts)] + [(100 + i, texts[i], 0) for i in range(10)]
+    rows += [(3, texts[3], 3)] * 50 + [(None, texts[4], 1)] * 5 + [(None, "alone by itself", 2)] * 5 + [(7, "same id other words", 1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(7)
+    out = simhash.drop_near_duplicates(docs)
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert out.columns == docs.columns
+    assert got == Counter([*enumerate(texts), (None, "alone by itself"), (7, "same id other words")])
+
+
 def _vector_rows(rng, n=240, dim=64):
     rows = []
     for _ in range(n // 6):
