@@ -229,6 +229,37 @@ def test_decontamination_against_every_window(spark):
     assert decontam.contaminated(frame, bench.limit(0)).count() == 0 and decontam.drop_contaminated(frame.limit(0), bench).count() == 0
 
 
+def test_anchors_find_every_similar_item_and_leave_common_shingles_out():
+    rng = random.Random(11)
+    lead = "which of the following is the best answer to the question".split()
+    items = [(k, " ".join(lead + [f"w{rng.randrange(4000)}" for _ in range(19)])) for k in range(1500)]
+    index = decontam.ItemIndex(items)
+    # a text full of the shingles that all items share meets none of them
+    common = " ".join(lead * 40).encode().split()
+    assert sum(len(found) for *_, found in index.candidates(decontam.word_hashes(common))) == 0
+    # one changed word at either end keeps 0.8; windows are compared with about their own item only
+    for k in range(0, 1500, 50):
+        words = items[k][1].split()
+        text = " ".join(["x", *words[:-1], "changed", "y"])
+        assert [h[0] for h in index.hits(text)] == [k]
+        compared = sum(len(found) for *_, found in index.candidates(decontam.word_hashes(text.encode().split())))
+        assert 1 <= compared <= 60
+
+
+def test_repeated_shingles_and_item_blocks_by_bytes(spark):
+    # items that repeat few shingles: multisets decide, and equal best windows give the first
+    items = [(1, "a b c d e " * 6), (2, "a " * 12), (3, "a b " * 9 + "z"), (4, "q " * 40 + "r s t u v"), (5, "long words here " * 500)]
+    docs = [(1, "a b c d e " * 9), (2, "a " * 30), (3, "y " + "a b " * 9 + "z a b"), (4, "q " * 41 + "r s t u w"), (5, "x " + "Long words here " * 520)]
+    want = {(d, i): s for d, t in docs for i, x in items[:4] if (s := brute.best_window(t, x)) >= 0.8} | {(5, 5): 1.0}
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for size in (1 << 24, 100):
+        got = decontam.contaminated(frame, bench, block_bytes=size).collect()
+        assert {(r.doc_id, r.item_id): r.similarity for r in got} == pytest.approx(want) and len(got) == len(want)
+        assert {(r.doc_id, r.item_id): r.start_word for r in got}[2, 2] == 0
+    left = decontam.drop_contaminated(frame.unionByName(frame.selectExpr("doc_id + 10 AS doc_id", "'free text' AS text")), bench, block_rows=1)
+    assert {r[0] for r in left.collect()} == {d for d, _ in docs if d not in {k for k, _ in want}} | {11, 12, 13, 14, 15}
+
+
 def test_warc_round_trip(spark):
     big, other = "<p>" + "x" * 200, "é" * 60
     rows = [(4, "u4", big), (2, "u2", big), (2, "u2", big), (9, None, other), (None, "n", other), (None, "m", "only here " * 20), (None, "m", "only here " * 20), (5, "u5", "small"), (6, "u\r\n6", "small"), (7, "u", None), (8, "u", "")]
