@@ -7,6 +7,7 @@ per-column loops of separate jobs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,38 +25,53 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, scale: int = 6) ->
 
     Numeric min/max are doubles (``min``/``max``), those of whole numbers also exact
     (``min_int``/``max_int``, as ids may lie beyond 2^53), other types' min/max are text
-    (``min_text``/``max_text``). One scan: every row becomes (column index, number, integer, text)
-    rows via ``inline``, aggregated per column index with a map-side partial step in the
-    same stage (the rows are never shuffled, and nine aggregate functions keep the
-    generated code compact however wide the table is).
+    (``min_text``/``max_text``). Every column is read once and no row is kept: numbers become
+    (column index, number, integer) rows via ``inline``, hashed per column index with a map-side
+    partial step in the same stage (fixed-width state, and a few functions keep the generated code
+    compact however wide the table is); texts are one aggregate without a key, as a smallest text
+    per key would have every task sort its rows.
     """
-    fields = [f for f in df.schema.fields if cols is None or f.name in cols]
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("_i"),
-                (F.col(f"`{f.name}`").cast("double") if _numeric(f.dataType) else F.lit(None).cast("double")).alias("_x"),
-                (F.col(f"`{f.name}`") if isinstance(f.dataType, T.IntegralType) else F.lit(None)).cast("long").alias("_n"),
-                (F.lit(None).cast("string") if _numeric(f.dataType) else F.col(f"`{f.name}`").cast("string")).alias("_t"),
+    fields = list(enumerate(f for f in df.schema.fields if cols is None or f.name in cols))
+    numbers = [(i, f) for i, f in fields if _numeric(f.dataType)]
+    texts = [(i, f) for i, f in fields if not _numeric(f.dataType)]
+    parts = []
+    if numbers:
+        cells = F.array(
+            *[
+                F.struct(
+                    F.lit(i).alias("_i"),
+                    F.col(f"`{f.name}`").cast("double").alias("_x"),
+                    (F.col(f"`{f.name}`") if isinstance(f.dataType, T.IntegralType) else F.lit(None)).cast("long").alias("_n"),
+                )
+                for i, f in numbers
+            ]
+        )
+        parts.append(
+            df.select(F.inline(cells))
+            .groupBy("_i")
+            .agg(
+                F.count("_x").alias("count"),
+                F.round(F.avg("_x"), scale).alias("mean"),
+                F.round(F.stddev_samp("_x"), scale).alias("stddev"),
+                F.min("_x").alias("min"),
+                F.max("_x").alias("max"),
+                F.min("_n").alias("min_int"),
+                F.max("_n").alias("max_int"),
             )
-            for i, f in enumerate(fields)
-        ]
-    )
-    stats = (
-        df.select(F.inline(cells))
-        .groupBy("_i")
-        .agg(
-            (F.count("_x") + F.count("_t")).alias("count"),
-            F.round(F.avg("_x"), scale).alias("mean"),
-            F.round(F.stddev_samp("_x"), scale).alias("stddev"),
-            F.min("_x").alias("min"),
-            F.max("_x").alias("max"),
-            F.min("_n").alias("min_int"),
-            F.max("_n").alias("max_int"),
-            F.min("_t").alias("min_text"),
-            F.max("_t").alias("max_text"),
         )
-    )
+    if texts:
+        as_text = {i: F.col(f"`{f.name}`").cast("string") for i, f in texts}
+        state = [
+            F.struct(F.lit(i).alias("_i"), F.count(t).alias("count"), F.min(t).alias("min_text"), F.max(t).alias("max_text"))
+            for i, t in as_text.items()
+        ]
+        whole = df.agg(F.array(*state).alias("_state"), F.count(F.lit(1)).alias("_rows")).where("_rows > 0")
+        parts.append(whole.select(F.inline("_state")))
+    stats = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    kinds = {c: "double" for c in ("mean", "stddev", "min", "max")} | {c: "long" for c in ("min_int", "max_int")}
+    kinds |= {c: "string" for c in ("min_text", "max_text")}
+    stats = stats.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in stats.columns})
+    fields = [f for _, f in fields]
     names = F.array(*[F.lit(f.name) for f in fields])
     types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
     pos = F.col("_i") + 1
