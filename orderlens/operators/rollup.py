@@ -308,14 +308,17 @@ def _wide(df: DataFrame, key: str, cells: Sequence[Column], values: Sequence, na
 
 
 def _spread(cells: DataFrame, key: str, values: Sequence, names: Sequence[str] | None, absent) -> DataFrame:
-    """(key, _by, _sum) cells as one row per key with a column per value."""
+    """(key, _by, _sum) cells as one row per key with a column per value. A key is gathered as the list
+    of its cells, which falls back to sorting: a task holds a key's cells, at most one for each listed
+    value, and never a row of all columns for each of its keys."""
     names = [str(v) for v in values] if names is None else list(names)
-    wide = cells.groupBy(key).pivot("_by", [str(v) for v in values]).agg(F.first("_sum"))
-    if not values:
-        return wide
     kind = cells.schema["_sum"].dataType
-    return wide.toDF(key, *[f"_{i}" for i in range(len(names))]).select(
-        key, *[F.coalesce(F.col(f"_{i}"), F.lit(absent).cast(kind)).alias(n) for i, n in enumerate(names)]
+    # null and other values keep their key's row
+    listed = cells.withColumn("_by", F.when(F.col("_by").isin([str(v) for v in values]), F.col("_by")))
+    filled = F.collect_list(F.when(F.col("_by").isNotNull(), F.struct("_by", "_sum")))
+    wide = listed.groupBy(key).agg(F.map_from_entries(filled).alias("_cells"))
+    return wide.select(
+        key, *[F.coalesce(F.try_element_at("_cells", F.lit(str(v))), F.lit(absent).cast(kind)).alias(n) for v, n in zip(values, names, strict=True)]
     )
 
 

@@ -1,8 +1,10 @@
-"""What one task holds does not follow the rows: profile."""
+"""What one task holds does not follow the rows: profile and wide pivot."""
 
 from __future__ import annotations
 
-from orderlens.operators import quality
+from pyspark.sql import functions as F
+
+from orderlens.operators import quality, rollup
 
 
 def _plan(df) -> str:
@@ -22,3 +24,17 @@ def test_profile_sorts_no_rows(spark):
     assert quality.profile(df.limit(0)).count() == 0
     assert quality.profile(df, ["t.x"]).schema == out.schema and quality.profile(df, ["t.x"]).count() == 1
     assert quality.profile(df, ["d"]).schema == out.schema
+
+
+def test_wide_pivot_gathers_cells_and_not_rows_of_columns(spark):
+    rows = [(1, "0", 1.5), (1, "0", 2.0), (1, "19", 3.0), (2, None, 4.0), (3, "other", 5.0), (4, "7", None), (None, "7", 6.0)]
+    df = spark.createDataFrame(rows, "order_id long, n string, price double")
+    values = [str(i) for i in range(20)]
+    out = rollup.pivot_sum(df, "order_id", "n", "price", values)
+    assert "pivotfirst" not in _plan(out)
+    plain = df.groupBy("order_id").agg(*[F.coalesce(F.sum(F.when(F.col("n") == v, F.col("price"))), F.lit(0.0)).alias(v) for v in values])
+    as_set = lambda frame: {tuple(r) for r in frame.collect()}
+    assert as_set(out) == as_set(plain) and out.columns == plain.columns
+    counts = rollup.pivot_count(df, "order_id", "n", values, [f"c{v}" for v in values])
+    assert "pivotfirst" not in _plan(counts) and counts.columns[1] == "c0"
+    assert {r.order_id: (r.c0, r.c7, r.c19) for r in counts.collect()} == {1: (2, 0, 1), 2: (0, 0, 0), 3: (0, 0, 0), 4: (0, 1, 0), None: (0, 1, 0)}
