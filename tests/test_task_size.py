@@ -1,10 +1,14 @@
-"""What one task holds does not follow the rows: profile and wide pivot."""
+"""What one task holds does not follow the rows: profile, wide pivot, CSV records."""
 
 from __future__ import annotations
 
+import glob
+
 from pyspark.sql import functions as F
 
 from orderlens.operators import quality, rollup
+from orderlens.plans import catalog
+from orderlens.session import checkpoint_root
 
 
 def _plan(df) -> str:
@@ -38,3 +42,15 @@ def test_wide_pivot_gathers_cells_and_not_rows_of_columns(spark):
     counts = rollup.pivot_count(df, "order_id", "n", values, [f"c{v}" for v in values])
     assert "pivotfirst" not in _plan(counts) and counts.columns[1] == "c0"
     assert {r.order_id: (r.c0, r.c7, r.c19) for r in counts.collect()} == {1: (2, 0, 1), 2: (0, 0, 0), 3: (0, 0, 0), 4: (0, 1, 0), None: (0, 1, 0)}
+
+
+def test_split_records_are_written_by_as_many_tasks_as_read(spark, tmp_path):
+    docs = spark.range(50).select("id", F.concat(F.lit('a "q"\nb '), F.col("id").cast("string")).alias("text"))
+    docs = docs.select(F.col("id").alias("doc_id"), "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    docs.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    pattern = f"{checkpoint_root(spark).removeprefix('file:')}/csv-multiline-*"
+    before = set(glob.glob(pattern))
+    out = catalog.csv_multiline_split(spark, str(tmp_path))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))
+    (folder,) = set(glob.glob(pattern)) - before
+    assert len(glob.glob(f"{folder}/*.csv")) > 2
