@@ -12,9 +12,11 @@ Work that two grid points share is done once:
 
 Forests are fitted point by point: their random draws depend on the number of trees and the depth.
 
-The frame is cached once; each fold's training rows are read from it in as many partitions as
-their number needs, so that an iteration over few rows is one small task. Every task of a tree or forest
-sends the counts of all nodes of a level, so beyond the cluster's cores their tasks hold ``TASK_BYTES`` of
+For trees and forests the frame is cached once. For iterative learners, which keep the rows they are fitted
+on themselves and pass over them hundreds of times, it is written once: what is sent with every task of every
+pass then ends at that file, and no memory is held twice. Each fold's training rows are read from it in as
+many partitions as their number needs, ``PASS_ROWS`` in each: a pass over few rows is one small task without
+a shuffle. Every task of a tree or forest sends the counts of all nodes of a level, so beyond the cluster's cores their tasks hold ``TASK_BYTES`` of
 what they keep of the rows, not a number of rows. They keep a copy of the rows they are fitted on, so only
 as many fits run at once as the cores need to be busy, the largest first. They also keep each row's node
 instead of walking down from the root at each level; the model is the same.
@@ -37,6 +39,7 @@ from orderlens.plans.prepare import with_folds
 from orderlens.session import scratch_path
 
 ROWS_PER_TASK = 50_000
+PASS_ROWS = 500_000  # in a task of one pass of an iterative learner
 TASK_BYTES = 320 << 20  # of rows as a learner keeps them, in a task
 ROW_BYTES, TREE_BYTES = 300, 12  # kept for a row (its features), and for each tree of a forest (its draw, its node)
 SCORES = "order_key string, fold int, grid_point int, label double, score double, prediction double"
@@ -174,6 +177,13 @@ def fits_at_once(tasks: int, cores: int, parallelism: int) -> int:
     return max(1, min(parallelism, max(2, -(-2 * cores // tasks))))
 
 
+def _written(data: DataFrame) -> DataFrame:
+    """A frame written once into the shared folder, as a scan of it."""
+    path = scratch_path(data.sparkSession, "folds")
+    data.write.parquet(path)
+    return data.sparkSession.read.schema(data.schema).parquet(path)
+
+
 def _weight(point: dict) -> float:
     """What a forest of a grid point costs beside the others: its trees times its levels."""
     return point.get("numTrees", 1) * point.get("maxDepth", 1)
@@ -189,7 +199,7 @@ def cross_validate(
     folds: int = 5,
     nested: str | None = None,
     parallelism: int = 8,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> Search:
     """Search ``points`` by the mean of ``metric`` over the folds; the best is fitted on all rows.
     ``nested`` names the parameter whose values share work: "maxIter" or "maxDepth"."""
@@ -200,7 +210,8 @@ def cross_validate(
     if grows:
         # at most as many steps of lineage as levels, so none is written out
         est = est.copy({est.getParam("cacheNodeIds"): True, est.getParam("checkpointInterval"): -1})
-    cached = with_folds(data, folds, key).persist()
+    rows_per_task = rows_per_task or (ROWS_PER_TASK if grows else PASS_ROWS)
+    cached = with_folds(data, folds, key).persist() if grows else _written(with_folds(data, folds, key))
     try:
         per = {r["fold"]: r["count"] for r in cached.groupBy("fold").count().collect()}
         total, parts = sum(per.values()), cached.rdd.getNumPartitions()
@@ -215,9 +226,8 @@ def cross_validate(
 
         root = scratch_path(spark, "scores")
         train = {f: rows(F.col("fold") != f, total - per[f]) for f in sorted(per)}
-        if not grows:
-            train = {f: frame.persist() for f, frame in train.items()}
-        at_once = fits_at_once(max(1, tasks(total)), cores, parallelism) if grows else parallelism
+        # passes are short beside the driver's steps between them: four tasks for a core keep the cores busy
+        at_once = fits_at_once(max(1, tasks(total)), cores if grows else 2 * cores, parallelism)
 
         def run(fold: int, family: list[int]) -> tuple[str, list[int]]:
             """Where the scores are, and the grid points of the family that need fits of their own."""
@@ -243,8 +253,6 @@ def cross_validate(
                     path, left = future.result()
                     paths.append(path)
                     running |= {pool.submit(run, fold, [i]): fold for i in left}
-        for frame in train.values() if not grows else ():
-            frame.unpersist()
         scores = spark.read.schema(SCORES).parquet(*paths)
         by_fold = metrics.grouped(scores, ["grid_point", "fold"], metric)
         values: dict[int, list[float]] = {}
@@ -255,4 +263,5 @@ def cross_validate(
         best = est.copy({est.getParam(k): v for k, v in chosen.items()}).fit(rows(None, total))
         return Search(points, metric, means, by_fold, scores, len(paths) + 1, best)
     finally:
-        cached.unpersist()
+        if grows:
+            cached.unpersist()

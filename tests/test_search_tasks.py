@@ -29,3 +29,19 @@ def test_kept_nodes_leave_the_forest_as_it_is(spark):
     assert found.bestModel.getCacheNodeIds()
     plain = models.learner("rf", "Target").setMaxDepth(4).setNumTrees(5).fit(data.coalesce(1))
     assert found.bestModel.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
+
+
+def test_passes_read_a_written_frame_in_few_tasks(spark, monkeypatch):
+    frames, top = [], search._top_model
+    monkeypatch.setattr(search, "_top_model", lambda est, train, *rest: frames.append(train) or top(est, train, *rest))
+    at_once, asked = search.fits_at_once, []
+    monkeypatch.setattr(search, "fits_at_once", lambda *a: asked.append(at_once(*a)) or asked[-1])
+    df = spark.range(0, 160_000, 1, 8).selectExpr("id as order_id", "double(id % 7) as x", "double(id % 7 + id % 3 > 4) as Target")
+    data = prepare.fit_prepare(df, ["x"], bins=()).transform(df)
+    found = models.fit_cv("svm", data, grid={"regParam": [0.1], "maxIter": [1]}, folds=2)
+    assert found.scores.count() == 160_000 and len(frames) == 2
+    for train in frames:
+        assert train.rdd.getNumPartitions() == 1 and not train.storageLevel.useMemory
+        assert "InMemoryRelation" not in train._jdf.queryExecution().toString() and train.inputFiles()
+    assert asked == [8]
+    assert search.fits_at_once(39, 24, 8) == 2  # 19,300,000 rows on 12 cores
