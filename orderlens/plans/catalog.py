@@ -111,14 +111,14 @@ def _both_sides(train: DataFrame, holdout: DataFrame) -> DataFrame:
 @query
 def csv_basetable(spark, sf_dir):
     """The source's own input path on whole tables, both sides: the tables are written as CSV the
-    way the source files hold them, read back by header name with the declared schemas and
-    turned into the base tables."""
+    way the source files hold them, packed by gzip, read back by header name with the declared
+    schemas and turned into the base tables."""
     root = scratch_path(spark, "csv-sources")
     sides = {}
     for side in ("train", "holdout"):
         paths = {name: f"{root}/{side}/{name}" for name in fixtures.tables(spark, sf_dir, side)}
         for name, df in _as_source_files(fixtures.tables(spark, sf_dir, side)).items():
-            tables.write_csv(df, paths[name], null_value="")
+            tables.write_csv(df, paths[name], null_value="", compression="gzip")
         sides[side] = workflow.read_sources(spark, paths)
     _, train, holdout = workflow.basetables_from(sides["train"], sides["holdout"])
     return _both_sides(train, holdout)

@@ -132,10 +132,11 @@ def parse_timestamps(df: DataFrame, cols, fmt: str = schemas.TIMESTAMP_FORMAT) -
 CSV_NULL = "\\N"
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL, compression: str | None = None) -> None:
     """Header CSV that ``read_table(..., null_value=CSV_NULL)`` reads back unchanged: whitespace
     kept, quotes doubled, empty text quoted, null written as ``\\N``. ``null_value=""`` writes
-    the source files' convention instead (an empty field is null)."""
+    the source files' convention instead (an empty field is null). With ``compression="gzip"`` each file
+    is read back by one task, so a file then holds what one task wrote and is not read by byte ranges."""
     (
         df.write.mode(mode)
         .option("header", True)
@@ -143,7 +144,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str
         .option("nullValue", null_value)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
+        .csv(path, compression=compression)
     )
 
 

@@ -68,3 +68,24 @@ def test_split_reading_refuses_other_escapes_and_names(spark, tmp_path):
         tables.read_text(spark, path, ["x"], multiline="split", quote_escape="\\")
     with pytest.raises(ValueError, match="split"):
         tables.read_text(spark, path, ["x"], multiline="cut")
+
+
+def test_source_files_are_packed(spark, tmp_path, monkeypatch):
+    from conftest import SF001
+    from orderlens.plans import catalog
+
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = catalog.csv_basetable(spark, SF001)
+    files = [f for f in (tmp_path / "csv-sources").rglob("part-*")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert {r.side for r in got.select("side").distinct().collect()} == {"train", "holdout"}
+
+
+def test_packed_files_keep_nulls_quotes_and_column_orders(spark, tmp_path):
+    rows = [(1, 'a "b", c', 40.0), (2, None, None), (3, "", -0.5), (4, "  é ", 1e-7)]
+    df = spark.createDataFrame(rows, "k long, t string, v double")
+    path = str(tmp_path / "packed")
+    tables.write_csv(df.where("k < 3"), path, compression="gzip")
+    tables.write_csv(df.where("k >= 3").select("v", "t", "k"), path, mode="append", compression="gzip")
+    back = tables.read_table(spark, path, df.schema, null_value=tables.CSV_NULL)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
