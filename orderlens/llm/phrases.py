@@ -17,7 +17,10 @@ division, so they are exact as long as counts stay under 10^15.
 
 Scale. Text is never shuffled; a pass sends only distinct (candidate, next word) rows of a slice.
 A broadcast holds at most ``block_bytes`` of phrases (default 6 MB, about 100 MB as arrays at
-worst); more candidates mean more blocks and one pass over the text for each. A frequent word or
+worst); more candidates mean more blocks and one pass for each, over the texts of the block's languages. A
+language that needs several is cut by first words, which are looked up once for each slice, so a pass walks
+only places of its own. Where a block has all phrases of a language, a word behind a phrase counts only if the
+phrase from the next word on is a candidate too. A frequent word or
 pair is summed in its slice and again in its task before any shuffle. The ranking first keeps
 the best of each of ``RANK_PARTS`` parts of a language, so no task holds a language.
 
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,7 @@ TOP = 2000
 BLOCK_BYTES = 6 << 20
 RANK_PARTS = 32
 SLICE_ROWS = 1024
+MAX_LANGS = 1000  # that blocks are kept apart by
 NO_LANG = "und"
 
 SPACE, BREAK = 32, 10
@@ -71,14 +76,19 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
+    @cached_property
     def coded(self) -> tuple[np.ndarray, pa.Array]:
-        """Each word's number in the slice's own word list, and the list."""
+        """Each word's number in the slice's own word list, and the list (a space behind each word)."""
         flat = self.data.copy()
         flat[self.ends] = SPACE
         offsets = pa.py_buffer(np.append(self.starts, len(flat)).astype(np.int64))
         cells = pa.Array.from_buffers(pa.large_binary(), len(self), [None, offsets, pa.py_buffer(flat)])
         coded = cells.dictionary_encode()
-        return coded.indices.to_numpy(), pc.binary_slice(coded.dictionary, 0, -1).cast(pa.large_string())
+        return coded.indices.to_numpy(), coded.dictionary
+
+    @property
+    def names(self) -> pa.Array:
+        return pc.binary_slice(self.coded[1], 0, -1).cast(pa.large_string())
 
 
 def lay_out(texts: list[bytes | None]) -> Words:
@@ -168,12 +178,35 @@ class Trie:
     def accepted(self, words: Words, root: int) -> np.ndarray:
         """For each word position the phrase of the trie that begins there and ends with a word, or -1.
         No phrase of a trie goes on with a space into another."""
-        out = np.full(len(words), -1, np.int32)
-        if root < 0:
+        if root < 0 or not len(words):
+            return np.full(len(words), -1, np.int32)
+        code, listed = words.coded
+        # the first word once for all its places: its state, and the one behind the space that follows
+        offsets, data = (np.frombuffer(b, kind) for b, kind in zip(listed.buffers()[1:], (np.int64, np.uint8), strict=True))
+        offsets = offsets[listed.offset : listed.offset + len(listed) + 1]
+        who, at, end = np.arange(len(listed)), offsets[:-1].copy(), offsets[1:] - 1
+        state, behind = np.full(len(listed), root, np.int32), np.full(len(listed), -1, np.int32)
+        while len(who):
+            done = at == end[who]
+            behind[who[done]] = state[done]
+            who, at, state = who[~done], at[~done], state[~done]
+            to = self.base[state] + data[at]
+            on = self.check[to] == state
+            who, at, state = who[on], at[on] + 1, to[on]
+        known = np.flatnonzero(behind >= 0)
+        one, further = np.full(len(listed), -1, np.int32), np.full(len(listed), -1, np.int32)
+        one[known] = self.key[behind[known]]
+        to = self.base[behind[known]] + SPACE
+        on = self.check[to] == behind[known]
+        further[known[on]] = to[on]
+        out = one[code]
+        if not on.any():
             return out
-        data, gap = words.data, (words.data == SPACE) | (words.data == BREAK)
-        who, at = np.arange(len(words), dtype=np.int32), words.starts.astype(np.int32)
-        state = np.full(len(words), root, np.int32)
+        # then the places where it goes on
+        data, state = words.data, further[code]
+        gap = (data == SPACE) | (data == BREAK)
+        who = np.flatnonzero((state >= 0) & (data[words.ends] == SPACE)).astype(np.int32)
+        state, at = state[who], words.starts[who + 1].astype(np.int32)
         while len(who):
             to = self.base[state] + data[at]
             on = self.check[to] == state
@@ -219,28 +252,68 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=SLICE_ROWS):
             for lang, words in _by_lang(batch):
-                code, names = words.coded()
-                n = np.bincount(code, minlength=len(names))
+                names = words.names
+                n = np.bincount(words.coded[0], minlength=len(names))
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), names.cast(pa.string()), pa.array(n)], names=["lang", "phrase", "n"])
 
     return _texts(docs, text_col, lang_col).mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _blocks(candidates: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """Candidates with a block number, no block over ``block_bytes`` (unless by a single phrase)."""
-    size = F.octet_length("phrase") + F.octet_length("lang") + 1
-    total = candidates.agg(F.sum(size)).first()[0] or 0
-    n = -(-total // block_bytes)
-    while n:
-        block = F.pmod(F.xxhash64("lang", "phrase"), F.lit(n)).cast("int")
-        per = candidates.groupBy(block.alias("b")).agg(F.sum(size).alias("size"), F.count("*").alias("k"))
-        if not per.where((F.col("size") > block_bytes) & (F.col("k") > 1)).count():
-            return candidates.withColumn("block", block), n
-        n += max(1, n // 4)
-    return candidates.withColumn("block", F.lit(0)), 0
+def _packed(sizes: dict[str, int], block_bytes: int) -> list[list[str]]:
+    """The languages in groups: a large one alone, small ones together up to ``block_bytes``."""
+    groups: list[list[str]] = []
+    room: list[int] = []
+    for lang in sorted(sizes, key=lambda x: (-sizes[x], x)):
+        at = next((k for k, left in enumerate(room) if sizes[lang] <= left), None)
+        if at is None:
+            groups.append([lang])
+            room.append(block_bytes - sizes[lang])
+        else:
+            groups[at].append(lang)
+            room[at] -= sizes[lang]
+    return groups
+
+
+def _blocks(candidates: DataFrame, block_bytes: int) -> tuple[DataFrame, list[list[str] | None]]:
+    """Candidates with a block number, no block over ``block_bytes`` (unless by a single phrase), and the
+    languages of each block (None: any). A block holds whole languages, or the phrases of one language that
+    begin with the same words, so that its pass reads the texts of these languages only and most places
+    leave it at once; the phrases of a first word that fills a quarter of a block go to several."""
+    spark, size = candidates.sparkSession, F.octet_length("phrase") + F.octet_length("lang") + 1
+    sizes = {r["lang"]: r["size"] for r in candidates.groupBy("lang").agg(F.sum(size).alias("size")).limit(MAX_LANGS + 1).collect()}
+    if not sizes:
+        return candidates.withColumn("block", F.lit(0)), []
+    first = F.substring_index("phrase", " ", 1)
+    if len(sizes) > MAX_LANGS:
+        groups, total = [None], candidates.agg(F.sum(size)).first()[0]
+    else:
+        groups = _packed(sizes, block_bytes)
+    n = [-(-(total if g is None else sum(sizes[x] for x in g)) // block_bytes) for g in groups]
+    spread = first
+    if max(n) > 1:
+        heavy = candidates.groupBy("lang", first.alias("first")).agg(F.sum(size).alias("heavy")).where(F.col("heavy") > block_bytes // 4)
+        candidates = written(candidates.join(heavy.withColumnRenamed("lang", "l"), (F.col("lang") == F.col("l")) & (first == F.col("first")), "left").drop("l", "first"), "candidates")
+        spread = F.when(F.col("heavy").isNull(), first).otherwise(F.col("phrase"))
+    while True:
+        begin = np.append(0, np.cumsum(n)).tolist()
+        table = [(x, begin[k], n[k]) for k, g in enumerate(groups) for x in g or ()]
+        if table:
+            placed = candidates.join(F.broadcast(spark.createDataFrame(table, "lang string, begin int, of int")), "lang")
+        else:
+            placed = candidates.withColumn("begin", F.lit(0)).withColumn("of", F.lit(n[0]))
+        block = (F.col("begin") + F.pmod(F.xxhash64("lang", spread), F.col("of"))).cast("int")
+        placed = placed.withColumn("block", block)
+        if max(n) == 1:
+            break
+        per = placed.groupBy("block").agg(F.sum(size).alias("size"), F.count("*").alias("k"))
+        over = {int(np.searchsorted(begin, r["block"], side="right")) - 1 for r in per.where((F.col("size") > block_bytes) & (F.col("k") > 1)).collect()}
+        if not over:
+            break
+        n = [x + max(1, x // 4) if k in over else x for k, x in enumerate(n)]
+    return placed.drop("heavy", "begin", "of"), [g for k, g in enumerate(groups) for _ in range(n[k])]
 
 
-def _pass(texts: DataFrame, trie, ids, level: int, extend: bool) -> DataFrame:
+def _pass(texts: DataFrame, trie, ids, level: int, extend: bool, whole: bool) -> DataFrame:
     """(id, next, n): how often each phrase of a trie occurs (next is null) and, if ``extend``, how
     often each word follows it within a piece."""
 
@@ -252,7 +325,7 @@ def _pass(texts: DataFrame, trie, ids, level: int, extend: bool) -> DataFrame:
                 found = phrases.accepted(words, phrases.walk(lang.encode() + LANG_END))
                 total += np.bincount(found[found >= 0], minlength=len(total))
                 if extend:
-                    yield _extensions(words, found, number, level)
+                    yield _extensions(words, found, number, level, whole)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(number[seen]), pa.nulls(len(seen), pa.string()), pa.array(total[seen])], names=["id", "next", "n"]
@@ -261,12 +334,16 @@ def _pass(texts: DataFrame, trie, ids, level: int, extend: bool) -> DataFrame:
     return texts.mapInArrow(run, "id long, next string, n long")
 
 
-def _extensions(words: Words, found: np.ndarray, number: np.ndarray, level: int) -> pa.RecordBatch:
-    """The words behind the phrases (of ``level`` words) that were found, counted."""
+def _extensions(words: Words, found: np.ndarray, number: np.ndarray, level: int, whole: bool) -> pa.RecordBatch:
+    """The words behind the phrases (of ``level`` words) that were found, counted. If the trie is ``whole`` (has all
+    phrases of the language), only where the phrase from the next word on was found too: a longer phrase is never
+    more frequent than that one (Apriori)."""
     begins = np.flatnonzero(found >= 0)
     last = begins + level - 1
     begins = begins[words.data[words.ends][last] != BREAK]
-    code, names = words.coded()
+    if whole:
+        begins = begins[found[begins + 1] >= 0]
+    code, names = words.coded[0], words.names
     key, n = np.unique(found[begins].astype(np.int64) << 32 | code[begins + level], return_counts=True)
     following = names.cast(pa.string()).take(pa.array(key & 0xFFFFFFFF))
     return pa.RecordBatch.from_arrays([pa.array(number[key >> 32]), following, pa.array(n)], names=["id", "next", "n"])
@@ -278,16 +355,20 @@ def count_candidates(
     """Counts (lang, phrase, n) of the candidates (lang, phrase) of ``level`` words in texts (lang,
     text), and the candidates of the next level (none unless ``extend``)."""
     sc = texts.sparkSession.sparkContext
-    blocked, n_blocks = _blocks(candidates.select("lang", "phrase"), block_bytes)
-    blocked = written(blocked.withColumn("id", F.monotonically_increasing_id()), "candidates")
+    numbered = candidates.select("lang", "phrase").withColumn("id", F.monotonically_increasing_id())
+    blocked, langs = _blocks(written(numbered, "candidates"), block_bytes)
+    if len(langs) > 1:
+        blocked = written(blocked, "candidates")
     found = texts.sparkSession.createDataFrame([], "id long, next string, n long")
-    for b in range(n_blocks):
+    for b, only in enumerate(langs):
         tab = blocked.where(F.col("block") == b).select("id", "lang", "phrase").toArrow()
         keys = [x.encode() + LANG_END + p.encode() for x, p in zip(tab["lang"].to_pylist(), tab["phrase"].to_pylist(), strict=True)]
         order = sorted(range(len(keys)), key=keys.__getitem__)
         trie = sc.broadcast(Trie.build([keys[i] for i in order]))
         ids = sc.broadcast(tab["id"].to_numpy()[order])
-        summed = _pass(texts, trie, ids, level, extend).groupBy("id", "next").agg(F.sum("n").alias("n"))
+        own = texts if only is None or len(langs) == 1 else texts.where(F.col("lang").isin(only))
+        whole = only is not None and langs.count(only) == 1
+        summed = _pass(own, trie, ids, level, extend, whole).groupBy("id", "next").agg(F.sum("n").alias("n"))
         found = found.unionByName(written(summed.where((F.col("n") >= min_count) | F.col("next").isNull()), "phrases"))
         trie.destroy()
         ids.destroy()

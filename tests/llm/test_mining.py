@@ -120,6 +120,31 @@ def test_collocations_equal_brute_force(spark):
     assert not _mined_phrases(spark, [("en", "a b")])
 
 
+def test_passes_read_the_languages_of_their_block(spark, monkeypatch):
+    """A block's pass reads the texts of its languages, and a language's phrases are cut by their first words."""
+    read, placed, cut = [], [], phrases._blocks
+    monkeypatch.setattr(phrases, "_blocks", lambda *a: placed.append(cut(*a)) or placed[-1])
+    counted = phrases._pass
+    monkeypatch.setattr(phrases, "_pass", lambda texts, *rest: read.append({r.lang for r in texts.select("lang").distinct().collect()}) or counted(texts, *rest))
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefg") for _ in range(9)) for _ in range(40)]
+    rows = [("en", " ".join(rng.choice(words) for _ in range(30))) for _ in range(60)] + [(x, "kleine kleine sprache") for x in ("de", "fr", "es") for _ in range(12)]
+    got = _mined_phrases(spark, rows, block_bytes=260)
+    assert got and got == _collocations(rows)
+    assert {"en"} in read and {"de", "es", "fr"} in read  # level 1; later ones fit one block
+    words, langs = placed[0]
+    assert langs.count(["en"]) > 1 and len(langs) == len({r.block for r in words.select("block").collect()} | set(range(len(langs))))
+    # a first word whose phrases pass a block goes to several, another one to one; any number of languages
+    many = spark.createDataFrame([("en", f"a {i:04}") for i in range(400)] + [("en", f"b{i} x") for i in range(40)] + [("en", f"b{i} y") for i in range(40)], "lang string, phrase string")
+    blocks, langs = cut(many, 1000)
+    per = blocks.selectExpr("block", "phrase", "octet_length(phrase) + 3 as size").toPandas()
+    assert per.groupby("block")["size"].sum().max() <= 1000 and len(per) == 480 and set(per.block) <= set(range(len(langs)))
+    light = per[per.phrase.str.startswith("b")]
+    assert light.groupby(light.phrase.str.split(" ").str[0]).block.nunique().max() == 1 and per[per.phrase.str.startswith("a")].block.nunique() > 1
+    monkeypatch.setattr(phrases, "MAX_LANGS", 2)
+    assert _mined_phrases(spark, rows, block_bytes=260) == got
+
+
 def test_scores_are_exact_past_64_bits(spark):
     a, left, right = 987_654_321_987, 999_999_999_999, 990_000_000_007
     counts = spark.createDataFrame([("en", "x y", a), ("en", "x", left), ("en", "y", right)], "lang string, phrase string, n long")
